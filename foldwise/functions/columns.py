@@ -12,7 +12,8 @@ def _c(x) -> Column:
 
 def log1p_clip(x) -> Column:
     """``log1p(max(x, 0))``."""
-    return F.log1p(F.greatest(_c(x).cast("double"), F.lit(0.0)))
+    v = _c(x).cast("double")
+    return F.log1p(F.when(v < 0, F.lit(0.0)).otherwise(v))  # null stays null
 
 
 def ratio_plus_one(num, den) -> Column:
@@ -39,8 +40,8 @@ def total(*xs) -> Column:
 def sigmoid(x, clip: float | None = 20.0) -> Column:
     """Logistic function, input clipped to +-clip (None: unclipped)."""
     z = _c(x).cast("double")
-    if clip is not None:
-        z = F.greatest(F.least(z, F.lit(clip)), F.lit(-clip))
+    if clip is not None:  # when-based clip: a null input stays null (greatest/least skip nulls)
+        z = F.when(z > clip, F.lit(clip)).when(z < -clip, F.lit(-clip)).otherwise(z)
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 

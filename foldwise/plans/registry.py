@@ -25,8 +25,15 @@ def register(name: str):
     return deco
 
 
+def round6(c):
+    """Round half up to 6 decimals with plain IEEE steps (x*1e6 + 0.5, floor, /1e6), so any engine
+    doing the same steps gets the same double (``round`` differs between engines on ties)."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.floor(x * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
+
+
 def r6(c, alias: str):
-    return F.round(F.col(c) if isinstance(c, str) else c, 6).alias(alias)
+    return round6(c).alias(alias)
 
 
 @register("flagship_retention_nb")
@@ -59,3 +66,10 @@ def q_nb(spark: SparkSession, sf: str) -> DataFrame:
     _, _, oof, tst = FL.retention_predictions(spark, sf)
     return (oof.select("id", "fold", "class", r6("p", "p"))
             .unionByName(tst.select("id", F.lit(-1).alias("fold"), "class", r6("p", "p"))))
+
+
+def _load_all():
+    from foldwise.plans import queries_features  # noqa: F401
+
+
+_load_all()
