@@ -2,6 +2,7 @@
 
 from oracle import queries as Q
 from oracle import queries_features as QF
+from oracle import queries_target as QT
 
 
 def round6_rewrite(sql: str) -> str:
@@ -39,5 +40,6 @@ _RAW = {
     "m10_naive_bayes_oof": Q.nb_oof_b,
 }
 _RAW.update(QF.ORACLE)
+_RAW.update(QT.ORACLE)
 
 ORACLE = {k: (lambda f=f: round6_rewrite(f())) for k, f in _RAW.items()}
