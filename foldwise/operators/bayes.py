@@ -19,6 +19,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldwise.functions.arrays import lit_array
+
 
 def _moments(train: DataFrame, feats: list[str], y: str, fold_col: str):
     aggs = [F.count(F.lit(1)).alias("n")]
@@ -60,9 +62,9 @@ class NaiveBayesFit:
 
     def _arrays(self, folds):
         """Literal parameter arrays indexed [fold][class][feature] (small: k x K x d)."""
-        mu = F.lit([self.params[f][0] for f in folds])
-        var = F.lit([self.params[f][1] for f in folds])
-        c0 = F.lit([self.params[f][2] for f in folds])
+        mu = lit_array([self.params[f][0] for f in folds])
+        var = lit_array([self.params[f][1] for f in folds])
+        c0 = lit_array([self.params[f][2] for f in folds])
         return mu, var, c0
 
     def _probs_at(self, x: Column, mu, var, c0, f: Column) -> Column:
