@@ -69,7 +69,7 @@ def q_nb(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _load_all():
-    from foldwise.plans import queries_ensemble, queries_features, queries_models, queries_target  # noqa: F401
+    from foldwise.plans import queries_ensemble, queries_features, queries_knn, queries_models, queries_target  # noqa: F401
 
 
 _load_all()

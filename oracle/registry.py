@@ -4,6 +4,7 @@ from oracle import queries as Q
 from oracle import queries_features as QF
 from oracle import queries_target as QT
 from oracle import queries_ensemble as QE
+from oracle import queries_knn as QK
 
 
 def round6_rewrite(sql: str) -> str:
@@ -43,5 +44,6 @@ _RAW = {
 _RAW.update(QF.ORACLE)
 _RAW.update(QT.ORACLE)
 _RAW.update(QE.ORACLE)
+_RAW.update(QK.ORACLE)
 
 ORACLE = {k: (lambda f=f: round6_rewrite(f())) for k, f in _RAW.items()}
