@@ -6,8 +6,8 @@ aggregation map-side).  The k x K x d moments are tiny; the out-of-fold model of
 fold f merges the cells of the other folds with the parallel-variance rule.
 Variances get ``var_smoothing * max feature variance`` added (as the reference model).
 
-Score: a pure column expression over the feature array (log joint likelihood per
-class, soft-max) -- no join, no shuffle, stays in whole-stage codegen.  Test rows
+Score: Arrow-batched numpy in the tasks (log joint likelihood per class, soft-max);
+no join and no shuffle -- each partition is scored where it lies.  Test rows
 are scored by every fold model and the probabilities averaged (fold-averaged test).
 """
 
@@ -16,10 +16,10 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.functions.arrays import lit_array
 
 
 def _moments(train: DataFrame, feats: list[str], y: str, fold_col: str):
@@ -60,38 +60,44 @@ class NaiveBayesFit:
                 c0.append(math.log(n_c / n_tot) - 0.5 * float(np.sum(np.log(2.0 * math.pi * v_c))))
             self.params[f] = (mu, var, c0)
 
-    def _arrays(self, folds):
-        """Literal parameter arrays indexed [fold][class][feature] (small: k x K x d)."""
-        mu = lit_array([self.params[f][0] for f in folds])
-        var = lit_array([self.params[f][1] for f in folds])
-        c0 = lit_array([self.params[f][2] for f in folds])
-        return mu, var, c0
-
-    def _probs_at(self, x: Column, mu, var, c0, f: Column) -> Column:
-        K = len(self.classes)
-        jll = F.transform(F.sequence(F.lit(0), F.lit(K - 1)), lambda c: c0[f][c] - 0.5 * F.aggregate(
-            F.transform(x, lambda v, j: (v - mu[f][c][j]) * (v - mu[f][c][j]) / var[f][c][j]),
-            F.lit(0.0), lambda a, b: a + b))
-        return softmax(jll)
-
-    def oof_probs(self, x: Column, fold: Column) -> Column:
-        """Probabilities of a training row from the model that did not see its fold."""
-        mu, var, c0 = self._arrays(self.folds)
-        pos = F.array_position(F.lit(self.folds), fold).cast("int") - 1
-        return self._probs_at(x, mu, var, c0, pos)
-
-    def test_probs(self, x: Column) -> Column:
-        """Fold-averaged probabilities of a test row."""
-        mu, var, c0 = self._arrays(self.folds)
-        k, K = len(self.folds), len(self.classes)
-        per = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: self._probs_at(x, mu, var, c0, f))
-        return F.transform(F.sequence(F.lit(0), F.lit(K - 1)),
-                           lambda c: F.aggregate(per, F.lit(0.0), lambda a, pr: a + pr[c]) / F.lit(float(k)))
-
-    def full_probs(self, x: Column) -> Column:
-        """Probabilities from the model refitted on all training rows."""
-        mu, var, c0 = self._arrays([None])
-        return self._probs_at(x, mu, var, c0, F.lit(0))
+    # Scoring is Arrow-batched numpy inside the tasks (``mapInPandas``): the fitted numbers
+    # (k x K x d) travel in the closure, rows stay where Spark partitioned them, no shuffle.
+    # (An unrolled column expression of k x K x d terms outgrows the 64 KB generated-method limit.)
+    def _probs(self, X, f):
+        mu, var, c0 = (np.asarray(a, dtype=float) for a in self.params[f])
+        jll = c0[None, :] - 0.5 * (((X[:, None, :] - mu[None, :, :]) ** 2) / var[None, :, :]).sum(axis=2)
+        e = np.exp(jll - jll.max(axis=1, keepdims=True))
+        return e / e.sum(axis=1, keepdims=True)
+
+    def score(self, df: DataFrame, feats: list[str], mode: str, model: str) -> DataFrame:
+        """df: (id, [fold], feats...) -> long (id, model, [fold], class, p).
+        mode 'oof': model of the row's own fold; 'test': mean over the fold models; 'full': refit."""
+        folds, K = self.folds, len(self.classes)
+
+        def fn(batches):
+            for pdf in batches:
+                X = pdf[feats].to_numpy(dtype=float)
+                n = len(pdf)
+                if mode == "oof":
+                    P = np.zeros((n, K))
+                    fv = pdf["fold"].to_numpy()
+                    for f in folds:
+                        m = fv == f
+                        if m.any():
+                            P[m] = self._probs(X[m], f)
+                elif mode == "test":
+                    P = sum(self._probs(X, f) for f in folds) / len(folds)
+                else:
+                    P = self._probs(X, None)
+                outd = {"id": np.repeat(pdf["id"].to_numpy(), K), "model": model}
+                if mode == "oof":
+                    outd["fold"] = np.repeat(pdf["fold"].to_numpy(), K).astype(np.int32)
+                outd["class"] = np.tile(np.arange(K, dtype=np.int32), n)
+                outd["p"] = P.reshape(-1)
+                yield pd.DataFrame(outd)
+
+        schema = "id long, model string, " + ("fold int, " if mode == "oof" else "") + "class int, p double"
+        return df.mapInPandas(fn, schema)
 
 
 def softmax(a: Column) -> Column:
@@ -110,12 +116,9 @@ def naive_bayes_oof(train: DataFrame, test: DataFrame | None, feats: list[str],
                     id_col: str = "id", model: str = "nb", var_smoothing: float = 1e-9):
     """K1 with M10: long OOF table (id, model, fold, class, p) and test table (id, model, class, p)."""
     fit = fit_naive_bayes(train, feats, y, fold_col, var_smoothing)
-    x = F.array(*[F.col(c).cast("double") for c in feats])
-    oof = (train.select(F.col(id_col).alias("_id"), F.col(fold_col).alias("_fold"), fit.oof_probs(x, F.col(fold_col)).alias("_p"))
-           .select(F.col("_id").alias("id"), F.col("_fold").alias("fold"), F.posexplode("_p").alias("class", "p")))
-    oof = oof.select("id", F.lit(model).alias("model"), "fold", F.col("class").cast("int").alias("class"), "p")
+    cast = [F.col(c).cast("double").alias(c) for c in feats]
+    oof = fit.score(train.select(F.col(id_col).alias("id"), F.col(fold_col).alias("fold"), *cast), feats, "oof", model)
     tst = None
     if test is not None:
-        tst = test.select(F.col(id_col).alias("id"), F.posexplode(fit.test_probs(x)).alias("class", "p"))
-        tst = tst.select("id", F.lit(model).alias("model"), F.col("class").cast("int").alias("class"), "p")
+        tst = fit.score(test.select(F.col(id_col).alias("id"), *cast), feats, "test", model)
     return oof, tst, fit

@@ -1,78 +1,135 @@
-"""Exact, interpolated quantiles that never gather a whole column into one task.
+"""Exact, interpolated quantiles that never gather a whole column -- or a hot value -- into one task.
 
-``percentile`` (exact) keeps every value of a group in one aggregation buffer, which
-does not survive 100 TB.  Instead, for all columns and probabilities at once:
+``percentile`` (exact) keeps every value of a group in one aggregation buffer, which does
+not survive 100 TB.  Instead, for all columns and probabilities at once:
 
-1. one pass: non-null count n and ``percentile_approx`` brackets around every needed
-   rank (rank error <= n / accuracy, so the bracket [p - 2/acc, p + 2/acc] holds it)
-   -- and the count of values below each lower bracket;
-2. one pass: the values inside the brackets (about 4n/accuracy per bracket, a proven
-   bound) are ranked per bracket and the two order statistics around ``p * (n - 1)``
-   are read.
+1. one aggregation: non-null count n and ``percentile_approx`` brackets [a, b] around every
+   needed order statistic (rank error <= n / accuracy, so [p - 2/acc, p + 2/acc] holds it);
+2. one aggregation over bucketized values (``Bucketizer`` binary search over the bracket
+   bounds): rows per bucket and rows equal to each bound -> count below a, ties at a and b;
+3. only rows strictly inside a bracket (a, b) are ranked -- a proven bound of ~4n/accuracy
+   rows per bracket; a tie block at a bound (a hot value) is resolved from the counts alone,
+   never by sorting it.
 
-Result = linear interpolation between the order statistics, i.e. numpy's default,
-DuckDB ``quantile_cont`` and Spark ``percentile``.
+Result = linear interpolation between the order statistics around ``p * (n - 1)``, i.e.
+numpy's default, DuckDB ``quantile_cont`` and Spark ``percentile``.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+
 ACCURACY = 1_000_000
 
 
+def _merge(intervals):
+    """Merge overlapping [a, b] intervals; returns list of (a, b, [member indices])."""
+    order = sorted(range(len(intervals)), key=lambda j: intervals[j])
+    out = []
+    for j in order:
+        a, b = intervals[j]
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+            out[-1][2].append(j)
+        else:
+            out.append([a, b, [j]])
+    return out
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = ACCURACY) -> dict:
     """Return {col: [q(p) for p in probs]} (None for an all-null column)."""
-    delta = 2.0 / accuracy
-    lows = [max(0.0, p - delta) for p in probs]
-    highs = [min(1.0, p + delta) for p in probs]
+    xs = [F.col(c).cast("double") for c in cols]
+    n_r = df.agg(*[F.count(x).alias(f"n{i}") for i, x in enumerate(xs)]).collect()[0]
     aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"),
-                 F.percentile_approx(x, lows, accuracy).alias(f"lo{i}"),
+    for i, x in enumerate(xs):
+        # +-(2 ranks of approximation error + 2 ranks for the interpolation neighbours), in probability units
+        delta = 2.0 / accuracy + 2.0 / max(1, n_r[f"n{i}"])
+        lows = [max(0.0, p - delta) for p in probs]
+        highs = [min(1.0, p + delta) for p in probs]
+        aggs += [F.count(x).alias(f"n{i}"), F.percentile_approx(x, lows, accuracy).alias(f"lo{i}"),
                  F.percentile_approx(x, highs, accuracy).alias(f"hi{i}")]
     r = df.agg(*aggs).collect()[0]
-    # brackets (col i, prob j): [a, b]; count below a and up to b in one more aggregation
-    br = {}
-    for i, c in enumerate(cols):
-        if r[f"n{i}"]:
-            for j in range(len(probs)):
-                br[(i, j)] = (r[f"lo{i}"][j], r[f"hi{i}"][j])
-    cnt_aggs = []
-    for (i, j), (a, b) in br.items():
-        x = F.col(cols[i]).cast("double")
-        cnt_aggs += [F.sum((x < a).cast("long")).alias(f"lt{i}_{j}"), F.sum((x <= b).cast("long")).alias(f"le{i}_{j}")]
-    cnt = df.agg(*cnt_aggs).collect()[0] if cnt_aggs else {}
-    need = {}
-    for (i, j), (a, b) in br.items():
+
+    plan = {}  # col index -> (n, bands, splits)
+    for i in range(len(cols)):
         n = r[f"n{i}"]
-        pos = probs[j] * (n - 1)
-        k_lo, k_hi = int(math.floor(pos)), int(math.ceil(pos))
-        lt, le = cnt[f"lt{i}_{j}"] or 0, cnt[f"le{i}_{j}"] or 0
-        if not (lt <= k_lo and le > k_hi):  # bracket missed (not expected): widen to the whole column
-            a, b, lt = float("-inf"), float("inf"), 0
-        need[(i, j)] = (a, b, lt, k_lo, k_hi, pos)
-    bands = [df.select(F.lit(f"{i}_{j}").alias("tag"), F.col(cols[i]).cast("double").alias("x"))
-             .filter((F.col("x") >= a) & (F.col("x") <= b))
-             .withColumn("lt", F.lit(lt).cast("long"))
-             for (i, j), (a, b, lt, _, _, _) in need.items()]
-    vals = {}
-    if bands:
-        allb = reduce(DataFrame.unionByName, bands)
-        w = Window.partitionBy("tag").orderBy("x")  # each band is bounded by ~4n/accuracy rows
-        for row in allb.withColumn("rn", F.row_number().over(w) - 1 + F.col("lt")).join(
-                df.sparkSession.createDataFrame([(f"{i}_{j}", v[3], v[4]) for (i, j), v in need.items()],
-                                                "tag string, k_lo long, k_hi long"), "tag").filter(
-                (F.col("rn") == F.col("k_lo")) | (F.col("rn") == F.col("k_hi"))).select("tag", "rn", "x").collect():
-            vals[(row["tag"], row["rn"])] = row["x"]
+        if not n:
+            continue
+        bands = _merge([(r[f"lo{i}"][j], r[f"hi{i}"][j]) for j in range(len(probs))])
+        splits = sorted({v for a, b, _ in bands for v in (a, b)})
+        plan[i] = (n, bands, [float("-inf")] + splits + [float("inf")])
     out = {c: [None] * len(probs) for c in cols}
-    for (i, j), (_, _, _, k_lo, k_hi, pos) in need.items():
-        v_lo, v_hi = vals[(f"{i}_{j}", k_lo)], vals[(f"{i}_{j}", k_hi)]
+    if not plan:
+        return out
+
+    ids = sorted(plan)
+    bz = Bucketizer(inputCols=[f"_x{i}" for i in ids], outputCols=[f"_b{i}" for i in ids],
+                    splitsArray=[plan[i][2] for i in ids], handleInvalid="keep")
+    wide = bz.transform(df.select(*[xs[i].alias(f"_x{i}") for i in ids]))
+    long = wide.select(F.inline(F.array(*[F.struct(F.lit(i).alias("cid"), F.col(f"_x{i}").alias("x"),
+                                                   F.col(f"_b{i}").cast("int").alias("bk")) for i in ids])))
+    long = long.filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    # left split value of every bucket: a small table (<= 2 x probs + 2 rows per column), broadcast
+    lefts = df.sparkSession.createDataFrame([(i, t, float(v)) for i in ids for t, v in enumerate(plan[i][2])],
+                                            "cid int, bk int, left double")
+    counts = (long.join(F.broadcast(lefts), ["cid", "bk"]).groupBy("cid", "bk")
+              .agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("x") == F.col("left")).cast("long")).alias("eq")).collect())
+    cnt = {(c["cid"], c["bk"]): (c["n"], c["eq"]) for c in counts}
+
+    need = []       # (cid, band, local rank)
+    resolved = {}   # (cid, k) -> value
+    tasks = []      # (i, j, pos, k_lo, k_hi)
+    band_ranges = []
+    for i in ids:
+        n, bands, splits = plan[i]
+        idx = {v: t for t, v in enumerate(splits)}
+        below = []  # below[t] = rows in buckets < t
+        acc = 0
+        for t in range(len(splits)):
+            below.append(acc)
+            acc += cnt.get((i, t), (0, 0))[0]
+        for m, (a, b, members) in enumerate(bands):
+            ia, ib = idx[a], idx[b]
+            lt_a, eq_a = below[ia], cnt.get((i, ia), (0, 0))[1]
+            eq_b = cnt.get((i, ib), (0, 0))[1]
+            le_b = below[ib] + eq_b
+            band_ranges.append((i, m, ia, ib, a))
+            for j in members:
+                pos = probs[j] * (n - 1)
+                k_lo, k_hi = int(math.floor(pos)), int(math.ceil(pos))
+                tasks.append((i, j, pos, k_lo, k_hi))
+                for k in (k_lo, k_hi):
+                    if k < lt_a or k >= le_b:
+                        raise RuntimeError("quantile bracket missed its rank; raise accuracy")
+                    if k < lt_a + eq_a:
+                        resolved[(i, k)] = a
+                    elif k >= le_b - eq_b:
+                        resolved[(i, k)] = b
+                    else:
+                        need.append((i, m, k - (lt_a + eq_a), k))
+    if need:
+        spark = df.sparkSession
+        # band id of a bucket: buckets ia..ib-1 of band m (rows == a excluded below)
+        band_of = {}
+        for i, m, ia, ib, a in band_ranges:
+            for t in range(ia, ib):
+                band_of[(i, t)] = (m, a)
+        keys = spark.createDataFrame([(i, t, m, float(a)) for (i, t), (m, a) in band_of.items()],
+                                     "cid int, bk int, band int, a double")
+        inside = long.join(F.broadcast(keys), ["cid", "bk"]).filter(F.col("x") > F.col("a"))
+        w = Window.partitionBy("cid", "band").orderBy("x")  # bounded: rows strictly inside one bracket
+        want = spark.createDataFrame([(i, m, rk, k) for i, m, rk, k in need], "cid int, band int, rk long, k long")
+        got = (inside.withColumn("rk", F.row_number().over(w) - 1)
+               .join(F.broadcast(want), ["cid", "band", "rk"]).select("cid", "k", "x").collect())
+        for g in got:
+            resolved[(g["cid"], g["k"])] = g["x"]
+    for i, j, pos, k_lo, k_hi in tasks:
+        v_lo, v_hi = resolved[(i, k_lo)], resolved[(i, k_hi)]
         out[cols[i]][j] = v_lo + (pos - k_lo) * (v_hi - v_lo)
     return out
 

@@ -7,6 +7,7 @@ apply = one projection of column expressions, so all columns are scaled in a sin
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -58,3 +59,114 @@ def jitter(df: DataFrame, cols: list[str], sd: float = 0.003, seed: int = 0, id_
         z = F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * 3.141592653589793 * u2)
         out[c] = (F.col(c) + F.lit(sd) * z).alias(c)
     return df.select(*[out.get(c, F.col(c)) for c in df.columns])
+
+
+# ---- N8: quantile transform to a normal distribution -----------------------------------------
+
+BOUNDS_THRESHOLD = 1e-7  # fixed value of the reference transformer
+
+
+def fit_quantile_normal(train: DataFrame, cols: list[str], n_quantiles: int = 1000) -> dict:
+    """Exact quantiles at ``linspace(0, 1, min(n_quantiles, n))`` per column, reduced to the distinct
+    quantile values with the first and last reference level of each (tied quantiles)."""
+    import numpy as np
+    counts = train.agg(*[F.count(c).alias(c) for c in cols]).collect()[0]
+    out = {}
+    for c in cols:
+        nq = min(n_quantiles, counts[c])
+        refs = np.linspace(0.0, 1.0, nq).tolist()
+        q = exact_quantiles(train, [c], refs)[c]
+        u, rlo, rhi = [], [], []
+        for v, r in zip(q, refs):
+            if u and v == u[-1]:
+                rhi[-1] = r
+            else:
+                u.append(v)
+                rlo.append(r)
+                rhi.append(r)
+        out[c] = (u, rlo, rhi)
+    return out
+
+
+def apply_quantile_normal(df: DataFrame, params: dict) -> DataFrame:
+    """Map each value to its interpolated reference level (the mean of the left and right
+    interpolation on tied quantiles), then through the inverse normal CDF, clipped at
+    ``ppf(1e-7 - eps)``.  The segment is found by ``Bucketizer`` (binary search over the
+    quantiles) and its end points come from a broadcast equi-join on the segment index."""
+    from statistics import NormalDist
+
+    from pyspark.ml.feature import Bucketizer
+
+    from foldwise.functions.normal import inv_norm_cdf
+    clip = -NormalDist().inv_cdf(BOUNDS_THRESHOLD - 2.220446049250313e-16)
+    spark = df.sparkSession
+    cols = list(params)
+    bz = Bucketizer(inputCols=cols, outputCols=[f"_qb_{c}" for c in cols],
+                    splitsArray=[[float("-inf")] + params[c][0] + [float("inf")] for c in cols], handleInvalid="keep")
+    out = bz.transform(df)
+    for c in cols:
+        u, rlo, rhi = params[c]
+        seg = spark.createDataFrame(
+            [(m, float(u[m]), float(rlo[m]), float(rhi[m]),
+              float(u[m + 1]) if m + 1 < len(u) else None, float(rlo[m + 1]) if m + 1 < len(u) else None)
+             for m in range(len(u))], f"_m int, _u double, _rlo double, _rhi double, _u2 double, _rlo2 double")
+        out = out.join(F.broadcast(seg), F.col(f"_qb_{c}").cast("int") - 1 == F.col("_m"), "left")  # <= n_quantiles rows
+        x = F.col(c).cast("double")
+        mid = F.when(x == F.col("_u"), (F.col("_rlo") + F.col("_rhi")) / 2.0).otherwise(
+            F.col("_rhi") + (x - F.col("_u")) / (F.col("_u2") - F.col("_u")) * (F.col("_rlo2") - F.col("_rhi")))
+        level = (F.when(x - BOUNDS_THRESHOLD < F.lit(u[0]), F.lit(0.0))
+                 .when(x + BOUNDS_THRESHOLD > F.lit(u[-1]), F.lit(1.0)).otherwise(mid))
+        z = inv_norm_cdf(level)
+        z = F.when(level <= 0.0, F.lit(-clip)).when(level >= 1.0, F.lit(clip)).otherwise(
+            F.greatest(F.least(z, F.lit(clip)), F.lit(-clip)))
+        out = out.withColumn(c, F.when(x.isNull(), F.lit(None).cast("double")).otherwise(z)).drop(
+            "_m", "_u", "_rlo", "_rhi", "_u2", "_rlo2")
+    return out.select(*df.columns)
+
+
+# ---- N9: Yeo-Johnson power transform -----------------------------------------------------------
+
+def yeo_johnson(x, lam: float):
+    """Column expression of the Yeo-Johnson transform for a fixed lambda."""
+    x = F.col(x) if isinstance(x, str) else x
+    pos = F.log1p(x) if abs(lam) < 1e-12 else (F.pow(x + 1.0, F.lit(lam)) - 1.0) / F.lit(lam)
+    neg = -F.log1p(-x) if abs(lam - 2.0) < 1e-12 else -(F.pow(1.0 - x, F.lit(2.0 - lam)) - 1.0) / F.lit(2.0 - lam)
+    return F.when(x >= 0, pos).otherwise(neg)
+
+
+def _yj_grid_best(train: DataFrame, c: str, grid: list[float]) -> float:
+    """Maximum-likelihood lambda over a grid, all grid points in ONE aggregation
+    (``var_pop`` of every candidate transform); first grid point wins ties."""
+    x = F.col(c).cast("double")
+    aggs = [F.count(x).alias("n"), F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("sl")]
+    aggs += [F.var_pop(yeo_johnson(x, lam)).alias(f"v{i}") for i, lam in enumerate(grid)]
+    r = train.filter(x.isNotNull()).agg(*aggs).collect()[0]
+    best, best_ll = None, None
+    for i, lam in enumerate(grid):
+        v = r[f"v{i}"]
+        if v is None or v <= 0:
+            continue
+        ll = -r["n"] / 2.0 * math.log(v) + (lam - 1.0) * r["sl"]
+        if best_ll is None or ll > best_ll:
+            best, best_ll = lam, ll
+    return best
+
+
+def fit_yeo_johnson(train: DataFrame, cols: list[str]) -> dict:
+    """Lambda by maximum likelihood (grid -3..3 step 0.1, then +-0.1 step 0.005), then the mean
+    and population sd of the transformed training column (standardize=True)."""
+    out = {}
+    for c in cols:
+        coarse = [round(-3.0 + 0.1 * i, 10) for i in range(61)]
+        l0 = _yj_grid_best(train, c, coarse)
+        fine = [round(l0 - 0.1 + 0.005 * i, 10) for i in range(41)]
+        lam = _yj_grid_best(train, c, fine)
+        y = yeo_johnson(c, lam)
+        r = train.agg(F.avg(y).alias("m"), F.stddev_pop(y).alias("s")).collect()[0]
+        out[c] = (lam, r["m"], r["s"] or 1.0)
+    return out
+
+
+def apply_yeo_johnson(df: DataFrame, params: dict) -> DataFrame:
+    rep = {c: ((yeo_johnson(c, lam) - F.lit(m)) / F.lit(s)).alias(c) for c, (lam, m, s) in params.items()}
+    return df.select(*[rep.get(c, F.col(c)) for c in df.columns])

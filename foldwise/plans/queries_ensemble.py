@@ -161,3 +161,34 @@ def q_s3(spark, sf):
     path = files.stage_path(spark, "submission_by_seed")
     files.write_submission(lab, path, partition_by=["seed"])
     return files.read_csv(spark, path, "id long, label string, seed int").select(F.col("seed").cast("long").alias("seed"), "id", "label")
+
+
+@register("a15_mean_fold_score")
+def q_a15(spark, sf):
+    """Mean over folds of the per-fold OOF accuracy, per model."""
+    tr, _, oof, _ = retention_zoo(spark, sf)
+    s = oof.filter(F.col("class") == 1).join(tr.select("id", "y_bin"), "id").withColumn("pred", (F.col("p") >= 0.5).cast("double"))
+    per_fold = accuracy(s, "pred", "y_bin", ["model", "fold"])
+    return per_fold.groupBy("model").agg(F.avg("accuracy").alias("mean_fold_accuracy")).select("model", r6("mean_fold_accuracy", "mean_fold_accuracy"))
+
+
+@register("p6_meta_block_subset")
+def q_p6(spark, sf):
+    """Meta features from a subset of models, fixed (model x class) column order, absent cells 0."""
+    _, _, oof, _ = retention_zoo(spark, sf)
+    keep = ["nb_all", "nb_num"]
+    sub = oof.filter(F.col("model").isin(keep))
+    g = sub.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "model", F.col("class").cast("string")), "p"))).alias("_m"))
+    return g.select("id", *[r6(F.coalesce(F.col("_m")[f"{m}:{c}"], F.lit(0.0)), f"{m}_{c}") for m in keep for c in range(2)])
+
+
+@register("k14_seed_average_of_blend")
+def q_k14(spark, sf):
+    """Per seed a fixed-weight blend of the two multiclass models, then the mean over seeds."""
+    outs = []
+    for s in SEEDS:
+        _, _, _, tst = priority_zoo(spark, sf, fold_seed=s)
+        outs.append(B.fixed_blend(tst, MC_W).withColumn("seed", F.lit(s)))
+    avg = B.mean_over(reduce(DataFrame.unionByName, outs), "seed", ["id", "class"])
+    v = B.decide(B.to_vector(avg, 5), PRIORITY_LABELS)
+    return v.select("id", "pred", "label")

@@ -305,3 +305,54 @@ def q_n15(spark, sf):
     return b.select("id", C.label_to_binary("o_orderstatus", "F").alias("y"),
                     C.binary_to_label(F.col("y_bin"), "Stayed", "Left").alias("label"),
                     C.cross("c_mktsegment", "o_year", "___").alias("seg_year"))
+
+
+@register("w6_plain_kfold")
+def q_w6(spark, sf):
+    from foldwise.operators.folds import kfold
+    return kfold(orders_base(spark, sf), "id", 5, 42).select("id", "fold")
+
+
+@register("w8_stratified_sample_split")
+def q_w8(spark, sf):
+    from foldwise.operators.folds import stratified_sample_split
+    return stratified_sample_split(orders_base(spark, sf), "id", "y_bin", 0.2, 0.2, 7).select("id", "split")
+
+
+@register("w10_union_train_test")
+def q_w10(spark, sf):
+    from foldwise.operators.folds import union_train_test
+    tr, ts = _tt(spark, sf)
+    u = union_train_test(tr.select("id", "y_bin", "fold"), ts.select("id"))
+    return u.select("id", "y_bin", "fold")
+
+
+@register("j6_unseen_values_report")
+def q_j6(spark, sf):
+    """Test values absent from the fitting rows (left anti join), with their row counts."""
+    tr, ts = _tt(spark, sf)
+    fit = _fit_side(tr)
+    out = None
+    for c in ["n_name", "c_mktsegment"]:
+        seen = fit.select(F.col(c).alias("value")).filter(F.col("value").isNotNull()).distinct()
+        miss = (ts.select(F.col(c).alias("value")).filter(F.col("value").isNotNull())
+                .join(seen, "value", "left_anti").groupBy("value").agg(F.count(F.lit(1)).alias("n_rows"))
+                .withColumn("col", F.lit(c)))
+        out = miss if out is None else out.unionByName(miss)
+    return out.select("col", "value", "n_rows")
+
+
+@register("n8_quantile_normal_transform")
+def q_n8(spark, sf):
+    tr, ts = _tt(spark, sf)
+    cols = ["o_totalprice", "li_qty"]
+    p = S.fit_quantile_normal(tr, cols, 1000)
+    return _both(S.apply_quantile_normal(tr, p), S.apply_quantile_normal(ts, p), [r6(c, c) for c in cols])
+
+
+@register("n9_yeo_johnson_transform")
+def q_n9(spark, sf):
+    tr, ts = _tt(spark, sf)
+    cols = ["c_acctbal", "li_disc"]
+    p = S.fit_yeo_johnson(tr, cols)
+    return _both(S.apply_yeo_johnson(tr, p), S.apply_yeo_johnson(ts, p), [r6(c, c) for c in cols])

@@ -245,30 +245,38 @@ def q_e14(spark, sf):
 
 
 def multiclass_stack(spark, sf, meta_l1: float = 0.5):
-    """K2 + K5: base models (multinomial logistic, random forest, one-vs-rest linear SVM soft-maxed)
-    -> OOF long table -> fixed-order meta vector -> elastic-net logistic meta model.
+    """K2 + K5: base models (multinomial logistic, random forest, Gaussian naive Bayes) -> OOF long
+    table -> fixed-order meta vector -> elastic-net logistic meta model.
     Returns (base oof, base test, meta oof, meta test, labels)."""
-    tr, ts = multiclass_inputs(spark, sf)
+    from functools import reduce
+
+    from foldwise.operators.bayes import naive_bayes_oof
+    tr_raw, ts_raw = priority_features(spark, sf)
+    tr_raw, ts_raw = _scaled(tr_raw, ts_raw, NUM)
+    tr = cut_lineage(K.assemble(tr_raw, C_FEATS, "y"))
+    ts = cut_lineage(K.assemble(ts_raw, C_FEATS, "y", fold_col=None))
     n = _n(tr)
     bases = [
-        ("lr", lambda: M.logistic(C=1.0, n=n, max_iter=100), "probability"),
-        ("rf", lambda: M.random_forest(60, 10), "probability"),
-        ("svc_ovr", lambda: M.one_vs_rest(M.linear_svc(C=1.0, n=n, max_iter=30), parallelism=5), "margin_softmax"),
+        ("lr", lambda: M.logistic(C=1.0, n=n, max_iter=50), "probability"),
+        ("rf", lambda: M.random_forest(40, 8), "probability"),
     ]
     oofs, tsts = [], []
     for name, make, kind in bases:
         o, t = K.oof_predict(tr, ts, make, name, kind=kind, k_classes=5)
         oofs.append(o)
         tsts.append(t)
-    from functools import reduce
+    o, t, _ = naive_bayes_oof(tr_raw, ts_raw, C_FEATS, "y", model="nb")
+    oofs.append(cut_lineage(o))
+    tsts.append(cut_lineage(t))
     oof = reduce(DataFrame.unionByName, oofs)
     tst = reduce(DataFrame.unionByName, tsts)
-    names = [b[0] for b in bases]
+    names = [b[0] for b in bases] + ["nb"]
     labels = tr.select("id", "label", "fold")
     meta_tr = cut_lineage(K.pivot_meta(oof, names, 5, labels))
     meta_ts = cut_lineage(K.pivot_meta(tst, names, 5, ts.select("id", "label")))
     # meta OOF: the meta model of fold f never saw fold f's rows (a true nested score)
-    mo, mt = K.oof_predict(meta_tr, meta_ts, lambda: M.logistic(C=1.0, n=n, l1_ratio=meta_l1), "meta_en", k_classes=5)
+    mo, mt = K.oof_predict(meta_tr, meta_ts, lambda: M.logistic(C=1.0, n=n, l1_ratio=meta_l1, max_iter=50), "meta_en",
+                           k_classes=5)
     return oof, tst, mo, mt, labels
 
 
@@ -286,7 +294,7 @@ def q_k5(spark, sf):
     both = oof.unionByName(mo)
     v = B.decide(B.to_vector(both, 5, ["id", "model"])).join(labels.select("id", F.col("label").cast("int").alias("y")), "id")
     scores = macro_f1(v, "pred", "y", ["model"]).withColumnRenamed("macro_f1", "oof_macro_f1")
-    meta_tr = K.pivot_meta(oof, ["lr", "rf", "svc_ovr"], 5, labels)
+    meta_tr = K.pivot_meta(oof, ["lr", "rf", "nb"], 5, labels)
     n = meta_tr.count()
     m = M.logistic(C=1.0, n=n, l1_ratio=0.5).fit(meta_tr)
     fitted = m.transform(meta_tr).select(F.col("prediction").cast("int").alias("pred"), F.col("label").cast("int").alias("y"))

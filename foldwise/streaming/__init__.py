@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference has no source, watermark, window, state or late data (it reads two CSV
+files and writes one), so nothing here is claimed.  Fitted dimensions from
+``foldwise.operators`` are plain DataFrames and can be joined to a streaming DataFrame
+as stream-static joins by the caller.
+"""

@@ -239,3 +239,29 @@ ORACLE = {
     "m22_class_weights": m22, "k13_seed_average": k13, "k12_w4_seed_sweep_ranked": k12,
     "k16_s4_s5_stage_tables": k16, "s1_s2_submission_roundtrip": s1, "s3_submission_per_seed": s3,
 }
+
+
+def a15() -> str:
+    return bin_zoo() + """,
+s AS (SELECT o.model, o.fold, AVG(CAST(CAST(o.p >= 0.5 AS DOUBLE) = t.y_bin AS DOUBLE)) AS acc FROM oof o JOIN tr2 t ON t.id = o.id WHERE o.class = 1 GROUP BY o.model, o.fold)
+SELECT model, ROUND(AVG(acc), 6) AS mean_fold_accuracy FROM s GROUP BY model"""
+
+
+def p6() -> str:
+    keep = ["nb_all", "nb_num"]
+    cols = ", ".join(f"ROUND(COALESCE(MAX(CASE WHEN model = '{m}' AND class = {c} THEN p END), 0), 6) AS {m}_{c}"
+                     for m in keep for c in range(2))
+    return bin_zoo() + f"\nSELECT id, {cols} FROM oof WHERE model IN ('nb_all', 'nb_num') GROUP BY id"
+
+
+def k14() -> str:
+    w = " ".join(f"WHEN '{m}' THEN {v}" for m, v in MC_W.items())
+    parts = [mc_zoo(s, f"_s{s}") for s in SEEDS]
+    blends = " UNION ALL ".join(f"SELECT {s} AS seed, id, class, SUM(CASE model {w} END * p) AS p FROM tst_s{s} GROUP BY id, class" for s in SEEDS)
+    return mc_tt() + "," + ",".join(parts) + f""",
+bl AS ({blends}),
+b AS (SELECT id, class, AVG(p) AS p FROM bl GROUP BY id, class),""" + _argmax_cte("b", "id", "am") + f"""
+SELECT id, pred, {_decode()} AS label FROM am"""
+
+
+ORACLE.update({"a15_mean_fold_score": a15, "p6_meta_block_subset": p6, "k14_seed_average_of_blend": k14})

@@ -324,3 +324,125 @@ ORACLE = {
     "n1_n4_n11_column_transforms": n1, "n5_standard_scaling": n5, "n6_robust_scaling": n6, "n7_pairwise_products": n7,
     "n12_n14_row_softmax_argmax_boost": n12, "n15_n16_label_map_and_text": n15,
 }
+
+
+def w6():
+    return base() + """ SELECT id, CAST((row_number() OVER (ORDER BY md5('42:' || CAST(id AS VARCHAR)), id) - 1) % 5 AS INTEGER) AS fold FROM base"""
+
+
+def w8():
+    return base() + """,
+r1 AS (SELECT *, row_number() OVER (PARTITION BY y_bin ORDER BY md5('7:' || CAST(id AS VARCHAR)), id) - 1 AS rk,
+         round(count(*) OVER (PARTITION BY y_bin) * CAST(0.2 AS DOUBLE)) AS nt FROM base),
+s AS (SELECT id, y_bin FROM r1 WHERE rk < nt),
+r2 AS (SELECT *, row_number() OVER (PARTITION BY y_bin ORDER BY md5('7s:' || CAST(id AS VARCHAR)), id) - 1 AS rk,
+         round(count(*) OVER (PARTITION BY y_bin) * CAST(0.2 AS DOUBLE)) AS nt FROM s)
+SELECT id, CASE WHEN rk < nt THEN 'test' ELSE 'train' END AS split FROM r2"""
+
+
+def w10():
+    return tt() + " SELECT id, y_bin, fold FROM tr UNION ALL SELECT id, CAST(NULL AS DOUBLE), CAST(NULL AS INTEGER) FROM ts"
+
+
+def j6():
+    return tt() + " " + " UNION ALL ".join(f"""SELECT '{c}' AS col, {c} AS value, COUNT(*) AS n_rows FROM ts
+WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM fit WHERE {c} IS NOT NULL) GROUP BY {c}""" for c in ["n_name", "c_mktsegment"])
+
+
+ORACLE.update({"w6_plain_kfold": w6, "w8_stratified_sample_split": w8, "w10_union_train_test": w10,
+               "j6_unseen_values_report": j6})
+
+
+# AS 241 (PPND16) coefficients, lowest degree first (same table as the library's).
+_A = [3.3871328727963666080e0, 1.3314166789178437745e+2, 1.9715909503065514427e+3, 1.3731693765509461125e+4,
+      4.5921953931549871457e+4, 6.7265770927008700853e+4, 3.3430575583588128105e+4, 2.5090809287301226727e+3]
+_B = [1.0, 4.2313330701600911252e+1, 6.8718700749205790830e+2, 5.3941960214247511077e+3,
+      2.1213794301586595867e+4, 3.9307895800092710610e+4, 2.8729085735721942674e+4, 5.2264952788528545610e+3]
+_C = [1.42343711074968357734e0, 4.63033784615654529590e0, 5.76949722146069140550e0, 3.64784832476320460504e0,
+      1.27045825245236838258e0, 2.41780725177450611770e-1, 2.27238449892691845833e-2, 7.74545014278341407640e-4]
+_D = [1.0, 2.05319162663775882187e0, 1.67638483018380384940e0, 6.89767334985100004550e-1,
+      1.48103976427480074590e-1, 1.51986665636164571966e-2, 5.47593808499534494600e-4, 1.05075007164441684324e-9]
+_E = [6.65790464350110377720e0, 5.46378491116411436990e0, 1.78482653991729133580e0, 2.96560571828504891230e-1,
+      2.65321895265761230930e-2, 1.24266094738807843860e-3, 2.71155556874348757815e-5, 2.01033439929228813265e-7]
+_F = [1.0, 5.99832206555887937690e-1, 1.36929880922735805310e-1, 1.48753612908506148525e-2,
+      7.86869131145613259100e-4, 1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15]
+
+
+def _h(coefs, r):
+    out = f"{coefs[-1]!r}"
+    for c in reversed(coefs[:-1]):
+        out = f"({out} * {r} + {c!r})"
+    return out
+
+
+def _ppf(p: str) -> str:
+    q = f"({p} - 0.5)"
+    rc = f"(0.180625 - {q} * {q})"
+    r0 = f"SQRT(-LN(CASE WHEN {q} < 0 THEN {p} ELSE 1 - {p} END))"
+    near = f"({_h(_C, f'({r0} - 1.6)')} / {_h(_D, f'({r0} - 1.6)')})"
+    far = f"({_h(_E, f'({r0} - 5.0)')} / {_h(_F, f'({r0} - 5.0)')})"
+    tail = f"(CASE WHEN {r0} <= 5.0 THEN {near} ELSE {far} END)"
+    return (f"(CASE WHEN ABS({q}) <= 0.425 THEN {q} * {_h(_A, rc)} / {_h(_B, rc)} "
+            f"WHEN {q} < 0 THEN -{tail} ELSE {tail} END)")
+
+
+def n8():
+    import numpy as np
+    from statistics import NormalDist
+    clip = -NormalDist().inv_cdf(1e-7 - 2.220446049250313e-16)
+    parts, sels = [], []
+    for c in ["o_totalprice", "li_qty"]:
+        parts.append(f"""
+{c}_n AS (SELECT COUNT({c}) AS n FROM tr)""")
+    pre = tt() + "," + ",".join(parts)
+    # the number of quantiles depends on n (min(1000, n)): at these scales n >= 1000 for both columns
+    refs = np.linspace(0.0, 1.0, 1000).tolist()
+    rl = "[" + ", ".join(repr(r) for r in refs) + "]"
+    body = []
+    for c in ["o_totalprice", "li_qty"]:
+        lvl = f"""CASE WHEN x - 1e-7 < umin THEN 0.0 WHEN x + 1e-7 > umax THEN 1.0
+  WHEN x = u THEN (rlo + rhi) / 2 ELSE rhi + (x - u) / (u2 - u) * (rlo2 - rhi) END"""
+        body.append(f"""
+{c}_q AS (SELECT UNNEST(quantile_cont({c}, {rl})) AS v, UNNEST({rl}) AS r FROM tr),
+{c}_d AS (SELECT v AS u, MIN(r) AS rlo, MAX(r) AS rhi FROM {c}_q GROUP BY v),
+{c}_l AS (SELECT u, rlo, rhi, LEAD(u) OVER (ORDER BY u) AS u2, LEAD(rlo) OVER (ORDER BY u) AS rlo2,
+          MIN(u) OVER () AS umin, MAX(u) OVER () AS umax FROM {c}_d),
+{c}_rows AS (SELECT id, 'train' AS part, {c} AS x FROM tr UNION ALL SELECT id, 'test', {c} FROM ts),
+{c}_j AS (SELECT r.id, r.part, r.x, l.* FROM {c}_rows r ASOF LEFT JOIN {c}_l l ON r.x >= l.u),
+{c}_mm AS (SELECT MIN(u) AS umin0, MAX(u) AS umax0 FROM {c}_d),
+{c}_lv AS (SELECT j.id, j.part, j.x, CASE WHEN j.x - 1e-7 < m.umin0 THEN 0.0 WHEN j.x + 1e-7 > m.umax0 THEN 1.0
+  WHEN j.x = j.u THEN (j.rlo + j.rhi) / 2 ELSE j.rhi + (j.x - j.u) / (j.u2 - j.u) * (j.rlo2 - j.rhi) END AS lv
+  FROM {c}_j j CROSS JOIN {c}_mm m),
+{c}_z AS (SELECT id, part, CASE WHEN x IS NULL THEN NULL WHEN lv <= 0 THEN -{clip!r} WHEN lv >= 1 THEN {clip!r}
+  ELSE GREATEST(LEAST({_ppf('lv')}, {clip!r}), -{clip!r}) END AS {c} FROM {c}_lv)""")
+    return pre + "," + ",".join(body) + """
+SELECT a.id, a.part, ROUND(a.o_totalprice, 6) AS o_totalprice, ROUND(b.li_qty, 6) AS li_qty
+FROM o_totalprice_z a JOIN li_qty_z b ON a.id = b.id AND a.part = b.part"""
+
+
+def _yj(x, lam):
+    return (f"(CASE WHEN {x} >= 0 THEN (CASE WHEN ABS({lam}) < 1e-12 THEN LN(1 + {x}) ELSE (POW({x} + 1, {lam}) - 1) / {lam} END) "
+            f"ELSE (CASE WHEN ABS({lam} - 2) < 1e-12 THEN -LN(1 - {x}) ELSE -(POW(1 - {x}, 2 - {lam}) - 1) / (2 - {lam}) END) END)")
+
+
+def n9():
+    coarse = ", ".join(f"({i}, {round(-3.0 + 0.1 * i, 10)!r})" for i in range(61))
+    body = []
+    for c in ["c_acctbal", "li_disc"]:
+        body.append(f"""
+{c}_g1 AS (SELECT g.i, g.lam, COUNT(t.{c}) AS n, VAR_POP({_yj('t.' + c, 'g.lam')}) AS v,
+   SUM(SIGN(t.{c}) * LN(1 + ABS(t.{c}))) AS sl FROM (VALUES {coarse}) g(i, lam) CROSS JOIN tr t WHERE t.{c} IS NOT NULL GROUP BY g.i, g.lam),
+{c}_b1 AS (SELECT lam FROM {c}_g1 WHERE v > 0 ORDER BY -n / 2.0 * LN(v) + (lam - 1) * sl DESC, i LIMIT 1),
+{c}_f AS (SELECT i, ROUND(b.lam - 0.1 + 0.005 * i, 10) AS lam FROM {c}_b1 b, range(0, 41) r(i)),
+{c}_g2 AS (SELECT g.i, g.lam, COUNT(t.{c}) AS n, VAR_POP({_yj('t.' + c, 'g.lam')}) AS v,
+   SUM(SIGN(t.{c}) * LN(1 + ABS(t.{c}))) AS sl FROM {c}_f g CROSS JOIN tr t WHERE t.{c} IS NOT NULL GROUP BY g.i, g.lam),
+{c}_b2 AS (SELECT lam FROM {c}_g2 WHERE v > 0 ORDER BY -n / 2.0 * LN(v) + (lam - 1) * sl DESC, i LIMIT 1),
+{c}_ms AS (SELECT AVG({_yj('t.' + c, 'b.lam')}) AS m, STDDEV_POP({_yj('t.' + c, 'b.lam')}) AS s FROM tr t CROSS JOIN {c}_b2 b),
+{c}_o AS (SELECT r.id, r.part, ({_yj('r.x', 'b.lam')} - ms.m) / CASE WHEN ms.s = 0 THEN 1 ELSE ms.s END AS {c}
+  FROM (SELECT id, 'train' AS part, {c} AS x FROM tr UNION ALL SELECT id, 'test', {c} FROM ts) r CROSS JOIN {c}_b2 b CROSS JOIN {c}_ms ms)""")
+    return tt() + "," + ",".join(body) + """
+SELECT a.id, a.part, ROUND(a.c_acctbal, 6) AS c_acctbal, ROUND(b.li_disc, 6) AS li_disc
+FROM c_acctbal_o a JOIN li_disc_o b ON a.id = b.id AND a.part = b.part"""
+
+
+ORACLE.update({"n8_quantile_normal_transform": n8, "n9_yeo_johnson_transform": n9})
