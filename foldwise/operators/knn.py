@@ -81,15 +81,14 @@ def knn_neighbours(ref: DataFrame, queries: DataFrame, k: int, max_pivots: int =
                 cands.append(np.nonzero(ok)[0].astype(np.int32))
                 ub.append(u)
             yield pd.DataFrame({"qid": pdf["qid"].to_numpy(), "excl_fold": pdf["excl_fold"].to_numpy(),
-                                "u": np.array(ub, dtype=float), "cells": cands})
+                                "u": np.array(ub, dtype=float), "cells": cands, "qx": pdf["x"]})
 
+    # the query vector travels with its bound, so the candidate pairs need one equi-join only
     qb = queries.select("qid", "excl_fold", "x").mapInPandas(
-        bounds, "qid long, excl_fold int, u double, cells array<int>")
-    qc = qb.select("qid", "excl_fold", "u", F.explode("cells").alias("cell"))
-    qx = queries.select("qid", "excl_fold", F.col("x").alias("qx"))
+        bounds, "qid long, excl_fold int, u double, cells array<int>, qx array<double>")
+    qc = qb.select("qid", "excl_fold", "u", "qx", F.explode("cells").alias("cell"))
     pairs = (qc.join(ref_c.select("cell", "tid", "fold", "label", "x"), "cell")
              .filter(F.col("fold") != F.col("excl_fold"))
-             .join(qx, ["qid", "excl_fold"])
              .withColumn("d", _dist(F.col("qx"), F.col("x")))
              .filter(F.col("d") <= F.col("u")))
     w = Window.partitionBy("qid", "excl_fold").orderBy(_round9(F.col("d")), "tid")

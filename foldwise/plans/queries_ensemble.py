@@ -192,3 +192,15 @@ def q_k14(spark, sf):
     avg = B.mean_over(reduce(DataFrame.unionByName, outs), "seed", ["id", "class"])
     v = B.decide(B.to_vector(avg, 5), PRIORITY_LABELS)
     return v.select("id", "pred", "label")
+
+
+@register("k15_seed_average_margins_softmax")
+def q_k15(spark, sf):
+    """Per seed the raw class scores (log-probabilities, floored at 1e-300), mean over seeds,
+    then a row soft-max and argmax."""
+    from foldwise.functions.arrays import softmax
+    raw = _seeded_test(spark, sf).withColumn("m", F.log(F.greatest(F.col("p"), F.lit(1e-300))))
+    avg = raw.groupBy("id", "class").agg(F.avg("m").alias("p"))
+    v = B.to_vector(avg, 5).withColumn("probs", softmax("probs"))
+    v = B.decide(v, PRIORITY_LABELS)
+    return v.select("id", "pred", *[r6(F.col("probs")[i], f"p{i}") for i in range(5)])

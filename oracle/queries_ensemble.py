@@ -265,3 +265,15 @@ SELECT id, pred, {_decode()} AS label FROM am"""
 
 
 ORACLE.update({"a15_mean_fold_score": a15, "p6_meta_block_subset": p6, "k14_seed_average_of_blend": k14})
+
+
+def k15() -> str:
+    return _seeded() + """,
+mg AS (SELECT id, class, AVG(LN(GREATEST(p, 1e-300))) AS m FROM seeded GROUP BY id, class),
+ex AS (SELECT id, class, EXP(m - MAX(m) OVER (PARTITION BY id)) AS e FROM mg),
+sm AS (SELECT id, class, e / SUM(e) OVER (PARTITION BY id) AS p FROM ex),""" + _argmax_cte("sm", "id", "am") + """
+SELECT sm.id, am.pred, """ + ", ".join(f"ROUND(MAX(CASE WHEN sm.class = {i} THEN sm.p END), 6) AS p{i}" for i in range(5)) + """
+FROM sm JOIN am ON am.id = sm.id GROUP BY sm.id, am.pred"""
+
+
+ORACLE.update({"k15_seed_average_margins_softmax": k15})

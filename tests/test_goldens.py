@@ -97,3 +97,27 @@ def test_g11_multiclass_te(spark):
     ts = spark.createDataFrame([(9, "zz")], "id long, c string")
     u = te.apply_test(ts).collect()[0]
     assert [u[f"c_te_{i}"] for i in range(3)] == pytest.approx([1 / 3] * 3)
+
+
+def test_inverse_normal_matches_stdlib(spark):
+    from statistics import NormalDist
+
+    from foldwise.functions.normal import inv_norm_cdf
+    ps = [1e-12, 1e-7, 0.001, 0.02425, 0.1, 0.3, 0.5, 0.7, 0.9, 0.97575, 0.999, 1 - 1e-7]
+    df = spark.createDataFrame([(p,) for p in ps], "p double")
+    got = [r[0] for r in df.select(inv_norm_cdf(F.col("p"))).collect()]
+    assert got == pytest.approx([NormalDist().inv_cdf(p) for p in ps], rel=1e-12, abs=1e-12)
+
+
+def test_yeo_johnson_expression(spark):
+    from foldwise.operators.scale import yeo_johnson
+    df = spark.createDataFrame([(-2.0,), (0.0,), (3.0,)], "x double")
+    for lam in [0.0, 0.5, 2.0]:
+        got = [r[0] for r in df.select(yeo_johnson("x", lam)).collect()]
+        exp = []
+        for x in [-2.0, 0.0, 3.0]:
+            if x >= 0:
+                exp.append(math.log1p(x) if lam == 0 else ((x + 1) ** lam - 1) / lam)
+            else:
+                exp.append(-math.log1p(-x) if lam == 2 else -((1 - x) ** (2 - lam) - 1) / (2 - lam))
+        assert got == pytest.approx(exp)
