@@ -91,8 +91,11 @@ def fit_target_encoder(train: DataFrame, cols: list[str], y: str = "y", fold_col
         .groupBy("col", "value", F.col(fold_col).alias("fold"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(y).cast("double")).alias("s"))
     )
-    fold_tbl = train.sparkSession.createDataFrame([(int(f), float(g_fold[f])) for f in folds], "fold int, g_fold double")
-    grid = stats.select("col", "value").distinct().crossJoin(F.broadcast(fold_tbl))  # k rows per value
+    # complete (value x fold) grid: each distinct value expanded to the k fold ids in-task
+    g_map = F.create_map(*[x for f in folds for x in (F.lit(int(f)), F.lit(float(g_fold[f])))])
+    grid = (stats.select("col", "value").distinct()
+            .withColumn("fold", F.explode(F.array(*[F.lit(int(f)) for f in folds])))
+            .withColumn("g_fold", g_map[F.col("fold")]))
     cell = grid.join(stats, ["col", "value", "fold"], "left").fillna(0, subset=["n", "s"])
     w = Window.partitionBy("col", "value")
     cell = cell.withColumn("n_oof", F.sum("n").over(w) - F.col("n")).withColumn("s_oof", F.sum("s").over(w) - F.col("s"))
@@ -184,8 +187,8 @@ def fit_multiclass_target_encoder(train: DataFrame, cols: list[str], y: str, k:
         .agg(*[F.sum((F.col(y) == i).cast("long")).alias(f"c{i}") for i in range(k)])
     )
     folds = sorted(r[0] for r in train.select(fold_col).distinct().collect())
-    fold_tbl = train.sparkSession.createDataFrame([(int(f),) for f in folds], "fold int")
-    grid = stats.select("col", "value").distinct().crossJoin(F.broadcast(fold_tbl))
+    grid = (stats.select("col", "value").distinct()
+            .withColumn("fold", F.explode(F.array(*[F.lit(int(f)) for f in folds]))))
     cell = grid.join(stats, ["col", "value", "fold"], "left").fillna(0)
     w = Window.partitionBy("col", "value")
     oof = [F.sum(f"c{i}").over(w) - F.col(f"c{i}") for i in range(k)]
