@@ -43,3 +43,18 @@ def inv_norm_cdf(p: Column) -> Column:
     tail = F.when(r0 <= 5.0, near).otherwise(far)
     tail = F.when(q < 0, -tail).otherwise(tail)
     return F.when(F.abs(q) <= 0.425, central).otherwise(tail)
+
+
+def with_inv_norm_cdf(df, p: str, out: str):
+    """Staged form of ``inv_norm_cdf`` for DataFrames: the shared pieces (q, r) are columns, so the
+    generated code does not repeat them inside every polynomial."""
+    d = df.withColumn("_nq", F.col(p) - F.lit(0.5))
+    d = d.withColumn("_nr", F.sqrt(-F.log(F.when(F.col("_nq") < 0, F.col(p)).otherwise(F.lit(1.0) - F.col(p)))))
+    q, r0 = F.col("_nq"), F.col("_nr")
+    r_c = F.lit(0.180625) - q * q
+    central = q * horner(A, r_c) / horner(B, r_c)
+    near = horner(C, r0 - F.lit(1.6)) / horner(D, r0 - F.lit(1.6))
+    far = horner(E, r0 - F.lit(5.0)) / horner(FF, r0 - F.lit(5.0))
+    tail = F.when(r0 <= 5.0, near).otherwise(far)
+    z = F.when(F.abs(q) <= 0.425, central).otherwise(F.when(q < 0, -tail).otherwise(tail))
+    return d.withColumn(out, z).drop("_nq", "_nr")

@@ -97,7 +97,7 @@ def apply_quantile_normal(df: DataFrame, params: dict) -> DataFrame:
 
     from pyspark.ml.feature import Bucketizer
 
-    from foldwise.functions.normal import inv_norm_cdf
+    from foldwise.functions.normal import with_inv_norm_cdf
     clip = -NormalDist().inv_cdf(BOUNDS_THRESHOLD - 2.220446049250313e-16)
     spark = df.sparkSession
     cols = list(params)
@@ -116,11 +116,12 @@ def apply_quantile_normal(df: DataFrame, params: dict) -> DataFrame:
             F.col("_rhi") + (x - F.col("_u")) / (F.col("_u2") - F.col("_u")) * (F.col("_rlo2") - F.col("_rhi")))
         level = (F.when(x - BOUNDS_THRESHOLD < F.lit(u[0]), F.lit(0.0))
                  .when(x + BOUNDS_THRESHOLD > F.lit(u[-1]), F.lit(1.0)).otherwise(mid))
-        z = inv_norm_cdf(level)
-        z = F.when(level <= 0.0, F.lit(-clip)).when(level >= 1.0, F.lit(clip)).otherwise(
+        out = with_inv_norm_cdf(out.withColumn("_lv", level), "_lv", "_z")
+        lv, z = F.col("_lv"), F.col("_z")
+        z = F.when(lv <= 0.0, F.lit(-clip)).when(lv >= 1.0, F.lit(clip)).otherwise(
             F.greatest(F.least(z, F.lit(clip)), F.lit(-clip)))
         out = out.withColumn(c, F.when(x.isNull(), F.lit(None).cast("double")).otherwise(z)).drop(
-            "_m", "_u", "_rlo", "_rhi", "_u2", "_rlo2")
+            "_m", "_u", "_rlo", "_rhi", "_u2", "_rlo2", "_lv", "_z")
     return out.select(*df.columns)
 
 
