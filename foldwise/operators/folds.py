@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldwise.session import cut_lineage, join_dim
 
 
 def hash_key(id_col: str, seed: int | str) -> Column:
@@ -28,21 +27,30 @@ def hash_key(id_col: str, seed: int | str) -> Column:
 
 def stratified_rank(df: DataFrame, id_col: str, strata: str | None, seed: int | str, prefix: int = 4,
                     rank_col: str = "_rank", size_col: str = "_n_stratum") -> DataFrame:
-    """Add the 0-based rank of each row inside its stratum, ordered by (hash, id), and the stratum size."""
-    st = F.col(strata) if strata else F.lit(0)
-    d = df.withColumn("_st", st).withColumn("_h", hash_key(id_col, seed)).withColumn("_b", F.substring("_h", 1, prefix))
-    counts = d.groupBy("_st", "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    """Add the 0-based rank of each row inside its stratum, ordered by (hash, id), and the stratum size.
+
+    One plan, one pass over the input: rows are shuffled once by (stratum, bucket) and numbered
+    inside it; the bucket sizes come from that same partitioned data (no second exchange), their
+    running sum per stratum (a table of at most strata x 16**prefix rows) gives each bucket's
+    offset, and the offsets join back on the existing (stratum, bucket) partitioning.
+    """
+    # stratum as two non-null plain keys (null flag, text): equality joins and partitionings then
+    # line up exactly (no null-safe or float-normalised key forcing another exchange)
+    stn = F.isnull(F.col(strata)) if strata else F.lit(False)
+    stv = F.coalesce(F.col(strata).cast("string"), F.lit("")) if strata else F.lit("")
+    keys = ["_stn", "_stv", "_b"]
+    d = (df.withColumn("_stn", stn).withColumn("_stv", stv).withColumn("_h", hash_key(id_col, seed))
+         .withColumn("_b", F.substring("_h", 1, prefix)))
+    ranked = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy("_h", id_col)))
+    counts = ranked.groupBy(*keys).agg(F.max("_rn").alias("_cnt"))
+    w_st = Window.partitionBy("_stn", "_stv")
     offs = counts.select(
-        F.col("_st").alias("_st2"),
-        F.col("_b").alias("_b2"),
-        (F.sum("_cnt").over(Window.partitionBy("_st").orderBy("_b")) - F.col("_cnt")).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy("_st")).alias(size_col),
+        *keys,
+        (F.sum("_cnt").over(w_st.orderBy("_b")) - F.col("_cnt")).alias("_off"),
+        F.sum("_cnt").over(w_st).alias(size_col),
     )
-    offs = cut_lineage(offs)
-    joined = join_dim(d, offs, on=(d["_st"].eqNullSafe(offs["_st2"])) & (d["_b"] == offs["_b2"]), how="inner")
-    rn = F.row_number().over(Window.partitionBy("_st", "_b").orderBy("_h", id_col))
-    out = joined.withColumn(rank_col, F.col("_off") + rn - 1)
-    return out.drop("_st", "_h", "_b", "_st2", "_b2", "_off")
+    out = ranked.join(offs, keys, "inner").withColumn(rank_col, F.col("_off") + F.col("_rn") - 1)
+    return out.drop("_stn", "_stv", "_h", "_b", "_off", "_rn")
 
 
 def stratified_kfold(df: DataFrame, id_col: str, label: str, k: int = 5, seed: int = 42,

@@ -9,6 +9,7 @@ The fold loop runs on the driver (k iterations, bounded); each fit is a distribu
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
@@ -54,15 +55,18 @@ def proba(pred: DataFrame, kind: str, k: int) -> DataFrame:
 
 
 def oof_predict(train_in: DataFrame, test_in: DataFrame | None, make, model: str, kind: str = "probability",
-                k_classes: int = 2, test_mode: str = "fold_mean", fit=None):
+                k_classes: int = 2, test_mode: str = "fold_mean", fit=None, parallelism: int = 5):
     """K1-K4: fit ``make()`` on all folds but f, predict fold f and the test rows.
 
     ``fit(estimator, rows)`` may replace ``estimator.fit`` (for composite learners)."""
     fit = fit or (lambda est, rows: est.fit(rows))
     folds = sorted(r[0] for r in train_in.select("fold").distinct().collect())
+    # the k fold fits are independent: submit them from parallel driver threads (as CrossValidator's
+    # ``parallelism``), so their many small iteration jobs share the cluster instead of queueing
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(folds)))) as pool:
+        fitted = list(pool.map(lambda f: fit(make(), train_in.filter(F.col("fold") != f)), folds))
     oofs, tests = [], []
-    for f in folds:
-        m = fit(make(), train_in.filter(F.col("fold") != f))
+    for f, m in zip(folds, fitted):
         oofs.append(proba(m.transform(train_in.filter(F.col("fold") == f)), kind, k_classes))
         if test_in is not None and test_mode == "fold_mean":
             tests.append(proba(m.transform(test_in), kind, k_classes).withColumn("fold", F.lit(f)))
