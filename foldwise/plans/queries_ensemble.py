@@ -204,3 +204,21 @@ def q_k15(spark, sf):
     v = B.to_vector(avg, 5).withColumn("probs", softmax("probs"))
     v = B.decide(v, PRIORITY_LABELS)
     return v.select("id", "pred", *[r6(F.col("probs")[i], f"p{i}") for i in range(5)])
+
+
+@register("q_quality_te_naive_bayes")
+def q_quality(spark, sf):
+    """Text-quality table Q (documents joined with labels): hold-out + folds, m-estimate target
+    encoding of source and lang, naive Bayes on (source_te, lang_te, n_chars), accuracy per part."""
+    from foldwise.operators.bayes import naive_bayes_oof
+    from foldwise.operators.target import fit_target_encoder
+    from foldwise.plans.prepare import split_train_test
+    from foldwise.sources.tables import quality_base
+    tr, ts = split_train_test(quality_base(spark, sf), "id", "y")
+    te = fit_target_encoder(tr, ["source", "lang"], "y", kind="mestimate", m=1.0, test_mode="full")
+    tr, ts = te.apply_oof(tr), te.apply_test(ts)
+    oof, tst, _ = naive_bayes_oof(tr, ts, ["source_te", "lang_te", "n_chars"], "y", model="nb_q")
+    p_oof = oof.filter(F.col("class") == 1).select("id", "p").join(tr.select("id", "y"), "id").withColumn("part", F.lit("oof"))
+    p_tst = tst.filter(F.col("class") == 1).select("id", "p").join(ts.select("id", "y"), "id").withColumn("part", F.lit("test"))
+    both = p_oof.unionByName(p_tst).withColumn("pred", (F.col("p") >= 0.5).cast("double"))
+    return accuracy(both, "pred", "y", ["part"]).select("part", "n", r6("accuracy", "accuracy"))

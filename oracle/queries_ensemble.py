@@ -277,3 +277,23 @@ FROM sm JOIN am ON am.id = sm.id GROUP BY sm.id, am.pred"""
 
 
 ORACLE.update({"k15_seed_average_margins_softmax": k15})
+
+
+def q_quality() -> str:
+    return "WITH " + """
+q AS (SELECT d.doc_id AS id, CAST(l.quality AS DOUBLE) AS y, d.lang, d.source, CAST(d.n_chars AS DOUBLE) AS n_chars
+      FROM documents d JOIN labels l ON l.doc_id = d.doc_id),""" + S.split("q", "y", "sp") + """,
+tr0 AS (SELECT * EXCLUDE (split) FROM sp WHERE split = 'train'),
+ts0 AS (SELECT * EXCLUDE (split, fold) FROM sp WHERE split = 'test'),""" + \
+        S.te_mestimate("tr0", "ts0", "source", "y", 1, "tes") + "," + S.te_mestimate("tr0", "ts0", "lang", "y", 1, "tel") + """,
+tr AS (SELECT t.*, a.enc AS source_te, b.enc AS lang_te FROM tr0 t JOIN tes_tr a ON a.id = t.id JOIN tel_tr b ON b.id = t.id),
+ts AS (SELECT t.*, a.enc AS source_te, b.enc AS lang_te FROM ts0 t JOIN tes_ts a ON a.id = t.id JOIN tel_ts b ON b.id = t.id),""" + \
+        S.naive_bayes("tr", "ts", ["source_te", "lang_te", "n_chars"], "y", "nbq") + """
+SELECT part, COUNT(*) AS n, ROUND(AVG(CAST(pred = y AS DOUBLE)), 6) AS accuracy FROM (
+  SELECT 'oof' AS part, CAST(o.p >= 0.5 AS DOUBLE) AS pred, t.y FROM nbq_oof o JOIN tr t ON t.id = o.id WHERE o.class = 1
+  UNION ALL
+  SELECT 'test', CAST(o.p >= 0.5 AS DOUBLE), t.y FROM nbq_test o JOIN ts t ON t.id = o.id WHERE o.class = 1) x
+GROUP BY part"""
+
+
+ORACLE.update({"q_quality_te_naive_bayes": q_quality})
