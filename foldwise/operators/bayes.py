@@ -53,6 +53,11 @@ class NaiveBayesFit:
             mu, var, c0 = [], [], []
             for c in self.classes:
                 cc = [v for key, v in keep.items() if key[1] == c]
+                if not cc:  # class absent from this training part: it gets probability 0
+                    mu.append([0.0] * d)
+                    var.append([1.0] * d)
+                    c0.append(-1e300)
+                    continue
                 n_c, m_c, v_c = _merge(cc)
                 v_c = v_c + eps
                 mu.append(m_c.tolist())
