@@ -26,10 +26,12 @@ def wide_scores(pred: DataFrame, models: list[str], cls: int = 1, id_col: str =
 def score_candidates(scored: DataFrame, models: list[str], y: str, candidates: list[list[float]],
                      threshold: float = 0.5) -> DataFrame:
     """(wid, accuracy) of ``sum_m w_m p_m >= threshold`` against y (0/1) for every candidate."""
-    p = F.array(*[F.col(f"p_{m}") for m in models])
     cand = lit_array(candidates)
-    ex = scored.select(F.col(y).alias("_y"), p.alias("_p"), F.posexplode(cand).alias("wid", "_w"))
-    blend = F.aggregate(F.zip_with("_w", "_p", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+    ex = scored.select(F.col(y).alias("_y"), *[F.col(f"p_{m}") for m in models], F.posexplode(cand).alias("wid", "_w"))
+    # unrolled dot product (no lambda): stays in generated code
+    blend = F.col("_w")[0] * F.col(f"p_{models[0]}")
+    for i, m in enumerate(models[1:], start=1):
+        blend = blend + F.col("_w")[i] * F.col(f"p_{m}")
     hit = ((blend >= F.lit(threshold)).cast("double") == F.col("_y")).cast("double")
     return ex.groupBy("wid").agg(F.avg(hit).alias("accuracy"))
 
