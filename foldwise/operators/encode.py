@@ -44,33 +44,61 @@ def _dims(df: DataFrame, cols: list[str], make) -> dict:
     return {c: cut_lineage(make(c).select(F.col("value").cast("string").alias("value"), F.col("out"))) for c in cols}
 
 
+def _long(df: DataFrame, cols: list[str], dropna: bool = True) -> DataFrame:
+    """All listed columns stacked as (col, value) text rows -- one scan serves every column."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")) for c in cols])
+    long = df.select(F.inline(pairs))
+    return long.filter(F.col("value").isNotNull()) if dropna else long
+
+
+def long_counts(df: DataFrame, cols: list[str], dropna: bool = True) -> DataFrame:
+    """(col, value, n) for all columns in ONE aggregation (partial aggregation map-side)."""
+    return _long(df, cols, dropna).groupBy("col", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _split_dims(long_dim: DataFrame, cols: list[str]) -> dict:
+    """One materialised (col, value, out) table, viewed per column."""
+    t = cut_lineage(long_dim.select("col", F.col("value").cast("string").alias("value"), "out"))
+    return {c: t.filter(F.col("col") == c).select("value", "out") for c in cols}
+
+
 def fit_frequency(train: DataFrame, cols: list[str], suffix: str = "_FE") -> LookupEncoder:
     """Counts of the training rows; unseen / null -> null."""
-    return LookupEncoder(_dims(train, cols, lambda c: value_counts(train, c).withColumnRenamed("n", "out")), None, suffix)
+    return LookupEncoder(_split_dims(long_counts(train, cols).withColumnRenamed("n", "out"), cols), None, suffix)
 
 
 def frequency_self(df: DataFrame, cols: list[str], suffix: str = "_freq") -> DataFrame:
     """Counts on the table itself, null counted as a value (``value_counts(dropna=False)``)."""
-    enc = LookupEncoder(_dims(df, cols, lambda c: value_counts(df, c, dropna=False).withColumnRenamed("n", "out")),
-                        None, suffix, null_matches=True)
-    return enc.apply(df)
+    dims = _split_dims(long_counts(df, cols, dropna=False).withColumnRenamed("n", "out"), cols)
+    return LookupEncoder(dims, None, suffix, null_matches=True).apply(df)
 
 
 def fit_relative_frequency(train: DataFrame, cols: list[str], suffix: str = "_freq", unseen=0.0) -> LookupEncoder:
-    """E3 (unseen -> 0) / E4 rarity (``unseen=None``: unseen -> null)."""
-    return LookupEncoder(_dims(train, cols, lambda c: relative_frequency(train, c).withColumnRenamed("freq", "out")),
-                         unseen, suffix)
+    """E3 (unseen -> 0) / E4 rarity (``unseen=None``: unseen -> null).  Denominator = non-null rows of
+    the column, from a per-column total table (one row per column, broadcast)."""
+    lc = long_counts(train, cols)
+    tot = lc.groupBy("col").agg(F.sum("n").alias("_tot"))
+    rel = lc.join(F.broadcast(tot), "col").select("col", "value", (F.col("n") / F.col("_tot")).alias("out"))
+    return LookupEncoder(_split_dims(rel, cols), unseen, suffix)
+
+
+def _dense_indices(train: DataFrame, cols: list[str]) -> DataFrame:
+    """(col, value, out = 0-based sorted index) for all columns at once: distinct (col, value) pairs,
+    range-partitioned running counts per column (no window over a whole column)."""
+    from foldwise.operators.rank import cumulative_before
+    d = _long(train, cols).distinct().withColumn("_one", F.lit(1))
+    cb = cumulative_before(d, ["value"], "_one", ["col"])
+    return cb.select("col", "value", F.col("_before").cast("long").alias("out"))
 
 
 def fit_ordinal(train: DataFrame, cols: list[str], unseen: int = -1, suffix: str = "_OE") -> LookupEncoder:
     """Sorted index, unseen -> -1.  E5 label encoding: ``unseen=K`` (use ``fit_label_index``)."""
-    return LookupEncoder(_dims(train, cols, lambda c: dense_index(train, c).withColumnRenamed("idx", "out")),
-                         unseen, suffix, out_type="long")
+    return LookupEncoder(_split_dims(_dense_indices(train, cols), cols), unseen, suffix, out_type="long")
 
 
 def fit_label_index(train: DataFrame, cols: list[str], suffix: str = "_LE") -> LookupEncoder:
     """E5: sorted index with unseen -> K (the number of training values), like StringIndexer(keep)."""
-    dims = _dims(train, cols, lambda c: dense_index(train, c).withColumnRenamed("idx", "out"))
+    dims = _split_dims(_dense_indices(train, cols), cols)
     return LookupEncoder(dims, {c: d.count() for c, d in dims.items()}, suffix, out_type="long")
 
 
@@ -80,8 +108,9 @@ def fit_one_hot_levels(train: DataFrame, cols: list[str], max_levels: int = 1000
     """Sorted level list per column (bounded: one-hot is for low-cardinality columns)."""
     out = {}
     for c in cols:
-        levels = [r[0] for r in train.select(F.col(c).cast("string")).filter(F.col(c).isNotNull())
-                  .distinct().orderBy(F.col(c).cast("string")).limit(max_levels + 1).collect()]
+        # sorted in the column's own type (integer codes numerically), matched as text
+        levels = [str(r[0]) for r in train.select(F.col(c)).filter(F.col(c).isNotNull())
+                  .distinct().orderBy(F.col(c)).limit(max_levels + 1).collect()]
         if len(levels) > max_levels:
             raise ValueError(f"{c} has more than {max_levels} levels; use a lookup encoder instead")
         out[c] = levels

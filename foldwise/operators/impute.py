@@ -16,15 +16,22 @@ def fit_median(train: DataFrame, cols: list[str]) -> dict:
 def fit_mode(train: DataFrame, cols: list[str]) -> dict:
     """Most frequent non-null value; ties go to the smallest value.
 
-    One aggregation per column to (value, count) -- partial aggregation keeps the
-    shuffle at distinct values -- then the max by (count desc, value asc).
-    """
+    ONE aggregation for all columns to (col, value, count) -- partial aggregation keeps the
+    shuffle at distinct values -- then per column the max by (count desc, value asc).
+    Values are compared in the column's own type (numbers as numbers)."""
     out = {}
+    types = dict(train.dtypes)
+    same = {}
     for c in cols:
-        top = (train.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-               .agg(F.min_by(F.col(c), F.struct((-F.col("n")).alias("nn"), F.col(c).alias("v"))).alias("m")).collect())
-        out[c] = top[0]["m"] if top else None
-    return out
+        same.setdefault(types[c], []).append(c)
+    for _, group in same.items():
+        pairs = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("value")) for c in group])
+        counts = (train.select(F.inline(pairs)).filter(F.col("value").isNotNull())
+                  .groupBy("col", "value").agg(F.count(F.lit(1)).alias("n")))
+        best = counts.groupBy("col").agg(
+            F.min_by(F.col("value"), F.struct((-F.col("n")).alias("nn"), F.col("value").alias("v"))).alias("m")).collect()
+        out.update({r["col"]: r["m"] for r in best})
+    return {c: out.get(c) for c in cols}
 
 
 def apply_fill(df: DataFrame, values: dict) -> DataFrame:

@@ -202,7 +202,7 @@ def e10():
     code = "CAST(LEAST(COALESCE(li_lines, 0), 6) AS INTEGER)"
     return tt() + f""",
 tr2 AS (SELECT *, {code} AS n_lines FROM tr), ts2 AS (SELECT *, {code} AS n_lines FROM ts),
-l1 AS (SELECT value, row_number() OVER (ORDER BY CAST(value AS VARCHAR)) - 1 AS idx FROM (SELECT DISTINCT CAST(n_lines AS VARCHAR) AS value FROM tr2)),
+l1 AS (SELECT CAST(v AS VARCHAR) AS value, row_number() OVER (ORDER BY v) - 1 AS idx FROM (SELECT DISTINCT n_lines AS v FROM tr2)),
 tr_o AS (SELECT id, {_oh('n_lines', 'l1', 7)} FROM tr2),
 ts_o AS (SELECT id, {_oh('n_lines', 'l1', 7)} FROM ts2)
 """ + both(", ".join(f"n_lines_oh_{i}" for i in range(7)))
