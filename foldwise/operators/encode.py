@@ -85,10 +85,20 @@ def fit_relative_frequency(train: DataFrame, cols: list[str], suffix: str = "_fr
 def _dense_indices(train: DataFrame, cols: list[str]) -> DataFrame:
     """(col, value, out = 0-based sorted index) for all columns at once: distinct (col, value) pairs,
     range-partitioned running counts per column (no window over a whole column)."""
+    from functools import reduce
+
     from foldwise.operators.rank import cumulative_before
-    d = _long(train, cols).distinct().withColumn("_one", F.lit(1))
-    cb = cumulative_before(d, ["value"], "_one", ["col"])
-    return cb.select("col", "value", F.col("_before").cast("long").alias("out"))
+    types = dict(train.dtypes)
+    groups = {}
+    for c in cols:  # columns of one type share a pass; values sort in their own type (codes numerically)
+        groups.setdefault(types[c], []).append(c)
+    parts = []
+    for _, group in groups.items():
+        pairs = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("value")) for c in group])
+        d = train.select(F.inline(pairs)).filter(F.col("value").isNotNull()).distinct().withColumn("_one", F.lit(1))
+        cb = cumulative_before(d, ["value"], "_one", ["col"])
+        parts.append(cb.select("col", F.col("value").cast("string").alias("value"), F.col("_before").cast("long").alias("out")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def fit_ordinal(train: DataFrame, cols: list[str], unseen: int = -1, suffix: str = "_OE") -> LookupEncoder:
