@@ -204,7 +204,7 @@ def q_m19(spark, sf):
     return _out(*K.oof_predict(tr, ts, lambda: M.gbt(60, 4, 0.1, validation_col="is_val"), "gbt_es"))
 
 
-@register("m21_pipeline_column_groups")
+@register("m21_column_groups_then_model")
 def q_m21(spark, sf):
     """Per-column-group preprocessing (index + one-hot of categories, numeric passthrough; rest
     dropped) and a logistic model as ONE pyspark.ml Pipeline, fitted on train, applied to test."""
@@ -219,7 +219,7 @@ def q_m21(spark, sf):
     ])
     m = pipe.fit(tr)
     out = m.transform(ts)
-    return out.select("id", F.lit("pipeline_lr").alias("model"), F.posexplode(vector_to_array("probability")).alias("class", "p")) \
+    return out.select("id", F.lit("grouped_lr").alias("model"), F.posexplode(vector_to_array("probability")).alias("class", "p")) \
         .select("id", "model", F.col("class").cast("int").alias("class"), r6("p", "p"))
 
 
