@@ -121,3 +121,11 @@ def test_yeo_johnson_expression(spark):
             else:
                 exp.append(-math.log1p(-x) if lam == 2 else -((1 - x) ** (2 - lam) - 1) / (2 - lam))
         assert got == pytest.approx(exp)
+
+
+def test_ordinal_sorts_integer_codes_numerically(spark):
+    tr = spark.createDataFrame([(10,), (2,), (2,), (7,)], "c int")
+    got = {r["c"]: r["c_OE"] for r in E.fit_ordinal(tr, ["c"]).apply(tr).collect()}
+    assert got == {2: 0, 7: 1, 10: 2}
+    lv = E.fit_one_hot_levels(tr, ["c"])
+    assert lv["c"] == ["2", "7", "10"]
