@@ -59,7 +59,7 @@ def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", ratio
 def page_report(pages: DataFrame, ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
     """page_id, host, n_lines, n_dropped, kept_sha256 of the lines left in each web page, joined by line feeds."""
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
-    lines = F.filter(F.transform(F.split(F.col("html"), MARKUP, -1), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(F.col("html"), MARKUP, -1), lambda x: F.trim(x)), lambda x: x != "")
     out = with_kept_lines(pages, host, F.coalesce(lines, F.array().cast("array<string>")), ratio, min_pages)
     return out.select("page_id", host.alias("host"), F.size("all_lines").cast("long").alias("n_lines"),
                       (F.size("all_lines") - F.size("kept_lines")).cast("long").alias("n_dropped"),
