@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldwise.llm import line_dedup
+from foldwise.llm import line_dedup, secrets
 from foldwise.llm.common import ship, table
 
 QUERIES: dict = {}
@@ -28,3 +28,9 @@ def register(name: str, sql: str | None = None):
 def op6(spark, sf_dir):
     """Boilerplate lines of each site dropped from its web pages."""
     return line_dedup.page_report(table(spark, sf_dir, "pages"))
+
+
+@register("op9_secret_scan", secrets.SCAN_SQL)
+def op9(spark, sf_dir):
+    """Secrets of every document, with ownership of their values over the corpus."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
