@@ -59,3 +59,8 @@ def sha256_hex(c):
 def text_bytes(df: DataFrame, col: str) -> int:
     """UTF-8 bytes of a text column over all rows."""
     return int(df.agg(F.sum(F.octet_length(col))).first()[0] or 0)
+
+
+def text_key(col: str):
+    """64-bit key of a text; with the document's id it names a document (rows equal in both are the same document)."""
+    return F.xxhash64(F.coalesce(F.col(col), F.lit("")))

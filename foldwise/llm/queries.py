@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldwise.llm import line_dedup, secrets
+from foldwise.llm import decontaminate, line_dedup, secrets
 from foldwise.llm.common import ship, table
 
 QUERIES: dict = {}
@@ -34,3 +34,9 @@ def op6(spark, sf_dir):
 def op9(spark, sf_dir):
     """Secrets of every document, with ownership of their values over the corpus."""
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@register("op2_decontamination", decontaminate.REPORT_SQL)
+def op2(spark, sf_dir):
+    """Benchmark windows of ten words in every document."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
