@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from foldwise.llm import decontaminate, line_dedup, secrets
+from foldwise.llm import decontaminate, forest, line_dedup, secrets
 from foldwise.llm.common import ship, table
 
 QUERIES: dict = {}
@@ -40,3 +41,9 @@ def op9(spark, sf_dir):
 def op2(spark, sf_dir):
     """Benchmark windows of ten words in every document."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op7_nearest_neighbours")
+def op7(spark, sf_dir):
+    """20 nearest rows, by inner product, of every embedding whose id is divisible by 20."""
+    return forest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
