@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import decontaminate, forest, line_dedup, secrets
+from foldwise.llm import decontaminate, forest, line_dedup, secrets, substring_dedup
 from foldwise.llm.common import ship, table
 
 QUERIES: dict = {}
@@ -47,3 +47,9 @@ def op2(spark, sf_dir):
 def op7(spark, sf_dir):
     """20 nearest rows, by inner product, of every embedding whose id is divisible by 20."""
     return forest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register("op4_substring_dedup", substring_dedup.REPORT_SQL)
+def op4(spark, sf_dir):
+    """Windows of 20 words that start earlier in the corpus cut out of every document."""
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
