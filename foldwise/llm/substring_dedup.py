@@ -34,7 +34,7 @@ WORD, WINDOW, CHECK = SpanHasher(401), SpanHasher(402), SpanHasher(403)
 ROWS = 2
 BLOCK = 20  # log2 of the cells of a block
 PART = 4_000_000  # windows of a partial sketch
-CHUNK = 1_500_000  # windows grouped in a map task before they are sent
+CHUNK = 500_000  # windows grouped in a map task before they are sent
 NULL_ID = np.iinfo(np.int64).min
 
 
@@ -182,8 +182,9 @@ def _chunk(held: list, shift, salt: int) -> pa.RecordBatch:
         for k, v in zip(rows, (bucket, known, pack(h[none]), pack(c[none]), pack(ids[pick]), pack(keys[pick]), pack(start[pick])), strict=True):
             rows[k].append(v)
 
-    bucket = (h >> shift).astype(np.int32) if shift is not None else np.zeros(len(h), np.int32)
     at = np.flatnonzero(lead)
+    bucket = (h >> shift).astype(np.int32) if shift is not None else np.zeros(len(h), np.int32)
+    at = at[np.lexsort((start[at], keys[at], ids[at], bucket[at]))]  # by document: its id and key are then sent almost for free
     cut = groups(bucket[at])
     for a, b in zip(cut[:-1], cut[1:], strict=True):
         if b > a:
