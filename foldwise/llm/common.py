@@ -64,3 +64,21 @@ def text_bytes(df: DataFrame, col: str) -> int:
 def text_key(col: str):
     """64-bit key of a text; with the document's id it names a document (rows equal in both are the same document)."""
     return F.xxhash64(F.coalesce(F.col(col), F.lit("")))
+
+
+def labelled_sample(rows: DataFrame, label: str, id_col: str, text: str, max_rows: int, max_bytes: int = 65536, salt: int = 0):
+    """A bounded sample of labelled rows, on the driver: Arrow table (label, text).
+
+    About ``max_rows`` rows of each label, chosen by a hash of the id (all, if fewer), without texts of over ``max_bytes``;
+    so at most about labels x max_rows x max_bytes."""
+    rows = rows.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("label"), F.col(id_col).alias("id"), F.col(text).alias("text"))
+    share = F.least(F.lit(1.0), F.lit(float(max_rows)) / F.count(F.lit(1)))
+    bound = rows.groupBy("label").agg(share.alias("share"))
+    place = F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return rows.filter(F.octet_length("text") <= max_bytes).join(F.broadcast(bound), "label").filter(place < F.col("share")) \
+        .orderBy(F.xxhash64("id", F.lit(salt)), "text").select("label", "text").toArrow()
+
+
+def fold(id_col, mod: int):
+    """crc32 of the id as text, modulo ``mod``; null for a null id."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % mod

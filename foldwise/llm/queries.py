@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import decontaminate, forest, line_dedup, secrets, substring_dedup
+from foldwise.llm import decontaminate, forest, language, line_dedup, secrets, substring_dedup
 from foldwise.llm.common import ship, table
 
 QUERIES: dict = {}
@@ -53,3 +53,9 @@ def op7(spark, sf_dir):
 def op4(spark, sf_dir):
     """Windows of 20 words that start earlier in the corpus cut out of every document."""
     return substring_dedup.dedup(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+@register("op3_language_id")
+def op3(spark, sf_dir):
+    """Language of every document by byte-context code lengths."""
+    return language.report(table(spark, sf_dir, "documents"))
