@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import decontaminate, forest, language, line_dedup, secrets, substring_dedup
+from foldwise.llm import decontaminate, forest, language, line_dedup, secrets, substring_dedup, toxicity
 from foldwise.llm.common import ship, table
 
 QUERIES: dict = {}
@@ -59,3 +59,9 @@ def op4(spark, sf_dir):
 def op3(spark, sf_dir):
     """Language of every document by byte-context code lengths."""
     return language.report(table(spark, sf_dir, "documents"))
+
+
+@register("op8_toxicity")
+def op8(spark, sf_dir):
+    """Toxicity of every document by compression distance."""
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
