@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import decontaminate, forest, language, line_dedup, secrets, substring_dedup, toxicity
+from foldwise.llm import decontaminate, forest, language, line_dedup, lm, secrets, substring_dedup, toxicity
 from foldwise.llm.common import ship, table
 
 QUERIES: dict = {}
@@ -65,3 +65,9 @@ def op3(spark, sf_dir):
 def op8(spark, sf_dir):
     """Toxicity of every document by compression distance."""
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op5_lm_scoring")
+def op5(spark, sf_dir):
+    """Log probability of every document by logistic context mixing, and by smoothed word counts."""
+    return lm.report(table(spark, sf_dir, "documents"))
