@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import decontaminate, forest, language, line_dedup, lm, secrets, substring_dedup, toxicity
+from foldwise.llm import decontaminate, forest, language, line_dedup, lm, mixing, secrets, substring_dedup, toxicity
 from foldwise.llm.common import ship, table
 
 QUERIES: dict = {}
@@ -71,3 +71,9 @@ def op8(spark, sf_dir):
 def op5(spark, sf_dir):
     """Log probability of every document by logistic context mixing, and by smoothed word counts."""
     return lm.report(table(spark, sf_dir, "documents"))
+
+
+@register("op10_source_mixing")
+def op10(spark, sf_dir):
+    """Posteriors of every document over the domains of the labelled table, and rates that meet the target weights."""
+    return mixing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
