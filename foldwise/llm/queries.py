@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import decontaminate, forest, language, line_dedup, lm, mixing, secrets, substring_dedup, toxicity
+from foldwise.llm import decontaminate, forest, jaccard_join, language, line_dedup, lm, mixing, secrets, substring_dedup, toxicity
 from foldwise.llm.common import ship, table
 
 QUERIES: dict = {}
@@ -77,3 +77,9 @@ def op5(spark, sf_dir):
 def op10(spark, sf_dir):
     """Posteriors of every document over the domains of the labelled table, and rates that meet the target weights."""
     return mixing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op1_jaccard_join", jaccard_join.JOIN_SQL)
+def op1(spark, sf_dir):
+    """Near-duplicate class and number of links of every document."""
+    return jaccard_join.join(table(spark, sf_dir, "documents")).drop("key")
