@@ -66,17 +66,16 @@ def text_key(col: str):
     return F.xxhash64(F.coalesce(F.col(col), F.lit("")))
 
 
-def labelled_sample(rows: DataFrame, label: str, id_col: str, text: str, max_rows: int, max_bytes: int = 65536, salt: int = 0):
-    """A bounded sample of labelled rows, on the driver: Arrow table (label, text).
-
-    About ``max_rows`` rows of each label, chosen by a hash of the id (all, if fewer), without texts of over ``max_bytes``;
-    so at most about labels x max_rows x max_bytes."""
-    rows = rows.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).alias("label"), F.col(id_col).alias("id"), F.col(text).alias("text"))
-    share = F.least(F.lit(1.0), F.lit(float(max_rows)) / F.count(F.lit(1)))
-    bound = rows.groupBy("label").agg(share.alias("share"))
-    place = F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    return rows.filter(F.octet_length("text") <= max_bytes).join(F.broadcast(bound), "label").filter(place < F.col("share")) \
-        .orderBy(F.xxhash64("id", F.lit(salt)), "text").select("label", "text").toArrow()
+def hash_share(marked: DataFrame, label: str, id_col: str, max_rows: int, salt: int = 0) -> DataFrame:
+    """The rows of a labelled table whose id hashes into a share that leaves about ``max_rows`` rows of each label (all, if fewer)."""
+    bound = marked.groupBy(F.col(label).alias("_of")).agg(F.least(F.lit(1.0), F.lit(float(max_rows)) / F.count(F.lit(1))).alias("_share"))
+    place = F.pmod(F.xxhash64(id_col, F.lit(salt)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return marked.join(F.broadcast(bound), F.col(label) == F.col("_of")).filter(place < F.col("_share")).drop("_of", "_share")
+
+
+def bounded_texts(rows: DataFrame, label: str, id_col: str, text: str, max_bytes: int = 65536, salt: int = 0):
+    """Rows of a bounded sample on the driver: Arrow table (label, text) in the order of a hash, without texts of over ``max_bytes``."""
+    return rows.filter(F.octet_length(text) <= max_bytes).orderBy(F.xxhash64(id_col, F.lit(salt)), text).select(F.col(label).alias("label"), F.col(text).alias("text")).toArrow()
 
 
 def fold(id_col, mod: int):

@@ -7,7 +7,7 @@ no escape.  Statistics are frozen after fitting, so the code length of a text is
 paths through a tree are laid out as tables (gram -> bits under every language; context -> escape bits) and whole batches
 are scored by table look-ups.  The language with the least code length wins.
 
-Fitting uses a bounded sample: about ``max_rows`` texts of each language (see labelled_sample); scoring reads every whole text.
+Fitting uses a bounded sample: about ``max_rows`` texts of each language (chosen by a hash, up to 64 kB); scoring reads every whole text.
 A-Z are lower-cased; a text starts after ``order`` zero bytes.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; without any learned language all texts are; a tie goes to
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm.blobs import groups
-from foldwise.llm.common import fold, labelled_sample
+from foldwise.llm.common import bounded_texts, fold, hash_share
 from foldwise.llm.textkit import LOWER, Texts, byte_set, slices, translate
 
 LETTER = byte_set(range(0x41, 0x5B), range(0x61, 0x7B))
@@ -190,7 +190,8 @@ def _union(parts: list[np.ndarray]) -> np.ndarray:
 
 def fit(docs: DataFrame, lang: str = "lang", text: str = "text", id_col: str = "doc_id", order: int = 4, max_rows: int = 1000) -> Model:
     """Context trees from a bounded sample of the rows of ``docs`` with a language."""
-    sample = labelled_sample(docs, lang, id_col, text, max_rows)
+    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(lang, id_col, text)
+    sample = bounded_texts(hash_share(known, lang, id_col, max_rows), lang, id_col, text)
     langs = sorted(set(sample["label"].to_pylist()))
     return Model(langs, [sample.filter(pa.compute.equal(sample["label"], x))["text"].combine_chunks() for x in langs], order)
 

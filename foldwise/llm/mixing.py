@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import fresh, staged, text_key
+from foldwise.llm.common import fresh, hash_share, staged, text_key
 
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 13, 1 << 10
 TARGETS = {"high": 0.90, "low": 0.08, "toxic": 0.02}
@@ -49,10 +49,9 @@ def domain_of(labels: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, marked: DataFrame, domains: list[str], max_rows: int = 20_000, alpha: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
     """(log prior, log likelihood [domain, bucket]) from about ``max_rows`` labelled documents of each domain."""
-    share = marked.filter(F.col("domain").isin(*domains)).groupBy("domain").agg(F.least(F.lit(1.0), F.lit(float(max_rows)) / F.count(F.lit(1))).alias("share"), F.count(F.lit(1)).alias("n"))
-    sizes = {r.domain: r.n for r in share.collect()}
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    few = marked.join(F.broadcast(share), "domain").filter(place < F.col("share")).select(F.col("doc_id").alias("_id"), "domain")
+    marked = marked.filter(F.col("domain").isin(*domains))
+    sizes = {r.domain: r.n for r in marked.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    few = hash_share(marked, "domain", "doc_id", max_rows).select(F.col("doc_id").alias("_id"), "domain")
     w = docs.join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select("domain", F.explode(words("text")).alias("w")).filter("w <> ''")
     # both tables have a fixed number of rows: domains x buckets
     got = [r for bucket in (word_bucket, shape_bucket) for r in w.groupBy("domain", bucket(F.col("w")).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()]

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import fold, labelled_sample
+from foldwise.llm.common import bounded_texts, fold, hash_share
 
 WORDS = re.compile(rb"[a-z0-9\x80-\xff]+")
 WINDOW = 60  # bytes; a window goes on to the next space
@@ -127,8 +127,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         share: float = 0.025, ratio: float = 0.05, ordinary_bytes: int = 32768, toxic_bytes: int = 8192) -> Model:
     """Dictionaries and calibration from a bounded sample of the rows of ``docs`` that have a label."""
     marked = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).alias("_label"))
-    rows = docs.select(F.col(id_col).alias("_doc"), F.col(text).alias("_text")).join(marked, F.col("_doc") == F.col("_id"))
-    sample = labelled_sample(rows, "_label", "_doc", "_text", max_rows)
+    # of bounded size: about max_rows ids of each of the two labels, so the texts stay where they are
+    few = F.broadcast(hash_share(marked, "_label", "_id", max_rows))
+    rows = docs.select(F.col(id_col).alias("_doc"), F.col(text).alias("_text")).join(few, F.col("_doc") == F.col("_id"))
+    sample = bounded_texts(rows, "_label", "_id", "_text")
     texts = {c: [x.as_buffer().to_pybytes() for x in sample.filter(pa.compute.equal(sample["label"], c))["text"]] for c in (0, 1)}
     if len(texts[0]) < 2 or len(texts[1]) < 2:
         model = Model(b"", b"")
