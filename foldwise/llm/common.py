@@ -42,6 +42,11 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """``df`` (a staged table of a few narrow columns) with a broadcast hint if it is counted to be small; else the join is a shuffle."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def fresh(names, *wanted: str) -> list[str]:
     """Names not used by the columns ``names``, for working columns beside any extra columns of the caller."""
     out = []

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foldwise.llm.common import fresh, staged, text_key
+from foldwise.llm.common import broadcast_if, fresh, staged, text_key
 from foldwise.llm.textkit import ALNUM, SpanHasher, find_words, mix, slices
 
 WORD, SHINGLE = SpanHasher(201), SpanHasher(202)
@@ -205,7 +205,7 @@ def clean(docs: DataFrame, bench: DataFrame, **options) -> DataFrame:
     _, hits, _ = find_windows(docs, bench, **options)
     i, k = fresh(docs.columns, "bad_id", "bad_key")
     bad = staged(hits.select(F.col("doc_id").alias(i), F.col("key").alias(k)).distinct())
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(i)) & (text_key("text") == F.col(k)), "left_anti")
+    return docs.join(broadcast_if(bad), F.col("doc_id").eqNullSafe(F.col(i)) & (text_key("text") == F.col(k)), "left_anti")
 
 
 REPORT_SQL = r"""

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm.blobs import groups, pack, unpack
-from foldwise.llm.common import fresh, staged, text_key
+from foldwise.llm.common import broadcast_if, fresh, staged, text_key
 from foldwise.llm.components import components
 from foldwise.llm.decontaminate import bit_set
 from foldwise.llm.textkit import ALNUM, SpanHasher, find_words, mix, slices
@@ -166,7 +166,7 @@ def loose_links(classes: DataFrame, threshold: float, positions: int, small: int
     one = 1 / (1 + max_depth / 2)  # a run's chance, at least: a critical branching process that lives for max_depth levels
     runs = math.ceil(math.log(1 - recall) / math.log(1 - one))
     least = max(1, math.floor(positions * (threshold - 5 * math.sqrt(threshold * (1 - threshold) / positions))))
-    sketch = F.expr(f"unhex(regexp_replace(hex(minima), '(..)......', '$1'))")
+    sketch = F.expr("unhex(regexp_replace(hex(minima), '(..)......', '$1'))")
     sketches = classes.select("r", sketch.alias("sketch"))
     level, edges = _descend(classes.select("r", "minima"), positions, threshold, runs), []
     for depth in range(1, max_depth + 1):
@@ -277,14 +277,22 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold:
         F.col("id").alias("doc_id"), F.when(F.col("rr").isNull(), F.col("id")).otherwise(F.col("class")).alias("class_id"), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), "key")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one document of each class: that of the least id, and of its equal rows one; documents without words all stay."""
-    found = join(docs, id_col, **options)
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each class, that of the least id; rows equal in id and text that link each other become one.
+
+    Documents without words, and classes in which no document has an id, all stay."""
+    found = staged(join(docs, id_col, text, **options).filter("n_links > 0"))
     i, k = fresh(docs.columns, "near_id", "near_key")
-    gone = found.filter(F.col("n_links") > 0).filter(F.col("doc_id").isNull() & F.col("class_id").isNotNull() | (F.col("doc_id") != F.col("class_id")))
-    gone = staged(gone.select(F.col("doc_id").alias(i), F.col("key").alias(k)).distinct())
-    left = docs.join(gone, F.col(id_col).eqNullSafe(F.col(i)) & (text_key("text") == F.col(k)), "left_anti")
-    return left
+    named = found.select(F.col("doc_id").alias(i), "class_id", F.col("key").alias(k))
+    same = F.col(id_col).eqNullSafe(F.col(i)) & (text_key(text) == F.col(k))
+    gone = staged(named.filter(F.col("class_id").isNotNull() & ~F.col(i).eqNullSafe(F.col("class_id"))).select(i, k).distinct())
+    left = docs.join(broadcast_if(gone), same, "left_anti")
+    twice = staged(named.filter(F.col(i) == F.col("class_id")).groupBy(i, k).agg(F.count("*").alias("n")).filter("n > 1").select(i, k))
+    if not twice.limit(1).count():
+        return left
+    few = broadcast_if(twice)
+    once = left.join(few, same, "left_semi").withColumn(k, text_key(text)).dropDuplicates([id_col, k]).drop(k)
+    return left.join(few, same, "left_anti").unionByName(once)
 
 
 JOIN_SQL = r"""
