@@ -61,21 +61,30 @@ class Table:
         return row
 
 
-def padded(t: Texts, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of the texts, lower-cased, each after ``order`` zero bytes, and where each padded text starts (and the end)."""
+def framed(t: Texts, before: int, after: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes with ``before`` zeros before and ``after`` behind each text; the mask of positions to predict (all but
+    those before), and their number per text."""
     n = np.diff(t.offs)
-    starts = t.offs + order * np.arange(len(t.offs))
-    out = np.zeros(len(t.buf) + order * len(n), np.uint8)
-    out[np.arange(len(t.buf)) + np.repeat(order * np.arange(1, len(n) + 1), n)] = translate(t.buf, LOWER)
-    return out, starts
-
-
-def grams(buf: np.ndarray, size: int, at: np.ndarray | slice) -> np.ndarray:
-    """The ``size`` bytes that end at each position, as one number."""
-    x = np.zeros(len(buf), np.uint64)
-    for k in range(size):
-        x[k:] |= buf[: len(buf) - k].astype(np.uint64) << np.uint64(8 * k)
-    return x[at]
+    low, out = translate(t.buf, LOWER), np.zeros(len(t.buf) + (before + after) * len(n), np.uint8)
+    real, at = np.ones(len(out), bool), 0
+    for a, b in zip(t.offs[:-1].tolist(), t.offs[1:].tolist(), strict=True):
+        real[at : at + before] = False
+        at += before
+        out[at : at + b - a] = low[a:b]
+        at += b - a + after
+    return out, real, n + after
+
+
+def grams(buf: np.ndarray, size: int) -> np.ndarray:
+    """The ``size`` (up to 8) bytes that end at each position, as one number; bytes before the buffer count as zero."""
+    x, out, block = np.concatenate([np.zeros(size - 1, np.uint8), buf]), np.empty(len(buf), np.uint64), 1 << 15  # a block stays in the cache
+    for i in range(0, len(buf), block):
+        seg = x[i : i + block + size - 1].astype(np.uint64)
+        g = out[i : i + block]
+        g[:] = seg[size - 1 :]
+        for k in range(1, size):
+            g |= seg[size - 1 - k : len(seg) - k] << np.uint64(8 * k)
+    return out
 
 
 class Model:
@@ -85,11 +94,9 @@ class Model:
         for col in texts:
             sizes: list[list] = [[] for _ in range(order + 1)]
             for s in slices(col):
-                buf, starts = padded(s, order)
-                real = np.ones(len(buf), bool)
-                real[(starts[:-1, None] + np.arange(order)).ravel()] = False
+                buf, real, _ = framed(s, order)
                 for size in range(1, order + 2):
-                    sizes[size - 1].append(_count(np.sort(grams(buf, size, real)), None))
+                    sizes[size - 1].append(_count(np.sort(grams(buf, size)[real]), None))
             counts.append([_count(*_merge(x)) for x in sizes])
         self.grams, self.bits, self.contexts, self.escape = [], [], [], []
         for size in range(1, order + 2):
@@ -125,13 +132,10 @@ class Model:
         if self.tables is None:
             self.tables = [Table(k) for k in self.grams], [Table(k) for k in self.contexts]
         gram_table, context_table = self.tables
-        buf, starts = padded(t, self.order)
-        real = np.ones(len(buf), bool)
-        real[(starts[:-1, None] + np.arange(self.order)).ravel()] = False
-        at = np.flatnonzero(real)
-        longest = grams(buf, self.order + 1, at)
-        cost = np.zeros((len(at), len(self.langs)), np.float32)
-        open_ = np.arange(len(at))
+        buf, real, n = framed(t, self.order)
+        longest = grams(buf, self.order + 1)[real]
+        cost = np.zeros((len(longest), len(self.langs)), np.float32)
+        open_ = np.arange(len(longest))
         for size in range(self.order + 1, 0, -1):
             key = longest[open_] & np.uint64((1 << (8 * size)) - 1)
             row = gram_table[size - 1].find(key)
@@ -142,7 +146,6 @@ class Model:
                 break
             cost[open_] += self.escape[size - 1][context_table[size - 1].find(key >> np.uint64(8))]
         cost[open_] += 8
-        n = np.diff(t.offs)
         out = np.zeros((len(t), len(self.langs)))
         if len(cost):
             have = np.flatnonzero(n)
