@@ -10,7 +10,6 @@ sources    CSV / parquet scans, submission and stage-table sinks, driver-table b
 functions  column expressions (numeric transforms, row-wise array maths)
 operators  folds, imputers, encoders, target encoders, scalers, ranks, metrics, models
 plans      out-of-fold stacking, blending, weight / seed / parameter searches
-streaming  applying fitted dimensions to a stream (stream-static joins)
 """
 
 __version__ = "0.1.0"

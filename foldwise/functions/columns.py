@@ -46,7 +46,7 @@ def sigmoid(x, clip: float | None = 20.0) -> Column:
 
 
 def label_to_binary(x, positive: str) -> Column:
-    """Map the positive label to 1.0, others to 0.0 (e.g. Stayed -> 1, Left -> 0)."""
+    """Map the positive label to 1.0, others to 0.0 (e.g. finished -> 1, open -> 0)."""
     return F.when(_c(x) == F.lit(positive), F.lit(1.0)).otherwise(F.lit(0.0))
 
 

@@ -17,7 +17,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -97,7 +97,7 @@ class NaiveBayesFit:
                 outd = {"id": np.repeat(pdf["id"].to_numpy(), K), "model": model}
                 if mode == "oof":
                     outd["fold"] = np.repeat(pdf["fold"].to_numpy(), K).astype(np.int32)
-                outd["class"] = np.tile(np.arange(K, dtype=np.int32), n)
+                outd["class"] = np.tile(np.array(self.classes, dtype=np.int32), n)
                 outd["p"] = P.reshape(-1)
                 yield pd.DataFrame(outd)
 
@@ -105,13 +105,6 @@ class NaiveBayesFit:
         return df.mapInPandas(fn, schema)
 
 
-def softmax(a: Column) -> Column:
-    mx = F.array_max(a)
-    e = F.transform(a, lambda v: F.exp(v - mx))
-    s = F.aggregate(e, F.lit(0.0), lambda acc, v: acc + v)
-    return F.transform(e, lambda v: v / s)
-
-
 def fit_naive_bayes(train: DataFrame, feats: list[str], y: str = "y", fold_col: str = "fold",
                     var_smoothing: float = 1e-9) -> NaiveBayesFit:
     return NaiveBayesFit(_moments(train, feats, y, fold_col), len(feats), var_smoothing)

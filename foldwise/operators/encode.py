@@ -122,7 +122,7 @@ def fit_one_hot_levels(train: DataFrame, cols: list[str], max_levels: int = 1000
         levels = [str(r[0]) for r in train.select(F.col(c)).filter(F.col(c).isNotNull())
                   .distinct().orderBy(F.col(c)).limit(max_levels + 1).collect()]
         if len(levels) > max_levels:
-            raise ValueError(f"{c} has more than {max_levels} levels; use a lookup encoder instead")
+            raise ValueError(f"{c} has more than {max_levels} levels; use sparse_one_hot, which has no limit")
         out[c] = levels
     return out
 
@@ -139,6 +139,16 @@ def one_hot(df: DataFrame, levels: dict, prefix_fmt: str = "{c}_oh_{i}", dummy_n
     return df.select("*", *cols)
 
 
+def sparse_one_hot(train: DataFrame, dfs: list[DataFrame], cols: list[str], suffix: str = "_hot") -> tuple[list[DataFrame], dict]:
+    """E7 / E8 / E10 for any number of levels: per column the position of the 1 (null for a level not fitted) in place of 0/1
+    columns, by a join with the dimension of levels; returns the frames and {column: number of levels}.
+
+    ``position`` and the number of levels are what a sparse vector is made of."""
+    dims = _split_dims(_dense_indices(train, cols), cols)
+    enc = LookupEncoder(dims, None, suffix, out_type="long")
+    return [enc.apply(d) for d in dfs], {c: d.count() for c, d in dims.items()}
+
+
 def ml_one_hot(train: DataFrame, cols: list[str]):
     """E7 as a ``pyspark.ml`` pipeline: StringIndexer(keep, alphabetAsc) + OneHotEncoder(dropLast=True);
     the dropped slot is the unknown one, so unseen values give an all-zero sparse vector."""
@@ -182,15 +192,16 @@ def top_cardinality_crosses(train: DataFrame, test: DataFrame | None, cols: list
     return tr, ts, names
 
 
-def fixed_crosses_ordinal(train: DataFrame, test: DataFrame, pairs: list[tuple[str, str]], sep: str = "_"):
-    """Fixed pairs crossed, then ordinal encoded (unseen -> -1)."""
+def fixed_crosses_ordinal(train: DataFrame, test: DataFrame, pairs: list[tuple[str, str]], sep: str = "_", fit_on: DataFrame | None = None):
+    """Fixed pairs crossed, then ordinal encoded (unseen -> -1); fitted on ``fit_on`` (default: train), applied to all rows."""
     names = []
+    fitted = train if fit_on is None else fit_on
     for a, b in pairs:
         n = f"{a}_{b}"
         names.append(n)
         e = F.concat(_text(a), F.lit(sep), _text(b))
-        train, test = train.withColumn(n, e), test.withColumn(n, e)
-    enc = fit_ordinal(train, names, -1, "_OE")
+        train, test, fitted = train.withColumn(n, e), test.withColumn(n, e), fitted.withColumn(n, e)
+    enc = fit_ordinal(fitted, names, -1, "_OE")
     return enc.apply(train), enc.apply(test), [n + "_OE" for n in names]
 
 

@@ -1,6 +1,6 @@
 """Exact k-nearest-neighbour scoring without an all-pairs join.
 
-1. P pivots (P ~ sqrt(n), capped: a parameter-sized literal) are the first reference
+1. P pivots (P ~ sqrt(n): a literal that grows with the root of the table) are the first reference
    points in hash order; every reference point joins the cell of its nearest pivot.
    Per cell and fold: point count, and per cell the radius (max distance to the pivot).
 2. For each query (one row per query and excluded fold) a vectorised pandas step
@@ -36,11 +36,11 @@ def _round9(c: Column) -> Column:
     return F.floor(c * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)
 
 
-def knn_neighbours(ref: DataFrame, queries: DataFrame, k: int, max_pivots: int = 256) -> DataFrame:
-    """ref: (tid, fold, label, x); queries: (qid, excl_fold, x).  Returns (qid, excl_fold, tid, label, d)
-    for the k nearest reference points with ``fold != excl_fold``."""
+def knn_neighbours(ref: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """ref: (tid, fold, label, x); queries: (part, qid, excl_fold, x).  Returns (part, qid, excl_fold, tid, label, d)
+    for the k nearest reference points with ``fold != excl_fold``; ``part`` tells train from test ids, which may be equal."""
     n = ref.count()
-    P = max(1, min(max_pivots, int(math.sqrt(n))))
+    P = max(1, int(math.sqrt(n)))
     piv = [r["x"] for r in ref.orderBy(F.md5(F.col("tid").cast("string")), "tid").limit(P).select("x").collect()]
     P = len(piv)
     pv = lit_array(piv)
@@ -80,34 +80,34 @@ def knn_neighbours(ref: DataFrame, queries: DataFrame, k: int, max_pivots: int =
                 ok = (dq[i] - rad <= u) & (avail > 0)
                 cands.append(np.nonzero(ok)[0].astype(np.int32))
                 ub.append(u)
-            yield pd.DataFrame({"qid": pdf["qid"].to_numpy(), "excl_fold": pdf["excl_fold"].to_numpy(),
+            yield pd.DataFrame({"part": pdf["part"].to_numpy(), "qid": pdf["qid"].to_numpy(), "excl_fold": pdf["excl_fold"].to_numpy(),
                                 "u": np.array(ub, dtype=float), "cells": cands, "qx": pdf["x"]})
 
     # the query vector travels with its bound, so the candidate pairs need one equi-join only
-    qb = queries.select("qid", "excl_fold", "x").mapInPandas(
-        bounds, "qid long, excl_fold int, u double, cells array<int>, qx array<double>")
-    qc = qb.select("qid", "excl_fold", "u", "qx", F.explode("cells").alias("cell"))
+    qb = queries.select("part", "qid", "excl_fold", "x").mapInPandas(
+        bounds, "part string, qid long, excl_fold int, u double, cells array<int>, qx array<double>")
+    qc = qb.select("part", "qid", "excl_fold", "u", "qx", F.explode("cells").alias("cell"))
     pairs = (qc.join(ref_c.select("cell", "tid", "fold", "label", "x"), "cell")
              .filter(F.col("fold") != F.col("excl_fold"))
              .withColumn("d", _dist(F.col("qx"), F.col("x")))
              .filter(F.col("d") <= F.col("u")))
-    w = Window.partitionBy("qid", "excl_fold").orderBy(_round9(F.col("d")), "tid")
+    w = Window.partitionBy("part", "qid", "excl_fold").orderBy(_round9(F.col("d")), "tid")
     return (pairs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
-            .select("qid", "excl_fold", "tid", "label", "d"))
+            .select("part", "qid", "excl_fold", "tid", "label", "d"))
 
 
 def knn_vote(nb: DataFrame, n_classes: int, weights: str = "uniform") -> DataFrame:
-    """(qid, excl_fold, label, d) -> (qid, excl_fold, class, p); 'distance' weights 1/d, and when a
+    """(part, qid, excl_fold, label, d) -> (part, qid, excl_fold, class, p); 'distance' weights 1/d, and when a
     neighbour sits at distance 0 only the zero-distance neighbours vote."""
     if weights == "uniform":
         wcol = F.lit(1.0)
     else:
-        zero = F.max((F.col("d") == 0).cast("int")).over(Window.partitionBy("qid", "excl_fold"))
+        zero = F.max((F.col("d") == 0).cast("int")).over(Window.partitionBy("part", "qid", "excl_fold"))
         wcol = F.when(zero == 1, (F.col("d") == 0).cast("double")).otherwise(1.0 / F.col("d"))
-    v = nb.withColumn("_w", wcol).groupBy("qid", "excl_fold").agg(
+    v = nb.withColumn("_w", wcol).groupBy("part", "qid", "excl_fold").agg(
         *[F.sum(F.when(F.col("label") == c, F.col("_w")).otherwise(0.0)).alias(f"_c{c}") for c in range(n_classes)],
         F.sum("_w").alias("_t"))
-    return v.select("qid", "excl_fold", F.posexplode(F.array(*[F.col(f"_c{c}") / F.col("_t") for c in range(n_classes)]))
+    return v.select("part", "qid", "excl_fold", F.posexplode(F.array(*[F.col(f"_c{c}") / F.col("_t") for c in range(n_classes)]))
                     .alias("class", "p")).withColumn("class", F.col("class").cast("int"))
 
 
@@ -115,17 +115,17 @@ def knn_oof(train: DataFrame, test: DataFrame | None, k: int, n_classes: int, we
             model: str = "knn", id_col: str = "id", y: str = "label", x: str = "x"):
     """K1 with M11: OOF probabilities (id, model, fold, class, p) and fold-averaged test (id, model, class, p)."""
     ref = train.select(F.col(id_col).alias("tid"), "fold", F.col(y).cast("long").alias("label"), F.col(x).alias("x"))
-    q = train.select(F.col(id_col).alias("qid"), F.col("fold").alias("excl_fold"), F.col(x).alias("x"))
+    q = train.select(F.lit("train").alias("part"), F.col(id_col).alias("qid"), F.col("fold").alias("excl_fold"), F.col(x).alias("x"))
     folds = sorted(r[0] for r in train.select("fold").distinct().collect())
     if test is not None:
-        q = q.unionByName(test.select(F.col(id_col).alias("qid"),
+        q = q.unionByName(test.select(F.lit("test").alias("part"), F.col(id_col).alias("qid"),
                                       F.explode(F.array(*[F.lit(f) for f in folds])).alias("excl_fold"),
-                                      F.col(x).alias("x")).withColumn("qid", -F.col("qid") - 1))
+                                      F.col(x).alias("x")))
     votes = cut_lineage(knn_vote(knn_neighbours(ref, q, k), n_classes, weights))
-    oof = votes.filter(F.col("qid") >= 0).select(F.col("qid").alias("id"), F.lit(model).alias("model"),
+    oof = votes.filter(F.col("part") == "train").select(F.col("qid").alias("id"), F.lit(model).alias("model"),
                                                   F.col("excl_fold").alias("fold"), "class", "p")
     tst = None
     if test is not None:
-        tst = (votes.filter(F.col("qid") < 0).groupBy("qid", "class").agg(F.avg("p").alias("p"))
-               .select((-F.col("qid") - 1).alias("id"), F.lit(model).alias("model"), "class", "p"))
+        tst = (votes.filter(F.col("part") == "test").groupBy("qid", "class").agg(F.avg("p").alias("p"))
+               .select(F.col("qid").alias("id"), F.lit(model).alias("model"), "class", "p"))
     return oof, tst

@@ -3,7 +3,7 @@
 ``percentile`` (exact) keeps every value of a group in one aggregation buffer, which does
 not survive 100 TB.  Instead, for all columns and probabilities at once:
 
-1. one aggregation: non-null count n and ``percentile_approx`` brackets [a, b] around every
+1. one aggregation: count n of values and ``percentile_approx`` brackets [a, b] around every
    needed order statistic (rank error <= n / accuracy, so [p - 2/acc, p + 2/acc] holds it);
 2. one aggregation over bucketized values (``Bucketizer`` binary search over the bracket
    bounds): rows per bucket and rows equal to each bound -> count below a, ties at a and b;
@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-ACCURACY = 1_000_000
+ACCURACY = 10_000      # entries of a partial sketch, so its merge stays small whatever the column
+MAX_BAND = 1_000_000  # rows of a bracket that are ranked in one window; a larger bracket is bracketed again
+LARGEST = 1.7976931348623157e308  # stands for an infinity, which the bucket search cannot hold
 
 
 def _merge(intervals):
@@ -42,8 +44,11 @@ def _merge(intervals):
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = ACCURACY) -> dict:
-    """Return {col: [q(p) for p in probs]} (None for an all-null column)."""
-    xs = [F.col(c).cast("double") for c in cols]
+    """Return {col: [q(p) for p in probs]} (None for a column without values).
+
+    NaN counts as missing, as null does; infinities are values, ordered below and above all others."""
+    xs = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols]
+    xs = [F.when(x.isNotNull(), F.greatest(F.least(x, F.lit(LARGEST)), F.lit(-LARGEST))) for x in xs]
     n_r = df.agg(*[F.count(x).alias(f"n{i}") for i, x in enumerate(xs)]).collect()[0]
     aggs = []
     for i, x in enumerate(xs):
@@ -85,6 +90,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy
     resolved = {}   # (cid, k) -> value
     tasks = []      # (i, j, pos, k_lo, k_hi)
     band_ranges = []
+    inner = {}      # (i, band) -> rows strictly inside
     for i in ids:
         n, bands, splits = plan[i]
         idx = {v: t for t, v in enumerate(splits)}
@@ -99,8 +105,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy
             eq_b = cnt.get((i, ib), (0, 0))[1]
             le_b = below[ib] + eq_b
             band_ranges.append((i, m, ia, ib, a))
+            inner[(i, m)] = below[ib] - lt_a - eq_a
             for j in members:
                 pos = probs[j] * (n - 1)
+                if abs(pos - round(pos)) <= 1e-9 * n:  # a whole rank, but for rounding
+                    pos = float(round(pos))
                 k_lo, k_hi = int(math.floor(pos)), int(math.ceil(pos))
                 tasks.append((i, j, pos, k_lo, k_hi))
                 for k in (k_lo, k_hi):
@@ -122,15 +131,23 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy
         keys = spark.createDataFrame([(i, t, m, float(a)) for (i, t), (m, a) in band_of.items()],
                                      "cid int, bk int, band int, a double")
         inside = long.join(F.broadcast(keys), ["cid", "bk"]).filter(F.col("x") > F.col("a"))
-        w = Window.partitionBy("cid", "band").orderBy("x")  # bounded: rows strictly inside one bracket
+        for i, m in sorted({(i, m) for i, m, _, _ in need if inner[(i, m)] > MAX_BAND}):
+            ranks = [(rk, k) for i2, m2, rk, k in need if (i2, m2) == (i, m)]
+            part = inside.filter((F.col("cid") == i) & (F.col("band") == m))
+            size = inner[(i, m)]
+            found = exact_quantiles(part, ["x"], [rk / (size - 1) for rk, _ in ranks], accuracy)["x"]
+            resolved.update({(i, k): v for (_, k), v in zip(ranks, found)})
+            need = [x for x in need if (x[0], x[1]) != (i, m)]
+    if need:
+        w = Window.partitionBy("cid", "band").orderBy("x")  # at most MAX_BAND rows, strictly inside one bracket
         want = spark.createDataFrame([(i, m, rk, k) for i, m, rk, k in need], "cid int, band int, rk long, k long")
         got = (inside.withColumn("rk", F.row_number().over(w) - 1)
                .join(F.broadcast(want), ["cid", "band", "rk"]).select("cid", "k", "x").collect())
         for g in got:
             resolved[(g["cid"], g["k"])] = g["x"]
     for i, j, pos, k_lo, k_hi in tasks:
-        v_lo, v_hi = resolved[(i, k_lo)], resolved[(i, k_hi)]
-        out[cols[i]][j] = v_lo + (pos - k_lo) * (v_hi - v_lo)
+        v_lo, v_hi = (math.copysign(math.inf, v) if abs(v) == LARGEST else v for v in (resolved[(i, k_lo)], resolved[(i, k_hi)]))
+        out[cols[i]][j] = v_lo if pos == k_lo or v_lo == v_hi else v_lo + (pos - k_lo) * (v_hi - v_lo)
     return out
 
 

@@ -19,13 +19,20 @@ def weight_table(spark, weights: dict) -> DataFrame:
 
 
 def fixed_blend(pred: DataFrame, weights: dict, keys: list[str] = ("id", "class")) -> DataFrame:
-    """K6 / K7: ``sum_m w_m * p_m`` per (id, class); the weight table has one row per model (broadcast)."""
+    """K6 / K7: ``sum_m w_m * p_m`` per (id, class); the weight table has one row per model (broadcast).
+
+    A model without a weight, or a weight without a model, is an error."""
+    models = {r["model"] for r in pred.select("model").distinct().collect()}  # one row per model
+    if models != set(weights):
+        raise ValueError(f"models {sorted(models)} and weights {sorted(weights)} differ")
     w = F.broadcast(weight_table(pred.sparkSession, weights))
     return pred.join(w, "model").groupBy(*keys).agg(F.sum(F.col("w") * F.col("p")).alias("p"))
 
 
 def mean_over(pred: DataFrame, over: str, keys: list[str]) -> DataFrame:
-    """Plain mean of p over folds, seeds or models."""
+    """Plain mean of p over the column ``over`` (folds, seeds or models), which may not be a key."""
+    if over in keys:
+        raise ValueError(f"{over} is averaged over and cannot be a key")
     return pred.groupBy(*keys).agg(F.avg("p").alias("p"))
 
 

@@ -1,4 +1,4 @@
-"""Minimum slice, the binary retention flow on table B:
+"""Minimum slice, the binary order-status flow on table B:
 
 hold-out + stratified folds -> median impute -> out-of-fold m-estimate target
 encoding (test from full train) -> Gaussian naive Bayes OOF + fold-averaged test
@@ -21,7 +21,7 @@ IMPUTE_COLS = ["c_acctbal", "li_qty"]
 NB_FEATS = ["o_orderpriority_te", "c_mktsegment_te", "o_totalprice", "c_acctbal", "li_qty"]
 
 
-def retention_features(spark: SparkSession, sf_dir: str):
+def status_features(spark: SparkSession, sf_dir: str):
     train, test = orders_train_test(spark, sf_dir, "y_bin")
     med = fit_median(train, IMPUTE_COLS)
     train, test = apply_fill(train, med), apply_fill(test, med)
@@ -29,14 +29,14 @@ def retention_features(spark: SparkSession, sf_dir: str):
     return te.apply_oof(train), te.apply_test(test)
 
 
-def retention_predictions(spark: SparkSession, sf_dir: str):
-    tr, ts = retention_features(spark, sf_dir)
+def status_predictions(spark: SparkSession, sf_dir: str):
+    tr, ts = status_features(spark, sf_dir)
     oof, tst, _ = naive_bayes_oof(tr, ts, NB_FEATS, y="y_bin", model="nb")
     return tr, ts, oof, tst
 
 
-def retention_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tr, ts, oof, tst = retention_predictions(spark, sf_dir)
+def status_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tr, ts, oof, tst = status_predictions(spark, sf_dir)
     p1_oof = oof.filter(F.col("class") == 1).select("id", "p").join(tr.select("id", "y_bin"), "id")
     p1_tst = tst.filter(F.col("class") == 1).select("id", "p").join(ts.select("id", "y_bin"), "id")
     both = (p1_oof.withColumn("part", F.lit("oof"))

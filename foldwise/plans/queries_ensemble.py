@@ -14,7 +14,7 @@ from foldwise.operators.weights import class_weights
 from foldwise.plans import blend as B
 from foldwise.plans import search as S
 from foldwise.plans.registry import r6, register, round6
-from foldwise.plans.zoo import PRIORITY_LABELS, priority_zoo, retention_zoo
+from foldwise.plans.zoo import PRIORITY_LABELS, priority_zoo, status_zoo
 from foldwise.sources import files
 
 BIN_W = {"nb_num": 0.2, "nb_te": 0.3, "nb_all": 0.5}
@@ -23,9 +23,9 @@ SEEDS = [1, 2, 3]
 
 
 def k6_blend(spark, sf):
-    _, _, _, tst = retention_zoo(spark, sf)
+    _, _, _, tst = status_zoo(spark, sf)
     b = B.fixed_blend(tst.filter(F.col("class") == 1), BIN_W, ["id"])
-    return b.select("id", r6("p", "p"), F.when(F.col("p") >= 0.5, "Stayed").otherwise("Left").alias("label"))
+    return b.select("id", r6("p", "p"), F.when(F.col("p") >= 0.5, "finished").otherwise("open").alias("label"))
 
 
 register("k6_fixed_weight_blend")(k6_blend)
@@ -33,7 +33,7 @@ register("k6_fixed_weight_blend")(k6_blend)
 
 @register("k8_rank_average_blend")
 def q_k8(spark, sf):
-    _, _, _, tst = retention_zoo(spark, sf)
+    _, _, _, tst = status_zoo(spark, sf)
     t = tst.filter(F.col("class") == 1).withColumn("p", round6("p"))  # rank the stored 6-digit scores
     r = B.rank_average(t, list(BIN_W))
     return r.select("id", r6("score", "score"))
@@ -41,14 +41,14 @@ def q_k8(spark, sf):
 
 @register("k9_k10_weight_grid")
 def q_k9(spark, sf):
-    tr, _, oof, _ = retention_zoo(spark, sf)
+    tr, _, oof, _ = status_zoo(spark, sf)
     scored = S.wide_scores(oof, ["nb_te", "nb_all"]).join(tr.select("id", "y_bin"), "id")
     return S.grid_search(scored, ["nb_te", "nb_all"], "y_bin")
 
 
 @register("k11_dirichlet_weight_search")
 def q_k11(spark, sf):
-    tr, _, oof, _ = retention_zoo(spark, sf)
+    tr, _, oof, _ = status_zoo(spark, sf)
     models = list(BIN_W)
     scored = S.wide_scores(oof, models).join(tr.select("id", "y_bin"), "id")
     best = S.dirichlet_search(scored, models, "y_bin", 500, 42)
@@ -57,7 +57,7 @@ def q_k11(spark, sf):
 
 @register("k17_v3_per_model_fold_accuracy")
 def q_k17(spark, sf):
-    tr, _, oof, _ = retention_zoo(spark, sf)
+    tr, _, oof, _ = status_zoo(spark, sf)
     s = oof.filter(F.col("class") == 1).join(tr.select("id", "y_bin"), "id").withColumn("pred", (F.col("p") >= 0.5).cast("double"))
     per_fold = accuracy(s, "pred", "y_bin", ["model", "fold"])
     overall = accuracy(s, "pred", "y_bin", ["model"]).withColumn("fold", F.lit(-1))
@@ -66,14 +66,14 @@ def q_k17(spark, sf):
 
 @register("v4_log_loss")
 def q_v4(spark, sf):
-    tr, _, oof, _ = retention_zoo(spark, sf)
+    tr, _, oof, _ = status_zoo(spark, sf)
     s = oof.join(tr.select("id", F.col("y_bin").cast("int").alias("class")), ["id", "class"])
     return log_loss(s, "p", ["model"]).select("model", r6("log_loss", "log_loss"))
 
 
 @register("w1_average_rank")
 def q_w1(spark, sf):
-    _, _, _, tst = retention_zoo(spark, sf)
+    _, _, _, tst = status_zoo(spark, sf)
     t = tst.filter((F.col("class") == 1) & (F.col("model") == "nb_all")).select("id", round6("p").alias("p"))
     r = rank_normalised(average_rank(t, "p", None, "rank"), "p", None, "rank_norm")
     return r.select("id", r6("rank", "rank"), r6("rank_norm", "rank_norm"))
@@ -166,7 +166,7 @@ def q_s3(spark, sf):
 @register("a15_mean_fold_score")
 def q_a15(spark, sf):
     """Mean over folds of the per-fold OOF accuracy, per model."""
-    tr, _, oof, _ = retention_zoo(spark, sf)
+    tr, _, oof, _ = status_zoo(spark, sf)
     s = oof.filter(F.col("class") == 1).join(tr.select("id", "y_bin"), "id").withColumn("pred", (F.col("p") >= 0.5).cast("double"))
     per_fold = accuracy(s, "pred", "y_bin", ["model", "fold"])
     return per_fold.groupBy("model").agg(F.avg("accuracy").alias("mean_fold_accuracy")).select("model", r6("mean_fold_accuracy", "mean_fold_accuracy"))
@@ -175,7 +175,7 @@ def q_a15(spark, sf):
 @register("p6_meta_block_subset")
 def q_p6(spark, sf):
     """Meta features from a subset of models, fixed (model x class) column order, absent cells 0."""
-    _, _, oof, _ = retention_zoo(spark, sf)
+    _, _, oof, _ = status_zoo(spark, sf)
     keep = ["nb_all", "nb_num"]
     sub = oof.filter(F.col("model").isin(keep))
     g = sub.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "model", F.col("class").cast("string")), "p"))).alias("_m"))

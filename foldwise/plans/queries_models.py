@@ -21,7 +21,7 @@ from foldwise.operators.weights import with_weight_column
 from foldwise.plans import blend as B
 from foldwise.plans import stack as K
 from foldwise.plans.registry import r6, register
-from foldwise.plans.zoo import NUM, priority_features, retention_features
+from foldwise.plans.zoo import NUM, priority_features, status_features
 from foldwise.session import cut_lineage
 
 TE3 = ["o_orderpriority_te", "c_mktsegment_te", "n_name_te"]
@@ -35,7 +35,7 @@ def _scaled(tr: DataFrame, ts: DataFrame, cols: list[str]):
 
 
 def binary_inputs(spark: SparkSession, sf: str, weight: bool = False):
-    tr, ts = retention_features(spark, sf)
+    tr, ts = status_features(spark, sf)
     tr, ts = _scaled(tr, ts, NUM)
     extra = []
     if weight:
@@ -208,7 +208,7 @@ def q_m19(spark, sf):
 def q_m21(spark, sf):
     """Per-column-group preprocessing (index + one-hot of categories, numeric passthrough; rest
     dropped) and a logistic model as ONE pyspark.ml Pipeline, fitted on train, applied to test."""
-    tr, ts = retention_features(spark, sf)
+    tr, ts = status_features(spark, sf)
     cats = ["c_mktsegment", "r_name"]
     n = tr.count()
     pipe = Pipeline(stages=[
@@ -233,15 +233,16 @@ def q_m23(spark, sf):
 @register("e14_native_categorical_trees")
 def q_e14(spark, sf):
     """Categories as indexed nominal features (metadata from StringIndexer), trees split on them."""
-    tr, ts = retention_features(spark, sf)
+    tr, ts = status_features(spark, sf)
     cats = ["c_mktsegment", "n_name", "r_name", "o_year"]
     idx = StringIndexer(inputCols=cats, outputCols=[c + "_cat" for c in cats], handleInvalid="keep",
                         stringOrderType="alphabetAsc").fit(tr)
     tr, ts = idx.transform(tr), idx.transform(ts)
     feats = NUM + [c + "_cat" for c in cats]
+    bins = max(32, *(len(x) + 1 for x in idx.labelsArray))  # one more for unseen values
     a_tr = cut_lineage(K.assemble(tr, feats, "y_bin"))
     a_ts = cut_lineage(K.assemble(ts, feats, "y_bin", fold_col=None))
-    return _out(*K.oof_predict(a_tr, a_ts, lambda: M.random_forest(50, 8, max_bins=32), "rf_native_cat"))
+    return _out(*K.oof_predict(a_tr, a_ts, lambda: M.random_forest(50, 8, max_bins=bins), "rf_native_cat"))
 
 
 def multiclass_stack(spark, sf, meta_l1: float = 0.5):
@@ -327,6 +328,6 @@ def q_k18(spark, sf):
 
 @register("n10_gaussian_jitter")
 def q_n10(spark, sf):
-    tr, _ = retention_features(spark, sf)
+    tr, _ = status_features(spark, sf)
     j = SC.jitter(tr, NUM, 0.003, seed=0)
     return j.select("id", *[r6(c, c) for c in NUM])

@@ -38,7 +38,7 @@ def r6(c, alias: str):
 
 @register("flagship_retention_nb")
 def q_flagship(spark: SparkSession, sf: str) -> DataFrame:
-    return FL.retention_slice(spark, sf)
+    return FL.status_slice(spark, sf)
 
 
 @register("w7_w5_holdout_folds")
@@ -56,14 +56,14 @@ def q_median(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("t2_mestimate_te")
 def q_te_m(spark: SparkSession, sf: str) -> DataFrame:
-    tr, ts = FL.retention_features(spark, sf)
+    tr, ts = FL.status_features(spark, sf)
     cols = [r6(c, c) for c in ["o_orderpriority_te", "c_mktsegment_te"]]
     return tr.select("id", F.lit("train").alias("part"), *cols).unionByName(ts.select("id", F.lit("test").alias("part"), *cols))
 
 
 @register("m10_naive_bayes_oof")
 def q_nb(spark: SparkSession, sf: str) -> DataFrame:
-    _, _, oof, tst = FL.retention_predictions(spark, sf)
+    _, _, oof, tst = FL.status_predictions(spark, sf)
     return (oof.select("id", "fold", "class", r6("p", "p"))
             .unionByName(tst.select("id", F.lit(-1).alias("fold"), "class", r6("p", "p"))))
 

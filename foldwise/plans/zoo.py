@@ -31,7 +31,7 @@ def _union(dfs):
     return reduce(DataFrame.unionByName, dfs)
 
 
-def retention_features(spark: SparkSession, sf: str):
+def status_features(spark: SparkSession, sf: str):
     tr, ts = orders_train_test(spark, sf, "y_bin")
     med = fit_median(tr, FILL)
     tr, ts = apply_fill(tr, med), apply_fill(ts, med)
@@ -39,9 +39,9 @@ def retention_features(spark: SparkSession, sf: str):
     return cut_lineage(te.apply_oof(tr)), cut_lineage(te.apply_test(ts))
 
 
-def retention_zoo(spark: SparkSession, sf: str):
+def status_zoo(spark: SparkSession, sf: str):
     """Table B: (train, test, oof long, test long) for the three binary naive Bayes models."""
-    tr, ts = retention_features(spark, sf)
+    tr, ts = status_features(spark, sf)
     oofs, tsts = [], []
     for name, feats in BIN_MODELS.items():
         o, t, _ = naive_bayes_oof(tr, ts, feats, "y_bin", model=name)

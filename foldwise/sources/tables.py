@@ -24,8 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: id, labels, numerics (with nulls), categories (with nulls).
 
-    * ``y_bin``   = 1.0 when ``o_orderstatus = 'F'`` (plays ``retention_status``)
-    * ``o_orderpriority`` (5 levels) plays ``personality_cluster`` for table C and is a
+    * ``y_bin``   = 1.0 when ``o_orderstatus = 'F'`` (the binary label)
+    * ``o_orderpriority`` (5 levels) is the label of table C and is a
       feature of table B; ``o_orderstatus`` is B's label source and a feature of C
     * ``c_acctbal`` is null for every 7th order key and ``c_mktsegment`` for every
       11th, so imputers and null-aware encoders have work (the driver tables hold no nulls)

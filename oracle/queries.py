@@ -7,7 +7,7 @@ from oracle import sql as S
 R6 = lambda e, a: f"ROUND({e}, 6) AS {a}"
 
 
-def _retention_prefix() -> str:
+def _status_prefix() -> str:
     """base -> split -> median fill -> T2 on o_orderpriority, c_mktsegment (train / test features)."""
     return "WITH " + ",".join([
         S.base_orders(),
@@ -29,7 +29,7 @@ NB_FEATS = ["o_orderpriority_te", "c_mktsegment_te", "o_totalprice", "c_acctbal"
 
 
 def flagship() -> str:
-    return _retention_prefix() + "," + S.naive_bayes("tr", "ts", NB_FEATS, "y_bin", "nb") + """
+    return _status_prefix() + "," + S.naive_bayes("tr", "ts", NB_FEATS, "y_bin", "nb") + """
 SELECT part, CAST(COUNT(*) AS BIGINT) AS n, AVG(CAST(pred = y_bin AS DOUBLE)) AS accuracy FROM (
   SELECT 'oof' AS part, CAST(o.p >= 0.5 AS DOUBLE) AS pred, t.y_bin FROM nb_oof o JOIN tr t ON t.id = o.id WHERE o.class = 1
   UNION ALL
@@ -43,14 +43,14 @@ SELECT id, split, fold FROM sp"""
 
 
 def te_mestimate_b() -> str:
-    return _retention_prefix() + """
+    return _status_prefix() + """
 SELECT id, 'train' AS part, ROUND(o_orderpriority_te, 6) AS o_orderpriority_te, ROUND(c_mktsegment_te, 6) AS c_mktsegment_te FROM tr
 UNION ALL
 SELECT id, 'test', ROUND(o_orderpriority_te, 6), ROUND(c_mktsegment_te, 6) FROM ts"""
 
 
 def nb_oof_b() -> str:
-    return _retention_prefix() + "," + S.naive_bayes("tr", "ts", NB_FEATS, "y_bin", "nb") + """
+    return _status_prefix() + "," + S.naive_bayes("tr", "ts", NB_FEATS, "y_bin", "nb") + """
 SELECT id, fold, class, ROUND(p, 6) AS p FROM nb_oof
 UNION ALL
 SELECT id, -1, class, ROUND(p, 6) FROM nb_test"""

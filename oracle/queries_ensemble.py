@@ -83,7 +83,7 @@ def k6() -> str:
     w = " ".join(f"WHEN '{m}' THEN {v}" for m, v in BIN_W.items())
     return bin_zoo() + f""",
 b AS (SELECT id, SUM(CASE model {w} END * p) AS p FROM tst WHERE class = 1 GROUP BY id)
-SELECT id, ROUND(p, 6) AS p, CASE WHEN p >= 0.5 THEN 'Stayed' ELSE 'Left' END AS label FROM b"""
+SELECT id, ROUND(p, 6) AS p, CASE WHEN p >= 0.5 THEN 'finished' ELSE 'open' END AS label FROM b"""
 
 
 def k8() -> str:

@@ -199,13 +199,13 @@ ts_o AS (SELECT id, {_oh('c_mktsegment', 'l1', 5)}, CAST(c_mktsegment IS NULL AS
 
 
 def e10():
-    code = "CAST(LEAST(COALESCE(li_lines, 0), 6) AS INTEGER)"
+    code = "CAST(COALESCE(li_lines, 0) AS INTEGER)"
     return tt() + f""",
 tr2 AS (SELECT *, {code} AS n_lines FROM tr), ts2 AS (SELECT *, {code} AS n_lines FROM ts),
 l1 AS (SELECT CAST(v AS VARCHAR) AS value, row_number() OVER (ORDER BY v) - 1 AS idx FROM (SELECT DISTINCT n_lines AS v FROM tr2)),
-tr_o AS (SELECT id, {_oh('n_lines', 'l1', 7)} FROM tr2),
-ts_o AS (SELECT id, {_oh('n_lines', 'l1', 7)} FROM ts2)
-""" + both(", ".join(f"n_lines_oh_{i}" for i in range(7)))
+tr_o AS (SELECT t.id, l1.idx AS n_lines_hot, (SELECT COUNT(*) FROM l1) AS n_lines_size FROM tr2 t LEFT JOIN l1 ON l1.value = CAST(t.n_lines AS VARCHAR)),
+ts_o AS (SELECT t.id, l1.idx AS n_lines_hot, (SELECT COUNT(*) FROM l1) AS n_lines_size FROM ts2 t LEFT JOIN l1 ON l1.value = CAST(t.n_lines AS VARCHAR))
+""" + both("n_lines_hot, n_lines_size")
 
 
 def _x(a, b, sep):
@@ -233,9 +233,10 @@ def e13():
     x1, x2 = _x("c_mktsegment", "r_name", "_"), _x("o_year", "n_name", "_")
     return tt() + f""",
 f2 AS (SELECT id, {x1} AS a, {x2} AS b FROM fit),
+r2 AS (SELECT id, {x1} AS a, {x2} AS b FROM tr),
 t2 AS (SELECT id, {x1} AS a, {x2} AS b FROM ts),
 d1 AS {_idx('a', 'f2')}, d2 AS {_idx('b', 'f2')},
-tr_o AS (SELECT t.id, COALESCE(d1.idx, -1) AS c_mktsegment_r_name_OE, COALESCE(d2.idx, -1) AS o_year_n_name_OE FROM f2 t LEFT JOIN d1 ON d1.value = t.a LEFT JOIN d2 ON d2.value = t.b),
+tr_o AS (SELECT t.id, COALESCE(d1.idx, -1) AS c_mktsegment_r_name_OE, COALESCE(d2.idx, -1) AS o_year_n_name_OE FROM r2 t LEFT JOIN d1 ON d1.value = t.a LEFT JOIN d2 ON d2.value = t.b),
 ts_o AS (SELECT t.id, COALESCE(d1.idx, -1) AS c_mktsegment_r_name_OE, COALESCE(d2.idx, -1) AS o_year_n_name_OE FROM t2 t LEFT JOIN d1 ON d1.value = t.a LEFT JOIN d2 ON d2.value = t.b)
 """ + both("c_mktsegment_r_name_OE, o_year_n_name_OE")
 
@@ -292,7 +293,7 @@ def n7():
 def n12():
     p = [f"p{i}" for i in range(5)]
     mx10 = "GREATEST(" + ", ".join(f"{x} * 10" for x in p) + ")"
-    boost = [1.20, 1.10, 1.05, 1.00, 0.95]
+    boost = [1.5, 1.25, 1.0, 0.75, 0.5]
     bsum = " + ".join(f"{x} * {b}" for x, b in zip(p, boost))
     return _class_dist() + f""",
 s AS (SELECT *, {mx10} AS mx, GREATEST({', '.join(p)}) AS pm FROM dist),
@@ -307,7 +308,7 @@ FROM s3"""
 
 def n15():
     return base() + """ SELECT id, CASE WHEN o_orderstatus = 'F' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS y,
-CASE WHEN y_bin >= 0.5 THEN 'Stayed' ELSE 'Left' END AS label,
+CASE WHEN y_bin >= 0.5 THEN 'finished' ELSE 'open' END AS label,
 COALESCE(c_mktsegment, 'nan') || '___' || COALESCE(o_year, 'nan') AS seg_year FROM base"""
 
 

@@ -11,9 +11,9 @@ v AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS label, CAST(embedding AS DOU
         S.split("v", "label", "sp") + """,
 tr AS (SELECT * FROM sp WHERE split = 'train'),
 ts AS (SELECT * FROM sp WHERE split = 'test'),
-q AS (SELECT id AS qid, fold AS ef, x FROM tr
-      UNION ALL SELECT -id - 1, f.fold, t.x FROM ts t CROSS JOIN (SELECT DISTINCT fold FROM tr) f),
-pr AS (SELECT q.qid, q.ef, r.id AS tid, r.label,
+q AS (SELECT 'train' AS part, id AS qid, fold AS ef, x FROM tr
+      UNION ALL SELECT 'test', id, f.fold, t.x FROM ts t CROSS JOIN (SELECT DISTINCT fold FROM tr) f),
+pr AS (SELECT q.part, q.qid, q.ef, r.id AS tid, r.label,
          sqrt(list_sum(list_transform(list_zip(q.x, r.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS d
        FROM q JOIN tr r ON r.fold <> q.ef)"""
 
@@ -22,18 +22,18 @@ def knn(k: int, weights: str) -> str:
     if weights == "uniform":
         w = "1.0"
     else:
-        w = "CASE WHEN MAX(CAST(d = 0 AS INTEGER)) OVER (PARTITION BY qid, ef) = 1 THEN CAST(d = 0 AS DOUBLE) ELSE 1 / d END"
+        w = "CASE WHEN MAX(CAST(d = 0 AS INTEGER)) OVER (PARTITION BY part, qid, ef) = 1 THEN CAST(d = 0 AS DOUBLE) ELSE 1 / d END"
     cls = " UNION ALL ".join(f"SELECT {c} AS c" for c in range(10))
     return _prefix() + f""",
-nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid, ef ORDER BY FLOOR(d * 1e9 + 0.5) / 1e9, tid) AS rn FROM pr) WHERE rn <= {k}),
+nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY part, qid, ef ORDER BY FLOOR(d * 1e9 + 0.5) / 1e9, tid) AS rn FROM pr) WHERE rn <= {k}),
 nw AS (SELECT *, {w} AS w FROM nb),
 cl AS ({cls}),
-vote AS (SELECT g.qid, g.ef, cl.c AS class,
+vote AS (SELECT g.part, g.qid, g.ef, cl.c AS class,
    SUM(CASE WHEN g.label = cl.c THEN g.w ELSE 0 END) / SUM(g.w) AS p
-   FROM nw g CROSS JOIN cl GROUP BY g.qid, g.ef, cl.c)
-SELECT qid AS id, ef AS fold, CAST(class AS INTEGER) AS class, ROUND(p, 6) AS p FROM vote WHERE qid >= 0
+   FROM nw g CROSS JOIN cl GROUP BY g.part, g.qid, g.ef, cl.c)
+SELECT qid AS id, ef AS fold, CAST(class AS INTEGER) AS class, ROUND(p, 6) AS p FROM vote WHERE part = 'train'
 UNION ALL
-SELECT -qid - 1, -1, CAST(class AS INTEGER), ROUND(AVG(p), 6) FROM vote WHERE qid < 0 GROUP BY qid, class"""
+SELECT qid, -1, CAST(class AS INTEGER), ROUND(AVG(p), 6) FROM vote WHERE part = 'test' GROUP BY qid, class"""
 
 
 ORACLE = {

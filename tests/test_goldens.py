@@ -71,10 +71,10 @@ def test_g6_average_rank(spark):
 
 def test_g7_g8_boost_and_argmax(spark):
     df = spark.createDataFrame([([0.30, 0.30, 0.30, 0.05, 0.05], [0.2, 0.4, 0.4])], "p array<double>, q array<double>")
-    r = df.select(boost("p", [1.20, 1.10, 1.05, 1.00, 0.95]).alias("b"), argmax("q").alias("a")).collect()[0]
-    assert r["b"] == pytest.approx([v / 1.1025 for v in [0.36, 0.33, 0.315, 0.05, 0.0475]])
+    r = df.select(boost("p", [1.5, 1.25, 1.0, 0.75, 0.5]).alias("b"), argmax("q").alias("a")).collect()[0]
+    assert r["b"] == pytest.approx([v / 1.1875 for v in [0.45, 0.375, 0.30, 0.0375, 0.025]])
     assert r["a"] == 1
-    assert df.select(argmax(boost("p", [1.20, 1.10, 1.05, 1.00, 0.95]))).collect()[0][0] == 0
+    assert df.select(argmax(boost("p", [1.5, 1.25, 1.0, 0.75, 0.5]))).collect()[0][0] == 0
 
 
 def test_g9_macro_f1(spark):
