@@ -69,10 +69,11 @@ def constants(values) -> Column:
 
 def posteriors(docs: DataFrame, prior: np.ndarray, logp: np.ndarray, evidence: float) -> DataFrame:
     """doc_id, key, rows, n, p (array): one row per distinct (doc_id, text)."""
-    base = logp - logp.mean(axis=0)
-    w = docs.select("doc_id", text_key("text").alias("key"), F.posexplode(words("text")).alias("pos", "w"))
+    base = logp[1:] - logp[0]  # relative to the first domain
+    once = docs.select("doc_id", text_key("text").alias("key"), words("text").alias("ws"))  # the key once per text, not per word
+    w = once.select("doc_id", "key", F.posexplode("ws").alias("pos", "w"))
     w = w.select("doc_id", "key", (F.col("pos") == 0).cast("int").alias("row"), (F.col("w") != "").alias("is"), word_bucket(F.col("w")).alias("b"), shape_bucket(F.col("w")).alias("s"))
-    like = [F.when(F.col("is"), F.get(constants(v), F.col("b")) + F.get(constants(v[WORD_BUCKETS:]), F.col("s") - WORD_BUCKETS)).otherwise(0.0) for v in base]
+    like = [F.lit(0.0)] + [F.col("is").cast("double") * (F.get(constants(v), F.col("b")) + F.get(constants(v[WORD_BUCKETS:]), F.col("s") - WORD_BUCKETS)) for v in base]
     per = w.groupBy("doc_id", "key").agg(F.sum("row").alias("rows"), F.sum(F.col("is").cast("long")).alias("tokens"), *[F.sum(x).alias(f"l{k}") for k, x in enumerate(like)])
     n = (F.col("tokens") / F.col("rows")).cast("long")
     scale = F.least(F.lit(1.0), F.lit(float(evidence)) / F.greatest(n, F.lit(1))) / F.col("rows")
