@@ -7,14 +7,16 @@ A document is the set of its word shingles.  Equal sets are one class from the s
    1 / (threshold x positions), and its classes go on to one bucket per value there; so two sets with J >= threshold go on together
    to one bucket in the mean.  Buckets of one class end; buckets of up to ``small`` are compared by brute force, larger ones
    split again, up to ``max_depth`` (then they are compared in tiles).  The choices follow from a hash of the path, so all levels are joins and
-   counts on (path, class).  ``runs`` follows from the recall asked for and the chance of one run at that depth.
+   counts on (path, class).  A branching process that keeps its size in the mean lives for d levels with a chance of about
+   1 / (1 + d / 2), so ``runs`` = 20 give a pair at the threshold itself a recall of 0.999999 where its buckets end within two
+   levels and 0.9997 within four, closer pairs more.
 3. Brute force compares 64 one-byte minima; pairs that may reach the threshold (five standard deviations below it) join their
    classes loosely.  Only a spanning star per bucket leaves the task, never its pairs.
 4. Exact step: in each loose component the sets themselves are compared, in tiles of ``tile`` classes, by counting
    common shingles; every pair lies in exactly one tile, so links are counted once and only sums per class leave the task.
    Components of the exact links are the result.
 
-A link is missed only if no chain of loosely joined pairs connects its two classes: less than 1 - ``recall`` of them.
+A link is missed only if no chain of loosely joined pairs connects its two classes, which is rarer still.
 
 Words: A-Z lower-cased, then ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``.
 Edge cases: a text of fewer words than a shingle is one shingle of them all; a null text, or one without words, has no set, no links and
@@ -163,8 +165,7 @@ def _loose(buckets: DataFrame, least: int) -> DataFrame:
 
 def loose_links(classes: DataFrame, threshold: float, positions: int, small: int, max_depth: int, recall: float) -> DataFrame:
     """Edges (u, v) whose components hold every pair of classes that reaches the threshold."""
-    one = 1 / (1 + max_depth / 2)  # a run's chance, at least: a critical branching process that lives for max_depth levels
-    runs = math.ceil(math.log(1 - recall) / math.log(1 - one))
+    runs = math.ceil(math.log(1 - recall) / math.log(1 - 1 / 2))  # a run's chance, at least, where buckets end within two levels
     least = max(1, math.floor(positions * (threshold - 5 * math.sqrt(threshold * (1 - threshold) / positions))))
     sketch = F.expr("unhex(regexp_replace(hex(minima), '(..)......', '$1'))")
     sketches = classes.select("r", sketch.alias("sketch"))
@@ -253,7 +254,7 @@ def _exact(rows: DataFrame, threshold: float) -> DataFrame:
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = 0.8, shingle: int = 5, positions: int = 64,
-         small: int = 500, max_depth: int = 4, recall: float = 0.999999, tile: int = 1024) -> DataFrame:
+         small: int = 1000, max_depth: int = 4, recall: float = 0.999999, tile: int = 2048) -> DataFrame:
     """doc_id, class_id (least doc_id that links connect it with), n_links (documents with a Jaccard similarity of ``threshold`` or more,
     equal sets included), key (of the text): one row per row of ``docs``."""
     rows = staged(sampled(docs, id_col, text, shingle, positions))
@@ -267,10 +268,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold:
         .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")) \
         .withColumn("work", F.xxhash64("root", "i", "j")).join(sets, "r")
     exact = staged(_exact(work.select("work", "r", "mine", "i", "j", "copies", "shingles"), threshold))
-    links = exact.groupBy("r").agg(F.sum("links").alias("links"))
-    final = components(exact.select(F.col("r").alias("u"), F.col("root").alias("v")))
-    named = members.join(final, F.col("r") == F.col("node")).select("r", "least", final["root"].alias("top"))
+    links = exact.groupBy("r").agg(F.sum("links").alias("links"), F.min("root").alias("top"))
+    if sizes.filter("tiles > 1").limit(1).count():  # a component that lies in one tile is done; others are put together from their tiles
+        final = components(exact.select(F.col("r").alias("u"), F.col("root").alias("v")))
+        links = links.drop("top").join(final.select(F.col("node").alias("r"), F.col("root").alias("top")), "r", "left")
+    named = links.join(members.select("r", "least"), "r").select("r", "least", F.coalesce("top", "r").alias("top"))
     named = named.join(named.groupBy("top").agg(F.min("least").alias("class")), "top").select("r", "class")
+    links = links.select("r", "links")
     per = classes.select("r", "copies", "least").join(links, "r", "left").join(named, "r", "left") \
         .select(F.col("r").alias("rr"), F.coalesce("class", "least").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"))
     return rows.join(per, F.col("r") == F.col("rr"), "left").select(
