@@ -155,10 +155,13 @@ def _yj_grid_best(train: DataFrame, c: str, grid: list[float]) -> float:
 
 def fit_yeo_johnson(train: DataFrame, cols: list[str]) -> dict:
     """Lambda by maximum likelihood (grid -3..3 step 0.1, moved on while its best point is an end, then +-0.1 step 0.005),
-    then the mean and population sd of the transformed training column (standardize=True).  A constant or empty column
-    has no best lambda and keeps 1."""
+    then the mean and population sd of the transformed training column (standardize=True).  A constant or empty column keeps 1."""
     out = {}
     for c in cols:
+        ends = train.agg(F.min(F.col(c).cast("double")).alias("a"), F.max(F.col(c).cast("double")).alias("b")).collect()[0]
+        if ends["a"] is None or ends["a"] == ends["b"]:
+            out[c] = (1.0, ends["a"] or 0.0, 1.0)
+            continue
         low = -3.0
         while True:
             coarse = [round(low + 0.1 * i, 10) for i in range(61)]
@@ -166,10 +169,8 @@ def fit_yeo_johnson(train: DataFrame, cols: list[str]) -> dict:
             if l0 is None or coarse[0] < l0 < coarse[-1] or abs(low) > 60:
                 break
             low += 3.0 if l0 == coarse[-1] else -3.0
-        if l0 is None:
-            r = train.agg(F.avg(F.col(c).cast("double")).alias("m")).collect()[0]
-            out[c] = (1.0, r["m"] or 0.0, 1.0)
-            continue
+        if l0 is None:  # no transform has a variance
+            l0 = 1.0
         fine = [round(l0 - 0.1 + 0.005 * i, 10) for i in range(41)]
         lam = _yj_grid_best(train, c, fine)
         y = yeo_johnson(c, lam)
