@@ -29,10 +29,10 @@ def stratified_rank(df: DataFrame, id_col: str, strata: str | None, seed: int |
                     rank_col: str = "_rank", size_col: str = "_n_stratum") -> DataFrame:
     """Add the 0-based rank of each row inside its stratum, ordered by (hash, id), and the stratum size.
 
-    One plan, one pass over the input: rows are shuffled once by (stratum, bucket) and numbered
-    inside it; the bucket sizes come from that same partitioned data (no second exchange), their
-    running sum per stratum (a table of at most strata x 16**prefix rows) gives each bucket's
-    offset, and the offsets join back on the existing (stratum, bucket) partitioning.
+    Rows are shuffled and sorted once, by (stratum, bucket), and numbered inside it.  Bucket sizes are counted beside
+    that from the id and the stratum alone, with map-side partial counts (a table of at most strata x
+    16**prefix rows); their running sum per stratum gives each bucket's offset, which joins the numbered rows
+    where they lie.
     """
     # stratum as two non-null plain keys (null flag, text): equality joins and partitionings then
     # line up exactly (no null-safe or float-normalised key forcing another exchange)
@@ -42,7 +42,7 @@ def stratified_rank(df: DataFrame, id_col: str, strata: str | None, seed: int |
     d = (df.withColumn("_stn", stn).withColumn("_stv", stv).withColumn("_h", hash_key(id_col, seed))
          .withColumn("_b", F.substring("_h", 1, prefix)))
     ranked = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy("_h", id_col)))
-    counts = ranked.groupBy(*keys).agg(F.max("_rn").alias("_cnt"))
+    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
     w_st = Window.partitionBy("_stn", "_stv")
     offs = counts.select(
         *keys,

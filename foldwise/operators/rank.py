@@ -15,14 +15,15 @@ from pyspark.sql import functions as F
 
 from foldwise.session import cut_lineage
 
-PARTITIONS = 64
-
 
 def cumulative_before(df: DataFrame, keys: list[str], weight: str, group: list[str] | None = None,
-                      partitions: int = PARTITIONS) -> DataFrame:
+                      partitions: int | None = None) -> DataFrame:
     """df holds one row per (group, keys) with a weight; adds ``_before`` = sum of weights of
-    smaller keys in the same group (keys compared in order; ties impossible: keys are distinct)."""
+    smaller keys in the same group (keys compared in order; ties impossible: keys are distinct).
+
+    ``partitions`` defaults to the session's number of shuffle partitions, which is sized for the data."""
     group = group or []
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     b = cut_lineage(df.repartitionByRange(partitions, *group, *keys).withColumn("_b", F.spark_partition_id()))
     tot = b.groupBy(*group, "_b").agg(F.sum(weight).alias("_t"))
     w_off = Window.partitionBy(*group).orderBy("_b") if group else Window.orderBy("_b")  # <= partitions rows per group
@@ -53,11 +54,11 @@ def rank_normalised(df: DataFrame, value: str, group: list[str] | None = None, o
 
 
 def best_by(df: DataFrame, score: str, tiebreak: list[str], group: list[str] | None = None) -> DataFrame:
-    """W4 best run / K9 winner: max score, first candidate on ties -- one aggregation with max_by."""
+    """W4 best run / K9 winner: max score, first candidate on ties (keys of any type) -- one aggregation with min_by."""
     group = group or []
-    key = F.struct(F.col(score).alias("s"), *[(-F.col(t)).alias(f"t{i}") for i, t in enumerate(tiebreak)])
+    key = F.struct((-F.col(score)).alias("s"), *[F.col(t).alias(f"t{i}") for i, t in enumerate(tiebreak)])
     cols = [c for c in df.columns if c not in group]
-    agg = df.groupBy(*group).agg(F.max_by(F.struct(*cols), key).alias("_best"))
+    agg = df.groupBy(*group).agg(F.min_by(F.struct(*cols), key).alias("_best"))
     return agg.select(*group, "_best.*")
 
 

@@ -1,8 +1,8 @@
 """Weight searches over stored OOF scores (K9-K11) in ONE pass per candidate set.
 
 Candidate weight vectors are a parameter-sized literal (grid or Dirichlet draws made
-on the driver from a seeded generator); every scored row is expanded against them
-inside the task and the hit rate is aggregated per candidate id, so the shuffle is
+on the driver from a seeded generator); every batch of scored rows is multiplied with them
+inside the task, which sends one row of hits per candidate, so the shuffle is
 (candidates x partitions) rows however many rows are scored.  The winner is the best
 score, first candidate on ties (strict improvement in candidate order).
 """
@@ -10,6 +10,7 @@ score, first candidate on ties (strict improvement in candidate order).
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,14 +27,26 @@ def wide_scores(pred: DataFrame, models: list[str], cls: int = 1, id_col: str =
 def score_candidates(scored: DataFrame, models: list[str], y: str, candidates: list[list[float]],
                      threshold: float = 0.5) -> DataFrame:
     """(wid, accuracy) of ``sum_m w_m p_m >= threshold`` against y (0/1) for every candidate."""
-    cand = lit_array(candidates)
-    ex = scored.select(F.col(y).alias("_y"), *[F.col(f"p_{m}") for m in models], F.posexplode(cand).alias("wid", "_w"))
-    # unrolled dot product (no lambda): stays in generated code
-    blend = F.col("_w")[0] * F.col(f"p_{models[0]}")
-    for i, m in enumerate(models[1:], start=1):
-        blend = blend + F.col("_w")[i] * F.col(f"p_{m}")
-    hit = ((blend >= F.lit(threshold)).cast("double") == F.col("_y")).cast("double")
-    return ex.groupBy("wid").agg(F.avg(hit).alias("accuracy"))
+    w = np.asarray(candidates, float)
+    cols = [F.col(f"p_{m}").cast("double").alias(f"p{i}") for i, m in enumerate(models)]
+
+    def hits(batches):
+        """Per batch one row per candidate: rows are never multiplied by the candidates outside a small block."""
+        total, n = np.zeros(len(w), np.int64), 0
+        for b in batches:
+            truth = np.asarray(b.column("_y"))
+            p = [np.asarray(b.column(f"p{i}")) for i in range(len(models))]
+            for k in range(0, len(truth), 2048):
+                blend = np.zeros((len(truth[k : k + 2048]), len(w)))
+                for i, x in enumerate(p):  # the order of the sums is that of the models
+                    blend += x[k : k + 2048, None] * w[None, :, i]
+                total += ((blend >= threshold) == (truth[k : k + 2048, None] == 1)).sum(axis=0)
+            n += len(truth)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(w), dtype=np.int32)), pa.array(total), pa.array(np.full(len(w), n))], ["wid", "hits", "n"])
+
+    rows = scored.select(F.col(y).cast("double").alias("_y"), *cols).dropna()
+    return rows.mapInArrow(hits, "wid int, hits long, n long").groupBy("wid").agg((F.sum("hits") / F.sum("n")).alias("accuracy"))
 
 
 def grid_2d(step_den: int = 20, lo=(0, 0), hi=None, total: int | None = None) -> list[tuple[int, int]]:

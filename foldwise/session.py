@@ -45,26 +45,23 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint dir; only when unset (tests, local bench) make a scratch one."""
+    """Use the session's checkpoint dir; only a local session without one (tests, bench) gets a scratch folder."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="foldwise-ckpt-", dir=os.environ.get("FOLDWISE_SCRATCH", "/tmp"))
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
-
-    Falls back to ``cache()`` only when the session names no checkpoint folder;
-    a cached block that is lost is recomputed from lineage, so results stay right.
-    """
-    if checkpoint_dir(df.sparkSession):
-        cached = df.persist()  # computed once, then written by the checkpoint job
-        out = cached.checkpoint(eager=True)
-        cached.unpersist()
-        return out
-    return df.cache()
+    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist()  # computed once, then written by the checkpoint job
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def join_dim(big: DataFrame, dim: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_MAX_ROWS,
