@@ -83,7 +83,8 @@ def fit_target_encoder(train: DataFrame, cols: list[str], y: str = "y", fold_col
     n_all = sum(v[0] for v in tot.values())
     s_all = sum(v[1] for v in tot.values())
     g = s_all / n_all
-    g_fold = {f: (s_all - tot[f][1]) / (n_all - tot[f][0]) for f in folds}
+    # a single fold has no training part: its prior is the global one
+    g_fold = {f: (s_all - tot[f][1]) / (n_all - tot[f][0]) if n_all > tot[f][0] else g for f in folds}
 
     stats = (
         _long_values(train, cols, [fold_col, y])

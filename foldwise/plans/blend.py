@@ -36,10 +36,15 @@ def mean_over(pred: DataFrame, over: str, keys: list[str]) -> DataFrame:
     return pred.groupBy(*keys).agg(F.avg("p").alias("p"))
 
 
-def rank_average(pred: DataFrame, models: list[str], id_col: str = "id") -> DataFrame:
-    """K8: per model, average rank of p divided by its max; then the mean over models (binary scores)."""
+def rank_average(pred: DataFrame, models: list[str], id_col: str = "id", weights: dict | None = None) -> DataFrame:
+    """K8: per model, average rank of p divided by its max; then the mean over models (binary scores), weighted if asked."""
     r = rank_normalised(pred.filter(F.col("model").isin(models)), "p", ["model"], "rn")
-    return r.groupBy(id_col).agg((F.sum("rn") / F.lit(float(len(models)))).alias("score"))
+    if weights is None:
+        return r.groupBy(id_col).agg((F.sum("rn") / F.lit(float(len(models)))).alias("score"))
+    if set(weights) != set(models):
+        raise ValueError(f"models {sorted(models)} and weights {sorted(weights)} differ")
+    w = F.broadcast(weight_table(pred.sparkSession, weights))  # one row per model
+    return r.join(w, "model").groupBy(id_col).agg((F.sum(F.col("w") * F.col("rn")) / F.lit(float(sum(weights.values())))).alias("score"))
 
 
 def to_vector(pred: DataFrame, k: int, keys: list[str] = ("id",)) -> DataFrame:

@@ -39,6 +39,14 @@ def q_k8(spark, sf):
     return r.select("id", r6("score", "score"))
 
 
+@register("k8_weighted_rank_blend")
+def q_k8w(spark, sf):
+    _, _, _, tst = status_zoo(spark, sf)
+    t = tst.filter(F.col("class") == 1).withColumn("p", round6("p"))
+    r = B.rank_average(t, list(BIN_W), weights=BIN_W)
+    return r.select("id", r6("score", "score"))
+
+
 @register("k9_k10_weight_grid")
 def q_k9(spark, sf):
     tr, _, oof, _ = status_zoo(spark, sf)

@@ -94,6 +94,11 @@ rn AS (SELECT id, model, rk / MAX(rk) OVER (PARTITION BY model) AS rn FROM r)
 SELECT id, ROUND(SUM(rn) / 3, 6) AS score FROM rn GROUP BY id"""
 
 
+def k8w() -> str:
+    w = " ".join(f"WHEN '{m}' THEN {v}" for m, v in BIN_W.items())
+    return k8().replace("SUM(rn) / 3", f"SUM(rn * CASE model {w} END) / {sum(BIN_W.values())}")
+
+
 def _scored(models: list[str]) -> str:
     cols = ", ".join(f"MAX(CASE WHEN o.model = '{m}' THEN o.p END) AS p_{m}" for m in models)
     return f"""
@@ -233,7 +238,7 @@ def s1() -> str:
 
 
 ORACLE = {
-    "k6_fixed_weight_blend": k6, "k8_rank_average_blend": k8, "k9_k10_weight_grid": k9,
+    "k6_fixed_weight_blend": k6, "k8_rank_average_blend": k8, "k8_weighted_rank_blend": k8w, "k9_k10_weight_grid": k9,
     "k11_dirichlet_weight_search": k11, "k17_v3_per_model_fold_accuracy": k17, "v4_log_loss": v4,
     "w1_average_rank": w1, "k7_fixed_weight_multiclass_blend": k7, "v2_macro_f1": v2, "m20_soft_voting": m20,
     "m22_class_weights": m22, "k13_seed_average": k13, "k12_w4_seed_sweep_ranked": k12,
