@@ -5,9 +5,10 @@ features are hashed words and hashed (second letter, last letter) pairs, so the
 entries and enters the plan as constant arrays.  A long text would make every posterior 0 or 1, so the evidence of a
 text counts as that of at most ``evidence`` words.
 
-Rates r >= 0 (expected copies of a document) minimise sum_k w_k (sum_i r_i n_i p_ik - b_k)^2, n_i tokens, p_ik posterior, b_k
-target tokens, w_k = 1 / sum_i n_i p_ik^2, by projected gradient from r = 1: r_i <- max(0, r_i - step * p_i . (w * residual)), where the
-step is that of the largest eigenvalue (the metric is 1 / n_i for document i).  A pass over the documents adds up one number per domain;
+Rates r >= 0 (expected copies of a document) minimise the least squares e' W e of the residuals e_k = sum_i r_i n_i p_ik - b_k, with n_i
+tokens, p_ik posterior, b_k target tokens and W the inverse of sum_i n_i p_i p_i', by projected gradient from r = 1: r_i <- max(0, r_i -
+p_i . W e).  The metric is 1 / n_i for document i; with this W the largest eigenvalue, hence the step, is 1, and without a clipped
+rate one step is exact.  A pass over the documents adds up one number per domain;
 the state is the list of gradients so far, from which each document's rate is folded, so nothing per document is kept
 between passes and a lost executor costs nothing.
 
@@ -92,7 +93,7 @@ def rate_of(steps: list[np.ndarray]) -> Column:
     return F.aggregate(rows, F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - dot(g)))
 
 
-def fit_rates(members: DataFrame, targets: np.ndarray, max_steps: int = 40, tolerance: float = 1e-6) -> tuple[list[np.ndarray], list[float]]:
+def fit_rates(members: DataFrame, targets: np.ndarray, max_steps: int = 40, tolerance: float = 1e-7) -> tuple[list[np.ndarray], list[float]]:
     """Gradient steps, and the largest relative residual before each; ``members`` has rows, n and p."""
     k = len(targets)
     p = [F.col("p")[i] for i in range(k)]
@@ -102,8 +103,7 @@ def fit_rates(members: DataFrame, targets: np.ndarray, max_steps: int = 40, tole
     if not total:
         return [], []
     gram = np.array([[first[f"g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)], float)
-    weight = np.where(gram.diagonal() > 0, 1 / np.maximum(gram.diagonal(), 1e-300), 0.0)
-    step = 1 / np.linalg.eigvalsh(np.sqrt(np.outer(weight, weight)) * gram)[-1]
+    weight = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)  # a domain without tokens drops out
     want, steps, history = targets / targets.sum() * total, [], []
     for _ in range(max_steps):
         got = members.select("*", rate_of(steps).alias("r")).agg(*[F.sum(mass * F.col("r") * x).alias(str(i)) for i, x in enumerate(p)]).first()
@@ -111,7 +111,7 @@ def fit_rates(members: DataFrame, targets: np.ndarray, max_steps: int = 40, tole
         history.append(float(np.abs(residual).max() / total))
         if history[-1] < tolerance:
             break
-        steps.append(step * weight * residual)
+        steps.append(weight @ residual)
     return steps, history
 
 
