@@ -7,7 +7,8 @@
 2. Exact grouping of the windows estimated repeated, by a 96-bit fingerprint.  A map task first groups its own chunk: of equal windows
    only the earliest goes on, the others are already known to repeat, so a passage that a third of all documents share
    sends one entry per chunk.  Entries travel as compressed arrays, one row per (chunk, fingerprint range).
-3. The marks (document, start) go back to the documents by a hash of the document, where covered words are cut.
+3. The marks (document, start) go back to the documents by a hash of id and text, where covered words are cut; copies with
+   different ids lie in different chunks, and a document given so often that its rows would fill a chunk is cut once.
 
 Earlier: by doc_id (null first), then by a key of the text, then by start.
 Words: ``[^\x20\x09-\x0D]+``, unchanged.  Edge cases: a null or empty text has no words; a text of fewer than ``size`` words
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm.blobs import cells, gaps, groups, pack, unpack
-from foldwise.llm.common import text_bytes, text_key
+from foldwise.llm.common import staged, text_bytes, text_key
 from foldwise.llm.textkit import NOT_SPACE, SpanHasher, find_words, slices
 
 WORD, WINDOW, CHECK = SpanHasher(401), SpanHasher(402), SpanHasher(403)
@@ -35,6 +36,7 @@ ROWS = 2
 BLOCK = 20  # log2 of the cells of a block
 PART = 4_000_000  # windows of a partial sketch
 CHUNK = 500_000  # windows grouped in a map task before they are sent
+HEAVY = 8 << 20  # bytes of the rows of one document from which they are cut as one row
 NULL_ID = np.iinfo(np.int64).min
 
 
@@ -204,8 +206,22 @@ def _read(t: pa.Table, hashes: bool) -> list[np.ndarray]:
     return out
 
 
+def chunk_of(ids: np.ndarray, keys: np.ndarray, chunks: int) -> np.ndarray:
+    """pmod(xxhash64(id, key), chunks) as Spark computes it."""
+    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    rotl = lambda x, r: (x << np.uint64(r)) | (x >> np.uint64(64 - r))
+    h = np.full(len(ids), 42, np.uint64)
+    for x in (ids, keys):
+        h = h + p5 + np.uint64(8)
+        h = rotl(h ^ (rotl(x.view(np.uint64) * p2, 31) * p1), 27) * p1 + p4
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        h ^= h >> np.uint64(32)
+    return (h.view(np.int64) % chunks).astype(np.int32)
+
+
 def _by_chunk(ids, keys, start, chunks: int) -> pa.Table:
-    chunk = (keys.view(np.uint64) % np.uint64(chunks)).astype(np.int32)
+    chunk = chunk_of(ids, keys, chunks)
     o = np.lexsort((start, ids, keys, chunk))
     chunk, ids, keys, start = (x[o] for x in (chunk, ids, keys, start))
     cut, rows = groups(chunk), {k: [] for k in ("chunk", "id", "key", "n", "start")}
@@ -246,12 +262,24 @@ def _cut(size: int, digest: bool):
             gone.append(removed)
             out = b" ".join(words)
             kept.append(hashlib.sha256(out).hexdigest() if digest else out.decode())
-        return pa.table([docs["row"], docs["id"], pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=["row", "id", "n_words", "n_removed", "kept"])
+        return pa.table([docs["row"], docs["id"], pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=["row", "id", "n_words", "n_removed", "kept"]).append_column("rows", docs["rows"])
 
     return cut
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 20, digest: bool = False, max_cells: int = 1 << 29) -> DataFrame:
+def _once(base: DataFrame, heavy: int) -> DataFrame:
+    """``base`` with the column rows: 1, or for a document whose rows hold more than ``heavy`` bytes one row for all of them."""
+    name = ["row", "id", "key"]
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 64)
+    many = staged(base.groupBy(*name).agg(size.alias("size"), F.count("*").alias("rows")).filter((F.col("size") > heavy) & (F.col("rows") > 1)).select(*name, "rows"))
+    if not many.limit(1).count():
+        return base.withColumn("rows", F.lit(1).cast("long"))
+    few = F.broadcast(many)  # at most one for each ``heavy`` bytes of the corpus
+    first = base.join(few, name, "left_semi").groupBy(*name).agg(F.first("text").alias("text")).join(few, name)
+    return base.join(few, name, "left_anti").withColumn("rows", F.lit(1).cast("long")).unionByName(first)
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 20, digest: bool = False, max_cells: int = 1 << 29, heavy: int = HEAVY) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words left joined by one space, or its SHA-256): one row per row of ``docs``."""
     total = text_bytes(docs, text)
     windows = max(1, total // 6)
@@ -261,10 +289,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(NULL_ID))).alias("id"), F.col(id_col).isNull().alias("row"), text_key(text).alias("key"), F.col(text).alias("text"))
     bits = sketch(base, size, log2)
     found = marks(base, size, bits, log2, buckets, chunks)
-    # the chunk of a document: its key as an unsigned number modulo the chunks, as in _by_chunk
-    high, low = F.shiftrightunsigned("key", 32), F.col("key").bitwiseAND(0xFFFFFFFF)
-    chunk = F.pmod(F.pmod(high, F.lit(chunks)) * F.lit((1 << 32) % chunks) + low, F.lit(chunks)).cast("int")
-    out = base.withColumn("chunk", chunk).groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_cut(size, digest), "row boolean, id long, n_words long, n_removed long, kept string")
+    chunk = F.pmod(F.xxhash64("id", "key"), F.lit(chunks)).cast("int")  # as chunk_of
+    out = _once(base, heavy).withColumn("chunk", chunk).groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_cut(size, digest), "row boolean, id long, n_words long, n_removed long, kept string, rows long")
+    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
     return out.select(F.when(~F.col("row"), F.col("id")).alias("doc_id"), "n_words", "n_removed", "kept")
 
 

@@ -266,6 +266,20 @@ def test_substring_dedup_with_a_full_sketch(docs, monkeypatch):
     assert got == expected([(r[0], r[2], r[3]) for r in brute_substrings(DOCS)])
 
 
+def test_substring_dedup_spreads_copies_over_chunks(spark):
+    ids, key = np.arange(-500, 500), np.full(1000, -77)
+    chunk = np.asarray(substring_dedup._by_chunk(ids, key, np.zeros(1000, np.int32), 16)["chunk"])
+    assert len(set(chunk)) == 16  # copies of one text with different ids
+    df = spark.createDataFrame([(int(i),) for i in ids], "id long").select(F.pmod(F.xxhash64("id", F.lit(-77).cast("long")), F.lit(16)).alias("c"))
+    assert [r.c for r in df.collect()] == substring_dedup.chunk_of(ids, key, 16).tolist()
+
+
+def test_substring_dedup_of_a_document_given_often(spark, docs):
+    rows = [*DOCS, *[(71, *DOCS[40][1:])] * 3, *[(None, *DOCS[3][1:])] * 4, *[(None, None, "en", "s1", None, 0.5, "k", None)] * 3]
+    out = substring_dedup.dedup(spark.createDataFrame(rows, SCHEMA).repartition(3), digest=True, heavy=400)
+    assert rows_of(out, "doc_id", "n_words", "n_removed", "kept") == expected(brute_substrings(rows))
+
+
 # ---- 5 -----------------------------------------------------------------------------------------
 
 def test_lm_base_score(docs, empty):
