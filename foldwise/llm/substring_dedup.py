@@ -6,7 +6,7 @@
    ``max_cells``; a fuller sketch only lets more windows pass to the exact step.
 2. Exact grouping of the windows estimated repeated, by a 96-bit fingerprint.  A map task first groups its own chunk: of equal windows
    only the earliest goes on, the others are already known to repeat, so a passage that a third of all documents share
-   sends one entry per chunk.  Entries travel as compressed arrays, one row per (chunk, fingerprint range).
+   sends one entry per chunk; marks known to be late are dealt over all ranges in pieces.  Entries travel as compressed arrays, one row per (chunk, fingerprint range).
 3. The marks (document, start) go back to the documents by a hash of id and text, where covered words are cut; copies with
    different ids lie in different chunks, and a document given so often that its rows would fill a chunk is cut once.
 
@@ -20,10 +20,11 @@ from __future__ import annotations
 
 import hashlib
 import math
-from itertools import compress
+from itertools import compress, count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,7 @@ ROWS = 2
 BLOCK = 20  # log2 of the cells of a block
 PART = 4_000_000  # windows of a partial sketch
 CHUNK = 500_000  # windows grouped in a map task before they are sent
+PIECE = 65_536  # known marks that go to one bucket together
 HEAVY = 8 << 20  # bytes of the rows of one document from which they are cut as one row
 NULL_ID = np.iinfo(np.int64).min
 
@@ -124,31 +126,42 @@ def _repeated(bits: list[np.ndarray], h: np.ndarray, log2: int) -> np.ndarray:
     return ok
 
 
-def marks(docs: DataFrame, size: int, bits, log2: int, buckets: int, chunks: int) -> DataFrame:
-    """(chunk, id, key, n, start): per chunk of documents, the starts of windows that are not the earliest of their words.
+def _salts(task: int, buckets: int):
+    """Buckets for a task's pieces of known marks: one after the other, from a place of its own (multiples of the golden ratio)."""
+    first = (task * 0x9E3779B1 % (1 << 32)) * buckets >> 32
+    return (x % buckets for x in count(first))
 
-    ``docs`` has id (null as the smallest long), key and text; n[i] starts belong to document (id[i], key[i])."""
+
+def _entries(docs: DataFrame, size: int, bits, log2: int, buckets: int) -> DataFrame:
+    """(bucket, known, h, c, id, key, start): windows estimated repeated, by range of fingerprints, and marks known to be late."""
     shift = np.uint64(64 - int(math.log2(buckets))) if buckets > 1 else None
 
     def entries(batches):
-        held, n, seq = [], 0, 0
+        held, n, salts = [], 0, _salts(TaskContext.get().partitionId(), buckets)
         for b in batches:
             ids, keys = np.asarray(b.column("id")), np.asarray(b.column("key"))
             for s in slices(b.column("text")):
-                h, start, count, w = _windows(s, size)
+                h, start, each, w = _windows(s, size)
                 g = WINDOW.windows(h, start, size)
                 ok = _repeated(bits.value, g, log2)
-                doc = np.repeat(np.arange(len(s)), count)[ok] + s.first
+                doc = np.repeat(np.arange(len(s)), each)[ok] + s.first
                 at = start[ok]
                 c = (CHECK.windows(h, at, size) >> np.uint64(32)).astype(np.uint32)
                 held.append((g[ok], c, ids[doc], keys[doc], (at - w.first[doc - s.first]).astype(np.int32)))
                 n += len(at)
                 if n >= CHUNK:
-                    yield _chunk(held, shift, seq % buckets)
-                    held, n, seq = [], 0, seq + 1
+                    yield _chunk(held, shift, salts)
+                    held, n = [], 0
         if n:
-            yield _chunk(held, shift, seq % buckets)
+            yield _chunk(held, shift, salts)
+
+    return docs.select("id", "key", "text").mapInArrow(entries, "bucket int, known boolean, h binary, c binary, id binary, key binary, start binary")
 
+
+def marks(docs: DataFrame, size: int, bits, log2: int, buckets: int, chunks: int) -> DataFrame:
+    """(chunk, id, key, n, start): per chunk of documents, the starts of windows that are not the earliest of their words.
+
+    ``docs`` has id (null as the smallest long), key and text; n[i] starts belong to document (id[i], key[i])."""
     def group(t: pa.Table) -> pa.Table:
         known = t.filter(pa.compute.equal(t["known"], True))
         own = t.filter(pa.compute.equal(t["known"], False))
@@ -163,12 +176,11 @@ def marks(docs: DataFrame, size: int, bits, log2: int, buckets: int, chunks: int
         _, _, i2, k2, s2 = _read(known, False)
         return _by_chunk(np.concatenate([ids, i2]), np.concatenate([keys, k2]), np.concatenate([start, s2]), chunks)
 
-    sent = docs.select("id", "key", "text").mapInArrow(entries, "bucket int, known boolean, h binary, c binary, id binary, key binary, start binary")
-    return sent.groupBy("bucket").applyInArrow(group, "chunk int, id binary, key binary, n binary, start binary")
+    return _entries(docs, size, bits, log2, buckets).groupBy("bucket").applyInArrow(group, "chunk int, id binary, key binary, n binary, start binary")
 
 
-def _chunk(held: list, shift, salt: int) -> pa.RecordBatch:
-    """One row per fingerprint range, of the chunk's earliest windows, and one row of those known to be later ones."""
+def _chunk(held: list, shift, salts) -> pa.RecordBatch:
+    """One row per fingerprint range, of the chunk's earliest windows, and one row per piece of those known to be later ones."""
     h, c, ids, keys, start = (np.concatenate(x) for x in zip(*held, strict=True))
     o = np.lexsort((start, keys, ids, c, h))
     h, c, ids, keys, start = (x[o] for x in (h, c, ids, keys, start))
@@ -193,7 +205,9 @@ def _chunk(held: list, shift, salt: int) -> pa.RecordBatch:
             put(int(bucket[at[a]]), False, at[a:b])
     if late.any():
         pick = np.flatnonzero(late)
-        put(salt, True, pick[np.lexsort((start[pick], keys[pick], ids[pick]))])
+        pick = pick[np.lexsort((start[pick], keys[pick], ids[pick]))]
+        for i in range(0, len(pick), PIECE):
+            put(next(salts), True, pick[i : i + PIECE])
     kinds = {"bucket": pa.int32(), "known": pa.bool_()}
     return pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.binary())) for k, v in rows.items()], list(rows))
 

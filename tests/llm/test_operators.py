@@ -274,6 +274,16 @@ def test_substring_dedup_spreads_copies_over_chunks(spark):
     assert [r.c for r in df.collect()] == substring_dedup.chunk_of(ids, key, 16).tolist()
 
 
+def test_substring_dedup_spreads_known_marks(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(i, i, text) for i in range(800)], "id long, key long, text string").repartition(8)
+    bits = spark.sparkContext.broadcast([np.full(1 << 13, 255, np.uint8)] * 2)
+    sent = substring_dedup._entries(df, 20, bits, 16, 64).filter("known").collect()
+    assert len(sent) == len({r.bucket for r in sent}) == 8  # one chunk of each of 8 tasks
+    load = Counter(b for task in range(240) for b, _ in zip(substring_dedup._salts(task, 8192), range(336)))
+    assert max(load.values()) < 1.5 * 240 * 336 / 8192
+
+
 def test_substring_dedup_of_a_document_given_often(spark, docs):
     rows = [*DOCS, *[(71, *DOCS[40][1:])] * 3, *[(None, *DOCS[3][1:])] * 4, *[(None, None, "en", "s1", None, 0.5, "k", None)] * 3]
     out = substring_dedup.dedup(spark.createDataFrame(rows, SCHEMA).repartition(3), digest=True, heavy=400)
