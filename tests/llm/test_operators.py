@@ -455,3 +455,21 @@ def test_rates_equal_a_local_projected_gradient(spark):
     assert len(steps) > 1 and history[-1] < 0.2 * history[0]  # some rates are clipped here
     got = np.array([x.r for x in df.select("n", mixing.rate_of(steps).alias("r")).collect()])
     assert np.allclose(got, r, atol=1e-9)
+
+
+def test_rates_meet_targets_with_soft_posteriors(spark):
+    rng = np.random.default_rng(4)
+    p, n = rng.dirichlet([7.3, 1.8, 0.9], 2000), rng.integers(1, 500, 2000)
+    df = spark.createDataFrame([(1, int(m), [float(x) for x in q]) for m, q in zip(n, p)], "rows int, n long, p array<double>").coalesce(2).cache()
+    target = np.array([0.9, 0.08, 0.02])
+    x, missed = mixing.fit_dual(df, target)
+    r = np.array([x.r for x in df.select(mixing.rate_of([x]).alias("r")).collect()])
+    assert (r == 0).any() and missed < 1e-6
+    assert np.abs((r * n) @ p / n.sum() - target).max() < 1e-6
+    x, missed = mixing.fit_dual(df, np.array([0.0, 0.0, 1.0]))  # no document is of the third domain alone
+    assert np.isfinite(x).all() and missed > 0.01
+
+
+def test_unmet_targets_are_reported(docs, labels):
+    with pytest.warns(UserWarning, match="not met"):
+        mixing.mix(docs, labels.limit(0))
