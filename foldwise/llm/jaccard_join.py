@@ -7,9 +7,11 @@ A document is the set of its word shingles.  Equal sets are one class from the s
    1 / (threshold x positions), and its classes go on to one bucket per value there; so two sets with J >= threshold go on together
    to one bucket in the mean.  Buckets of one class end; buckets of up to ``small`` are compared by brute force, larger ones
    split again, up to ``max_depth`` (then they are compared in tiles).  The choices follow from a hash of the path, so all levels are joins and
-   counts on (path, class).  A branching process that keeps its size in the mean lives for d levels with a chance of about
-   1 / (1 + d / 2), so ``runs`` = 20 give a pair at the threshold itself a recall of 0.999999 where its buckets end within two
-   levels and 0.9997 within four, closer pairs more.
+   counts on (path, class).  The mean chance that the runs miss a pair at the threshold itself follows exactly from the positions
+   they pick (``missed``); runs are added until it is at most 1 - ``recall`` for the level at which buckets end: 16 runs for two
+   levels (64 positions, threshold 0.8), and for the classes met in buckets that went deeper as many more as the level
+   reached needs (25 in all for three, 36 for four).  A run that picks no position is passed over.  Closer pairs are missed less, single
+   pairs at the threshold whose minima happen to differ more often are missed more.
 3. Brute force compares 64 one-byte minima; pairs that may reach the threshold (five standard deviations below it) join their
    classes loosely.  Only a spanning star per bucket leaves the task, never its pairs.
 4. Exact step: in each loose component the sets themselves are compared, in tiles of ``tile`` classes, by counting
@@ -27,6 +29,7 @@ documents that link each other; an empty table gives an empty result; other colu
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -90,13 +93,42 @@ def chosen(path: np.ndarray, positions: int, threshold: float) -> list[np.ndarra
     return [np.flatnonzero(mix(path + np.uint64((i + 1) * 0x9E3779B97F4A7C15 % 2**64)) <= bound) for i in range(positions)]
 
 
-def _descend(rows: DataFrame, positions: int, threshold: float, runs: int | None) -> DataFrame:
+def missed(picks: np.ndarray, depth: int, threshold: float) -> float:
+    """Mean chance that no bucket of level ``depth`` holds both classes of a pair at the threshold; picks[i] runs pick position i at the top."""
+    positions = len(picks)
+    same = np.arange(positions + 1)  # positions at which the pair's minima are equal
+    on = np.ones(positions + 1)  # chance to stay together from one common bucket to the last level
+    for _ in range(depth - 1):
+        on = 1 - (1 - on * min(1, 1 / (threshold * positions))) ** same
+    chance = np.zeros((positions + 1, positions + 1))  # [same, equal positions so far]: chance of them and of having missed
+    chance[:, 0] = 1
+    for n in picks:
+        new = chance * (1 - threshold)
+        new[:, 1:] += chance[:, :-1] * threshold * ((1 - on) ** n)[:, None]
+        chance = new
+    return float(np.trace(chance))
+
+
+def runs_for(depth: int, positions: int, threshold: float, recall: float) -> list[int]:
+    """Numbers of the runs, each of which picks a position, that reach ``recall`` where buckets end at level ``depth``; more depth adds runs at the end."""
+    bound = max(1 - recall, 2 * (1 - threshold) ** positions)  # a pair without an equal minimum is missed by any number of runs
+    out, picks, k = [], np.zeros(positions, np.int64), 0
+    while missed(picks, depth, threshold) > bound:
+        k += 1
+        got = np.array([len(at) for at in chosen(mix(np.array([k], np.uint64)), positions, threshold)])
+        if got.any():
+            out.append(k)
+            picks += got
+    return out
+
+
+def _descend(rows: DataFrame, positions: int, threshold: float, runs: list[int] | None) -> DataFrame:
     """(path, r): the next buckets of each class.  ``rows`` has r, minima, and path below the first level."""
     def run(batches):
         for b in batches:
             r = np.asarray(b.column("r"))
             m = np.frombuffer(b"".join(b.column("minima").to_pylist()), np.uint32).reshape(len(r), positions).astype(np.uint64)
-            tops = [np.full(len(r), mix(np.array([k], np.uint64))[0]) for k in range(1, runs + 1)] if runs else [np.asarray(b.column("path")).view(np.uint64)]
+            tops = [np.full(len(r), mix(np.array([k], np.uint64))[0]) for k in runs] if runs else [np.asarray(b.column("path")).view(np.uint64)]
             for path in tops:
                 for i, at in enumerate(chosen(path[:1], positions, threshold) if runs else chosen(path, positions, threshold)):
                     at = np.arange(len(r)) if runs and len(at) else at
@@ -165,29 +197,34 @@ def _loose(buckets: DataFrame, least: int) -> DataFrame:
 
 def loose_links(classes: DataFrame, threshold: float, positions: int, small: int, max_depth: int, recall: float) -> DataFrame:
     """Edges (u, v) whose components hold every pair of classes that reaches the threshold."""
-    runs = math.ceil(math.log(1 - recall) / math.log(1 - 1 / 2))  # a run's chance, at least, where buckets end within two levels
     least = max(1, math.floor(positions * (threshold - 5 * math.sqrt(threshold * (1 - threshold) / positions))))
     sketch = F.expr("unhex(regexp_replace(hex(minima), '(..)......', '$1'))")
     sketches = classes.select("r", sketch.alias("sketch"))
-    level, edges = _descend(classes.select("r", "minima"), positions, threshold, runs), []
-    for depth in range(1, max_depth + 1):
-        many = level.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
-        shared = staged(level.join(many, "path"))
-        last = depth == max_depth
-        end = shared if last else shared.filter(F.col("n") <= small)
-        if last:  # too large still: every two tiles of ``small`` classes meet in a bucket of their own
-            tiles = F.ceil(F.col("n") / small).cast("int")
-            mine = F.pmod(F.xxhash64("r", "path"), tiles)
-            end = end.withColumn("tiles", tiles).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-            end = end.withColumn("path", F.when(F.col("tiles") == 1, F.col("path")).otherwise(F.xxhash64("path", F.least("mine", "other"), F.greatest("mine", "other"))))
-        edges.append(staged(_loose(end.select("path", "r").join(sketches, "r"), least).distinct()))
-        if last or not shared.filter(F.col("n") > small).limit(1).count():
-            break
-        level = staged(_descend(shared.filter(F.col("n") > small).select("path", "r").join(classes.select("r", "minima"), "r"), positions, threshold, None))
-    out = edges[0]
-    for e in edges[1:]:
-        out = out.unionByName(e)
-    return out
+    edges, deep, reached, done = [], [], min(2, max_depth), 0
+    while len(runs := runs_for(reached, positions, threshold, recall)) > done:
+        # a pair meets below level 2 only if both classes are in deep buckets: the others need no more runs
+        some = staged(reduce(DataFrame.unionByName, deep).distinct().join(classes.select("r", "minima"), "r")) if done else classes.select("r", "minima")
+        level = _descend(some, positions, threshold, runs[done:])
+        done = len(runs)
+        for depth in range(1, max_depth + 1):
+            many = level.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
+            shared = staged(level.join(many, "path"))
+            last = depth == max_depth
+            end = shared if last else shared.filter(F.col("n") <= small)
+            if last:  # too large still: every two tiles of ``small`` classes meet in a bucket of their own
+                tiles = F.ceil(F.col("n") / small).cast("int")
+                mine = F.pmod(F.xxhash64("r", "path"), tiles)
+                end = end.withColumn("tiles", tiles).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+                end = end.withColumn("path", F.when(F.col("tiles") == 1, F.col("path")).otherwise(F.xxhash64("path", F.least("mine", "other"), F.greatest("mine", "other"))))
+            edges.append(staged(_loose(end.select("path", "r").join(sketches, "r"), least).distinct()))
+            large = shared.filter(F.col("n") > small)
+            if last or not large.limit(1).count():
+                break
+            if depth >= 2:
+                deep.append(large.select("r"))
+                reached = max(reached, depth + 1)
+            level = staged(_descend(large.select("path", "r").join(classes.select("r", "minima"), "r"), positions, threshold, None))
+    return reduce(DataFrame.unionByName, edges)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, shingle: int, max_bits: int = 1 << 27) -> DataFrame:

@@ -131,6 +131,29 @@ def test_jaccard_join_splits_and_tiles(spark):
     assert rows_of(out, "doc_id", "class_id", "n_links") == expected(brute_links(rows))
 
 
+def test_jaccard_join_runs_follow_the_depth():
+    def picks(runs):
+        return [[i for i, at in enumerate(jaccard_join.chosen(jaccard_join.mix(np.array([k], np.uint64)), 64, 0.8)) if len(at)] for k in runs]
+
+    sizes = []
+    for depth in (1, 2, 3, 4):
+        runs = jaccard_join.runs_for(depth, 64, 0.8, 0.999999)
+        assert all(picks(runs))  # none without work
+        assert jaccard_join.missed(np.bincount(np.concatenate(picks(runs)), minlength=64), depth, 0.8) <= 1e-6 + 1e-12
+        sizes.append(len(runs))
+    assert sizes == sorted(set(sizes))
+    top = picks(jaccard_join.runs_for(3, 64, 0.8, 0.99))
+    rng, lost = np.random.default_rng(5), 0
+    for _ in range(20_000):  # pairs with random minima, three levels
+        same = rng.random(64) < 0.8
+        n = sum(int(same[x].sum()) for x in top)
+        for _ in range(2):
+            n = rng.binomial(n * same.sum(), 1 / 51.2) if n else 0
+        lost += n == 0
+    want = jaccard_join.missed(np.bincount(np.concatenate(top), minlength=64), 3, 0.8)
+    assert abs(lost / 20_000 - want) < 5 * math.sqrt(want / 20_000)
+
+
 def test_one_of_each(docs, empty):
     kept = jaccard_join.one_of_each(docs)
     assert kept.columns == docs.columns
