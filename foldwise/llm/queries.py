@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import decontaminate, forest, jaccard_join, language, line_dedup, lm, mixing, secrets, substring_dedup, toxicity
+from foldwise.llm import chat, decontaminate, forest, jaccard_join, language, line_dedup, lm, merkle, mixing, repair, secrets, substring_dedup, toxicity
 from foldwise.llm.common import ship, table
 
 QUERIES: dict = {}
@@ -83,3 +83,21 @@ def op10(spark, sf_dir):
 def op1(spark, sf_dir):
     """Near-duplicate class and number of links of every document."""
     return jaccard_join.join(table(spark, sf_dir, "documents")).drop("key")
+
+
+@register("op11_merkle_manifest", merkle.REPORT_SQL)
+def op11(spark, sf_dir):
+    """Merkle proof of every document, checked after some texts were changed."""
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
+@register("op12_chat_formatting", chat.REPORT_SQL)
+def op12(spark, sf_dir):
+    """All conversations in the chat template, read back with their loss mask."""
+    return chat.report(table(spark, sf_dir, "conversations"))
+
+
+@register("op13_conversation_repair", repair.REPORT_SQL)
+def op13(spark, sf_dir):
+    """Cheapest structural repair of every conversation after damage."""
+    return repair.report(table(spark, sf_dir, "conversations"))
