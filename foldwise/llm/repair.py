@@ -160,6 +160,8 @@ class Grammar:
 
 def replace(s: np.ndarray, rules: list[tuple[int, int]], first: int) -> np.ndarray:
     """Sequences with the pairs of one round replaced by the symbols from ``first`` on; no symbol is the left of one rule and the right of another."""
+    if not rules:
+        return s
     s = s.copy()
     keep = np.ones(len(s), bool)
     code = {p: first + k for k, p in enumerate(rules)}
