@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foldwise.functions import arrays as A
 from foldwise.functions import columns as C
+from foldwise.operators import fold_scope as FS
 from foldwise.operators import encode as E
 from foldwise.operators import impute as I
 from foldwise.operators import profile as P
@@ -280,6 +281,18 @@ def q_n6(spark, sf):
     return _both(S.apply_center_scale(tr, p), S.apply_center_scale(ts, p), [r6(c, c) for c in NUM])
 
 
+@register("i1_n5_n6_fold_scope")
+def q_fold_scope(spark, sf):
+    """I1, N5, N6 fitted without the own fold: median fill, then standard scaling of two and robust scaling of two columns; test rows by the
+    fits of all training rows."""
+    tr, ts = _tt(spark, sf)
+    med = FS.fit_median(tr, ["c_acctbal", "li_qty", "li_disc"])
+    tr, ts = FS.apply_fill(tr, med), FS.apply_fill(ts, med, None)
+    std, rob = FS.fit_standard(tr, NUM[:2]), FS.fit_robust(tr, NUM[2:])
+    done = [FS.apply_center_scale(FS.apply_center_scale(x, std, k), rob, k) for x, k in ((tr, "fold"), (ts, None))]
+    return _both(*done, [r6(c, c) for c in NUM])
+
+
 @register("n7_pairwise_products")
 def q_n7(spark, sf):
     b = orders_base(spark, sf)

@@ -2,27 +2,35 @@
 
 from __future__ import annotations
 
-import math
+from dataclasses import replace
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foldwise.functions.columns import sigmoid
+from foldwise.operators import boost as BO
+from foldwise.operators import calibrate as CAL
+from foldwise.operators import extra_trees as ET
+from foldwise.operators import linear_svm as SVM
 from foldwise.operators import models as M
+from foldwise.operators import ridge as R
 from foldwise.operators import scale as SC
 from foldwise.operators.folds import kfold
-from foldwise.operators.metrics import accuracy, macro_f1
+from foldwise.operators.metrics import macro_f1
 from foldwise.operators.weights import with_weight_column
 from foldwise.plans import blend as B
+from foldwise.plans import param_search as PS
 from foldwise.plans import stack as K
 from foldwise.plans.registry import r6, register
-from foldwise.plans.zoo import NUM, priority_features, status_features
-from foldwise.session import cut_lineage
+from foldwise.plans.zoo import BIN_MODELS, NUM, priority_features, status_features, status_zoo
+from foldwise.session import cut_lineage, stage_spread
 
 TE3 = ["o_orderpriority_te", "c_mktsegment_te", "n_name_te"]
 B_FEATS = NUM + TE3
@@ -58,6 +66,7 @@ def _out(oof: DataFrame, tst: DataFrame) -> DataFrame:
 
 
 def _n(df):
+    """Rows that a fold model is fitted on."""
     return df.filter(F.col("fold") != 0).count()
 
 
@@ -105,41 +114,92 @@ def q_m5(spark, sf):
     return _out(*K.oof_predict(tr, ts, lambda: M.logistic(C=1.0 / (1e-4 * n), n=n), "sgd_log"))
 
 
+def rows_of(df: DataFrame) -> DataFrame:
+    """Model input as id, x array<double>, y int (absent in test rows), fold."""
+    cols = [F.col("id"), vector_to_array("features").alias("x")]
+    cols += [F.col("label").cast("int").alias("y")] if "label" in df.columns else []
+    return stage_spread(df.select(*cols, *[c for c in ("fold", "is_val") if c in df.columns]))
+
+
+def folds_of(df: DataFrame) -> list[int]:
+    return sorted(r[0] for r in df.select("fold").distinct().collect())
+
+
 @register("m6_ridge_classifier_oof")
 def q_m6(spark, sf):
-    tr, ts = binary_inputs(spark, sf)
-    return _out(*K.oof_predict(tr, ts, lambda: None, "ridge", kind="margin_sigmoid",
-                               fit=lambda _e, rows: K.fit_ridge_ovr(rows, 1.0, 2)))
+    """M6: ridge classifier of every fold from one Gram aggregation."""
+    tr, ts = (rows_of(x) for x in binary_inputs(spark, sf))
+    fit = R.fit(tr, 2, [1.0])
+    return _out(R.score(fit, tr, "oof", "ridge"), R.score(fit, ts, "test", "ridge"))
 
 
 @register("m7_ridge_alpha_selection")
 def q_m7(spark, sf):
-    """M7: ridge over an alpha table, the alpha with the best OOF accuracy wins (first on ties)."""
-    tr, _ = binary_inputs(spark, sf)
-    rows = []
-    for a in [0.1, 1.0, 10.0, 100.0]:
-        oof, _ = K.oof_predict(tr, None, lambda: None, f"ridge_{a}", kind="margin_sigmoid",
-                               fit=lambda _e, r, a=a: K.fit_ridge_ovr(r, a, 2))
-        s = oof.filter(F.col("class") == 1).join(tr.select("id", "label"), "id").withColumn("pred", (F.col("p") >= 0.5).cast("double"))
-        rows.append((a, accuracy(s, "pred", "label").collect()[0]["accuracy"]))
-    best = max(range(len(rows)), key=lambda i: (rows[i][1], -i))
-    return spark.createDataFrame([(a, float(acc), i == best) for i, (a, acc) in enumerate(rows)],
-                                 "alpha double, oof_accuracy double, chosen boolean")
+    """M7: the alpha with the best OOF accuracy wins (first on ties); all alphas are solved from one Gram aggregation and scored in one pass."""
+    tr = rows_of(binary_inputs(spark, sf)[0])
+    alphas = [0.1, 1.0, 10.0, 100.0]
+    fit = R.fit(tr, 2, [alphas[0]])
+    hits = R.oof_hits(fit, tr, alphas)
+    best = max(range(len(alphas)), key=lambda i: (hits[i], -i))
+    return spark.createDataFrame([(a, h, i == best) for i, (a, h) in enumerate(zip(alphas, hits, strict=True))], "alpha double, oof_accuracy double, chosen boolean")
+
+
+@register("m7_ridge_loo_alphas")
+def q_m7_loo(spark, sf, alphas=(0.1, 1.0, 10.0, 100.0, 1000.0)):
+    """M7: mean squared leave-one-out error of each alpha for the fit without each fold, and for the fit of all rows (fold -1) that is
+    used with its chosen alpha."""
+    fit = R.fit(rows_of(binary_inputs(spark, sf)[0]), 2, list(alphas))
+    rows = [(-1 if f is None else f, a, float(e), a == fit.alphas[f]) for f, errors in fit.errors.items() for a, e in zip(alphas, errors, strict=True)]
+    return spark.createDataFrame(rows, "fold int, alpha double, e double, chosen boolean").select("fold", "alpha", r6("e", "loo_mse"), "chosen")
+
+
+@register("k5_ridge_meta_oof")
+def q_k5_ridge(spark, sf, alphas=(0.1, 1.0, 3.0, 5.0)):
+    """K2 + K5: three naive Bayes bases -> OOF probabilities -> ridge meta model, its alpha by leave-one-out error within each fit."""
+    tr, _, oof, tst = status_zoo(spark, sf)
+    x = [F.max(F.when(F.col("model") == m, F.col("p"))) for m in BIN_MODELS]
+    wide = lambda df, *keys: df.filter("class = 1").groupBy(*keys).agg(F.array(*x).alias("x"))
+    rows = cut_lineage(wide(oof, "id", "fold").join(tr.select("id", F.col("y_bin").cast("int").alias("y")), "id"))
+    fit = R.fit(rows, 2, list(alphas))
+    return _out(R.score(fit, rows, "oof", "meta_ridge"), R.score(fit, wide(tst, "id"), "test", "meta_ridge"))
 
 
 @register("m8_linear_svc_oof")
 def q_m8(spark, sf):
-    tr, ts = binary_inputs(spark, sf)
-    n = _n(tr)
-    return _out(*K.oof_predict(tr, ts, lambda: M.linear_svc(C=1.0, n=n, max_iter=20), "svc", kind="margin_sigmoid"))
+    """M8: linear SVM with squared hinge loss, C = 1, all folds in one Newton descent to a relative gradient norm of 1e-8."""
+    tr, ts = (rows_of(x) for x in binary_inputs(spark, sf))
+    folds = folds_of(tr)
+    svm = SVM.fit(tr, 2, {f: {"fold": f} for f in folds})
+    return _out(SVM.score(svm, tr, "oof", "svc", folds), SVM.score(svm, ts, "test", "svc", folds))
+
+
+@register("m8_linear_svc_multiclass_oof")
+def q_m8_multi(spark, sf):
+    """M8: one-vs-rest linear SVMs of five classes, all classes and folds in one descent; soft-max of the margins."""
+    tr, ts = (rows_of(x) for x in multiclass_inputs(spark, sf))
+    folds = folds_of(tr)
+    svm = SVM.fit(tr, 5, {f: {"fold": f} for f in folds})
+    return _out(SVM.score(svm, tr, "oof", "svc_ovr", folds), SVM.score(svm, ts, "test", "svc_ovr", folds))
 
 
 @register("m9_platt_calibrated_svc_oof")
 def q_m9(spark, sf):
-    tr, ts = binary_inputs(spark, sf)
-    n = _n(tr)
-    return _out(*K.oof_predict(tr, ts, lambda: None, "svc_platt",
-                               fit=lambda _e, rows: K.fit_platt(lambda: M.linear_svc(C=1.0, n=n, max_iter=15), rows)))
+    """M9: sigmoid-calibrated linear SVM; per outer fold three inner folds stratified by label, all 15 SVMs and all 15 sigmoids at once."""
+    tr, ts = (rows_of(x) for x in binary_inputs(spark, sf))
+    return _out(*K.platt_svm_oof(tr, ts, "svc_platt"))
+
+
+@register("m9_sigmoid_calibration")
+def q_m9_sigmoid(spark, sf):
+    """M9 on stored margins: log odds of the naive Bayes OOF probabilities, calibrated per fold on the other folds' rows."""
+    tr, _, oof, _ = status_zoo(spark, sf)
+    p = F.least(F.greatest(F.col("p"), F.lit(1e-6)), F.lit(1 - 1e-6))
+    rows = cut_lineage(oof.filter("class = 1 AND model = 'nb_num'").select("id", "fold", F.log(p / (1 - p)).alias("margin")).join(tr.select("id", F.col("y_bin").cast("int").alias("y")), "id"))
+    folds = folds_of(rows)
+    others = rows.withColumn("g", F.explode(F.array(*[F.lit(f) for f in folds]))).filter("g <> fold")
+    pairs = CAL.fit(others, "g", "margin", "y")
+    at = lambda i: F.create_map(*[x for f, v in pairs.items() for x in (F.lit(f), F.lit(v[i]))])[F.col("fold")]
+    return rows.select("id", "fold", r6(sigmoid(F.col("margin") * at(0) + at(1), clip=700.0), "p"))
 
 
 @register("m12_random_forest_oof")
@@ -149,9 +209,12 @@ def q_m12(spark, sf):
 
 
 @register("m13_extra_trees_oof")
-def q_m13(spark, sf):
-    tr, ts = binary_inputs(spark, sf)
-    return _out(*K.oof_predict(tr, ts, lambda: M.random_forest(100, 12, bootstrap=False), "et"))
+def q_m13(spark, sf, n_trees=60, max_depth=14):
+    """Extremely randomised trees with drawn thresholds, balanced classes, all folds in one growth (the study grows 350 trees, the
+    default of ``extra_trees.Settings``; this query 60)."""
+    tr, ts = (rows_of(x) for x in binary_inputs(spark, sf))
+    forest = ET.fit(tr, folds_of(tr), 2, ET.Settings(n_trees=n_trees, max_depth=max_depth))
+    return _out(ET.score(forest, tr, "oof", "et"), ET.score(forest, ts, "test", "et"))
 
 
 @register("m14_mlp_oof")
@@ -169,18 +232,14 @@ def q_m15(spark, sf):
     gamma = 1.0 / (d * var)  # gamma = 'scale'
     tr2 = cut_lineage(K.random_fourier(tr, d, 100, gamma))
     ts2 = cut_lineage(K.random_fourier(ts, d, 100, gamma))
-    n = _n(tr2)
-    return _out(*K.oof_predict(tr2, ts2, lambda: None, "svc_rbf",
-                               fit=lambda _e, rows: K.fit_platt(lambda: M.linear_svc(C=1.2, n=n, max_iter=15), rows)))
+    return _out(*K.platt_svm_oof(rows_of(tr2), rows_of(ts2), "svc_rbf", C=1.2))
 
 
 @register("m16_poly3_svm_oof")
 def q_m16(spark, sf):
     tr, ts = binary_inputs(spark, sf)
     tr2, ts2 = cut_lineage(K.poly3(tr)), cut_lineage(K.poly3(ts))
-    n = _n(tr2)
-    return _out(*K.oof_predict(tr2, ts2, lambda: None, "svc_poly3",
-                               fit=lambda _e, rows: K.fit_platt(lambda: M.linear_svc(C=1.0, n=n, max_iter=15), rows)))
+    return _out(*K.platt_svm_oof(rows_of(tr2), rows_of(ts2), "svc_poly3"))
 
 
 @register("m17_gbt_binary_oof")
@@ -196,6 +255,29 @@ def q_m18(spark, sf):
                                kind="margin_softmax", k_classes=5))
 
 
+@register("m18_softmax_boosting")
+def q_m18_softmax(spark, sf, rounds=6):
+    """Joint soft-max boosting, the deep, medium and wide presets for all folds in one growth; ``rounds`` replaces the presets' 500 to
+    800 rounds (None: theirs)."""
+    tr, ts = (rows_of(x) for x in multiclass_inputs(spark, sf))
+    presets = [replace(p, rounds=rounds or p.rounds) for p in (BO.DEEP, BO.MEDIUM, BO.WIDE)]
+    b = BO.fit(tr, folds_of(tr), 5, presets)
+    parts = [_out(BO.score(b, tr, "oof", i), BO.score(b, ts, "test", i)) for i in range(len(presets))]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("m19_boosting_patience")
+def q_m19_patience(spark, sf, rounds=40, learning_rate=0.3, patience=6):
+    """Loss curves of boosting on a hash hold-out of a tenth of the rows, and the round at which patience cuts each fold's ensemble
+    (the preset ``PATIENT`` has the study's 5,000 rounds at rate 0.01 with patience 200; the arguments replace these)."""
+    tr, _ = binary_inputs(spark, sf)
+    tr = rows_of(tr.withColumn("is_val", F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(10)) == 0))
+    p = replace(BO.PATIENT, rounds=rounds, learning_rate=learning_rate, patience=patience)
+    b = BO.fit(tr, folds_of(tr), 2, [p], validation="is_val")
+    rows = spark.createDataFrame(BO.curve_rows(b), "model string, fold int, round int, train double, val double, chosen boolean")
+    return rows.select("model", "fold", "round", r6("train", "train_loss"), r6("val", "validation_loss"), "chosen")
+
+
 @register("m19_gbt_early_stopping")
 def q_m19(spark, sf):
     """Boosting stops when the validation error (10 % of the fitting rows, by hash) stalls."""
@@ -226,8 +308,8 @@ def q_m21(spark, sf):
 @register("m23_k4_refit_test")
 def q_m23(spark, sf):
     tr, ts = binary_inputs(spark, sf)
-    n = _n(tr)
-    return _out(*K.oof_predict(tr, ts, lambda: M.logistic(C=1.0, n=n), "logreg_refit", test_mode="refit"))
+    n, whole = _n(tr), tr.count()
+    return _out(*K.oof_predict(tr, ts, lambda: M.logistic(C=1.0, n=n), "logreg_refit", test_mode="refit", refit=lambda: M.logistic(C=1.0, n=whole)))
 
 
 @register("e14_native_categorical_trees")
@@ -249,8 +331,6 @@ def multiclass_stack(spark, sf, meta_l1: float = 0.5):
     """K2 + K5: base models (multinomial logistic, random forest, Gaussian naive Bayes) -> OOF long
     table -> fixed-order meta vector -> elastic-net logistic meta model.
     Returns (base oof, base test, meta oof, meta test, labels)."""
-    from functools import reduce
-
     from foldwise.operators.bayes import naive_bayes_oof
     tr_raw, ts_raw = priority_features(spark, sf)
     tr_raw, ts_raw = _scaled(tr_raw, ts_raw, NUM)
@@ -304,26 +384,27 @@ def q_k5(spark, sf):
         .select("model", r6("oof_macro_f1", "oof_macro_f1"), r6("meta_train_f1", "meta_train_f1"))
 
 
+def _search(spark, sf, trials: int, max_rounds: int | None):
+    """Hold-out rows, test rows and the ranked trials of both boosters on the multiclass table."""
+    tr, ts = (rows_of(x) for x in multiclass_inputs(spark, sf))
+    held = cut_lineage(PS.holdout(tr.drop("fold")))
+    return held, ts, PS.search_two_boosters(held, 5, trials, max_rounds)
+
+
 @register("k18_random_parameter_search")
-def q_k18(spark, sf):
-    """Random-sampled parameter sets (seeded) for boosted trees, scored on a hold-out by macro F1
-    with TrainValidationSplit (parallel fits); the trial table is ranked."""
-    tr, _ = multiclass_inputs(spark, sf)
-    tr2, _ = binary_inputs(spark, sf)
-    rng = np.random.default_rng(42)
-    g = M.gbt()
-    trials = []
-    for _ in range(6):
-        trials.append({g.maxDepth: int(rng.integers(2, 7)), g.stepSize: float(rng.uniform(0.03, 0.3)),
-                       g.maxIter: int(rng.integers(5, 25)), g.subsamplingRate: float(rng.uniform(0.6, 1.0))})
-    tvs = TrainValidationSplit(estimator=g, estimatorParamMaps=trials, trainRatio=0.8, parallelism=3, seed=42,
-                               evaluator=MulticlassClassificationEvaluator(metricName="f1"))
-    m = tvs.fit(tr2)
-    rows = [(i, t[g.maxDepth], t[g.stepSize], t[g.maxIter], t[g.subsamplingRate], float(s))
-            for i, (t, s) in enumerate(zip(trials, m.validationMetrics))]
-    df = spark.createDataFrame(rows, "trial long, max_depth long, step double, rounds long, subsample double, score double")
-    from foldwise.operators.rank import rank_runs
-    return rank_runs(df, "score", ["trial"])
+def q_k18(spark, sf, trials=6, max_rounds=4):
+    """K18 + U3: seeded random parameter sets for two boosters, scored by macro F1 on a stratified hold-out (W7) of the multiclass table,
+    ranked per booster (the study draws 100 sets each of 200 to 900 rounds, the defaults of ``param_search``; the arguments cut both)."""
+    _, _, found = _search(spark, sf, trials, max_rounds)
+    rows = [(name, rank, trial, str(sorted(p.items())), score) for name, ranked in found.items() for rank, trial, score, p in ranked]
+    return spark.createDataFrame(rows, "learner string, rank int, trial int, params string, s double").select("learner", "rank", "trial", "params", r6("s", "macro_f1"))
+
+
+@register("k18_refit_soft_vote")
+def q_k18_vote(spark, sf, trials=4, max_rounds=4):
+    """K18 + M20: both winners refitted on all training rows, mean of their probabilities for the test rows."""
+    held, ts, found = _search(spark, sf, trials, max_rounds)
+    return PS.refit_soft_vote(held, ts, 5, found, max_rounds).select("id", "class", r6("p", "p"))
 
 
 @register("n10_gaussian_jitter")

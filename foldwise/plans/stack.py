@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from foldwise.functions.arrays import lit_array, softmax
 from foldwise.functions.columns import sigmoid
-from foldwise.operators import models as M
-from foldwise.operators.folds import kfold
+from foldwise.operators import calibrate, linear_svm
+from foldwise.operators.folds import stratified_kfold
 from foldwise.session import cut_lineage
 
 
@@ -55,8 +55,8 @@ def proba(pred: DataFrame, kind: str, k: int) -> DataFrame:
 
 
 def oof_predict(train_in: DataFrame, test_in: DataFrame | None, make, model: str, kind: str = "probability",
-                k_classes: int = 2, test_mode: str = "fold_mean", fit=None, parallelism: int = 5):
-    """K1-K4: fit ``make()`` on all folds but f, predict fold f and the test rows.
+                k_classes: int = 2, test_mode: str = "fold_mean", fit=None, parallelism: int = 5, refit=None):
+    """K1-K4: fit ``make()`` on all folds but f, predict fold f and the test rows; ``refit()`` makes the estimator for all rows (K4).
 
     ``fit(estimator, rows)`` may replace ``estimator.fit`` (for composite learners)."""
     fit = fit or (lambda est, rows: est.fit(rows))
@@ -74,7 +74,7 @@ def oof_predict(train_in: DataFrame, test_in: DataFrame | None, make, model: str
     tst = None
     if test_in is not None:
         if test_mode == "refit":
-            m = fit(make(), train_in)
+            m = fit((refit or make)(), train_in)
             tst = proba(m.transform(test_in), kind, k_classes)
         else:
             tst = reduce(DataFrame.unionByName, tests).groupBy("id", "class").agg(F.avg("p").alias("p"))
@@ -84,59 +84,32 @@ def oof_predict(train_in: DataFrame, test_in: DataFrame | None, make, model: str
 
 # ---- composite learners ---------------------------------------------------------------------
 
-class _Fitted:
-    def __init__(self, fn):
-        self.transform = fn
-
-
-def fit_platt(make_margin_model, rows: DataFrame, inner_k: int = 3, seed: int = 7) -> _Fitted:
-    """M9: sigmoid calibration with an inner k-fold: per inner fold a margin model is fitted on
-    the other inner folds, a one-feature logistic maps its held-out margins to probabilities;
-    the prediction is the mean of the inner calibrated models (CalibratedClassifierCV, cv=3).
-    Scoring chains the fitted models over one DataFrame (distinct column names, no joins)."""
-    inner = cut_lineage(kfold(rows, "id", inner_k, seed, "_if"))
-    pairs = []
-    for f in range(inner_k):
-        svm = make_margin_model().fit(inner.filter(F.col("_if") != f).drop("_if"))
-        held = svm.transform(inner.filter(F.col("_if") == f).drop("_if"))
-        cal_in = held.select(array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("features"), "label")
-        cal = M.LogisticRegression(regParam=1e-6, maxIter=50, featuresCol="features", labelCol="label").fit(cal_in)
-        pairs.append((svm, cal))
-
-    def transform(df: DataFrame) -> DataFrame:
-        keep = [c for c in ("id", "fold") if c in df.columns]
-        out = df
-        for i, (svm, cal) in enumerate(pairs):
-            svm.setRawPredictionCol(f"_raw{i}").setPredictionCol(f"_pred{i}")
-            out = svm.transform(out).withColumn(f"_mf{i}", array_to_vector(F.array(vector_to_array(f"_raw{i}")[1])))
-            cal.setFeaturesCol(f"_mf{i}").setProbabilityCol(f"_prob{i}").setRawPredictionCol(f"_craw{i}").setPredictionCol(f"_cpred{i}")
-            out = cal.transform(out)
-        p1 = sum(vector_to_array(f"_prob{i}")[1] for i in range(len(pairs))) / float(len(pairs))
-        return out.select(*keep, array_to_vector(F.array(1 - p1, p1)).alias("probability"))
-    return _Fitted(transform)
-
-
-def fit_ridge_ovr(rows: DataFrame, alpha: float, k: int) -> _Fitted:
-    """M6: ridge classifier -- one least-squares fit per class on +-1 targets, margins = predictions."""
-    n = rows.count()
-    fits = []
-    for c in range(k if k > 2 else 1):
-        cls = c if k > 2 else 1
-        r = rows.withColumn("label_pm", F.when(F.col("label") == cls, 1.0).otherwise(-1.0))
-        sd = r.agg(F.stddev_pop("label_pm")).collect()[0][0] or 1.0
-        fits.append(M.ridge_regressor(alpha, n, sd).fit(r))
-
-    def transform(df: DataFrame) -> DataFrame:
-        keep = [c for c in ("id", "fold") if c in df.columns]
-        out = df
-        for i, f in enumerate(fits):
-            out = f.setPredictionCol(f"_m{i}").transform(out)
-        if k > 2:
-            raw = F.array(*[F.col(f"_m{i}") for i in range(k)])
-        else:
-            raw = F.array(-F.col("_m0"), F.col("_m0"))
-        return out.select(*keep, array_to_vector(raw).alias("rawPrediction"))
-    return _Fitted(transform)
+def platt_svm_oof(train: DataFrame, test: DataFrame | None, model: str, C: float = 1.0, inner_k: int = 3, seed: int = 7):
+    """M9: sigmoid-calibrated linear SVM (CalibratedClassifierCV, cv=3) for all outer folds at once; rows: id, x, y, fold (test: id, x).
+
+    The inner folds are stratified by (label, outer fold), so every outer fold's training rows are split evenly by label.  One SVM is fitted
+    for each (outer, inner) pair on the rows of neither, all in the same passes; one sigmoid for each on the rows of the inner
+    fold, all in the same aggregations.  A probability is the mean over the inner models of the row's outer fold."""
+    rows = train.withColumn("_s", F.concat_ws(":", "y", "fold"))
+    rows = cut_lineage(stratified_kfold(rows, "id", "_s", inner_k, seed, "inner").drop("_s"))
+    outer = sorted(r[0] for r in rows.select("fold").distinct().collect())
+    names = [(f, g) for f in outer for g in range(inner_k)]
+    svm = linear_svm.fit(rows, 2, {n: {"fold": n[0], "inner": n[1]} for n in names}, C)
+    scored = cut_lineage(linear_svm.margins(svm, rows.select("id", "x", "y", "fold", "inner"), names).drop("x"))
+    # a row calibrates the pairs of its own inner fold and the other outer folds
+    pairs = F.array(*[F.struct(F.lit(i).alias("pair"), F.lit(f).alias("f"), F.lit(g).alias("g")) for i, (f, g) in enumerate(names)])
+    held = scored.select("y", "fold", "inner", "margins", F.explode(pairs).alias("p")).filter("p.f <> fold AND p.g = inner") \
+        .select(F.col("p.pair").alias("pair"), F.element_at("margins", F.col("p.pair") + 1).alias("m"), "y")
+    fitted = calibrate.fit(held, "pair", "m", "y")
+    p1 = [calibrate.apply(F.col("margins")[i], fitted[i]) for i in range(len(names))]
+    mean = lambda keep: sum((p1[i] for i, n in enumerate(names) if keep(n)), F.lit(0.0)) / F.lit(float(sum(map(keep, names))))
+    own = F.coalesce(*[F.when(F.col("fold") == f, mean(lambda n, f=f: n[0] == f)) for f in outer])
+    long = lambda df, p, *keys: df.select(*keys, F.lit(model).alias("model"), F.posexplode(F.array(1 - p, p)).alias("class", "p"))
+    oof = long(scored, own, "id", "fold").select("id", "model", "fold", F.col("class").cast("int").alias("class"), "p")
+    if test is None:
+        return oof, None
+    tst = long(linear_svm.margins(svm, test.select("id", "x"), names), mean(lambda n: True), "id").select("id", "model", F.col("class").cast("int").alias("class"), "p")
+    return oof, tst
 
 
 def random_fourier(df: DataFrame, d_in: int, n_components: int, gamma: float, seed: int = 42) -> DataFrame:

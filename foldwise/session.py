@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +65,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
+def stage(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
+    """The rows written as parquet to the shared checkpoint folder and read again; a stage that it ``replaces`` is deleted then."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    if replaces is not None:
+        discard(replaces)
+    return out
+
+
+def stage_spread(df: DataFrame) -> DataFrame:
+    """A stage that many passes will read: a small table is dealt over as many files as there are cores."""
+    out, n = stage(df), df.sparkSession.sparkContext.defaultParallelism
+    return stage(out.repartition(n), replaces=out) if out.rdd.getNumPartitions() < n else out
+
+
+def discard(staged: DataFrame) -> None:
+    """Deletes the files of a stage whose rows are no longer needed."""
+    spark, path = staged.sparkSession, staged.__dict__.get("_stage_path")
+    if path:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def join_dim(big: DataFrame, dim: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_MAX_ROWS,
              dim_rows: int | None = None) -> DataFrame:
     """Join a fitted dimension table; broadcast it only when its row count is checked to be small.

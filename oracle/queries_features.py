@@ -284,6 +284,24 @@ ts_o AS (SELECT t.id, {sc} FROM ts t CROSS JOIN par p)
 """ + both(", ".join(f"ROUND({c}, 6) AS {c}" for c in NUM))
 
 
+def fold_scope():
+    fill, std, rob = ["c_acctbal", "li_qty", "li_disc"], NUM[:2], NUM[2:]
+    meds = ", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in fill)
+    rep = ", ".join(f"COALESCE(t.{c}, m.{c}) AS {c}" for c in fill)
+    stats = ", ".join([f"AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}" for c in std]
+                      + [f"quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS s_{c}" for c in rob])
+    sc = ", ".join(f"(t.{c} - p.m_{c}) / CASE WHEN p.s_{c} = 0 THEN 1 ELSE p.s_{c} END AS {c}" for c in NUM)
+    return tt() + f""",
+ff AS (SELECT DISTINCT fold AS f FROM tr UNION ALL SELECT -1),
+med AS (SELECT f, {meds} FROM tr JOIN ff ON f <> fold GROUP BY f),
+tr2 AS (SELECT t.* REPLACE ({rep}) FROM tr t JOIN med m ON m.f = t.fold),
+ts2 AS (SELECT t.* REPLACE ({rep}) FROM ts t JOIN med m ON m.f = -1),
+par AS (SELECT f, {stats} FROM tr2 JOIN ff ON f <> fold GROUP BY f),
+tr_o AS (SELECT t.id, {sc} FROM tr2 t JOIN par p ON p.f = t.fold),
+ts_o AS (SELECT t.id, {sc} FROM ts2 t JOIN par p ON p.f = -1)
+""" + both(", ".join(f"ROUND({c}, 6) AS {c}" for c in NUM))
+
+
 def n7():
     cols = ["o_totalprice", "li_qty", "li_disc", "li_lines"]
     pairs = [(cols[i], cols[j]) for i in range(4) for j in range(i + 1, 4)]
@@ -322,7 +340,7 @@ ORACLE = {
     "e6_ordinal_unseen_minus1": e6, "e7_one_hot_unseen_zero": e7, "e8_one_hot_fit_on_union": e8,
     "e9_dummies_with_nan_column": e9, "e10_one_hot_numeric_codes": e10, "e11_top4_cardinality_crosses": e11,
     "e12_all_pair_crosses": e12, "e13_fixed_crosses_ordinal": e13, "e15_cardinality_router": e15,
-    "n1_n4_n11_column_transforms": n1, "n5_standard_scaling": n5, "n6_robust_scaling": n6, "n7_pairwise_products": n7,
+    "n1_n4_n11_column_transforms": n1, "n5_standard_scaling": n5, "n6_robust_scaling": n6, "n7_pairwise_products": n7, "i1_n5_n6_fold_scope": fold_scope,
     "n12_n14_row_softmax_argmax_boost": n12, "n15_n16_label_map_and_text": n15,
 }
 

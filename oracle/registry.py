@@ -5,6 +5,7 @@ from oracle import queries_features as QF
 from oracle import queries_target as QT
 from oracle import queries_ensemble as QE
 from oracle import queries_knn as QK
+from oracle import queries_models as QM
 
 
 def round6_rewrite(sql: str) -> str:
@@ -45,5 +46,6 @@ _RAW.update(QF.ORACLE)
 _RAW.update(QT.ORACLE)
 _RAW.update(QE.ORACLE)
 _RAW.update(QK.ORACLE)
+_RAW.update(QM.ORACLE)
 
 ORACLE = {k: (lambda f=f: round6_rewrite(f())) for k, f in _RAW.items()}
