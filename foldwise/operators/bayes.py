@@ -25,25 +25,26 @@ from pyspark.sql import functions as F
 def _moments(train: DataFrame, feats: list[str], y: str, fold_col: str):
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(feats):
-        aggs += [F.avg(c).alias(f"m{i}"), F.var_pop(c).alias(f"v{i}")]
+        aggs += [F.count(c).alias(f"k{i}"), F.avg(c).alias(f"m{i}"), F.var_pop(c).alias(f"v{i}")]
     rows = train.groupBy(F.col(fold_col).alias("fold"), F.col(y).cast("long").alias("cls")).agg(*aggs).collect()
     return rows
 
 
 def _merge(cells):
-    """Merge (n, mean[d], var[d]) cells into one (n, mean, var) with the parallel rule."""
-    n = sum(c[0] for c in cells)
-    mean = sum(c[0] * c[1] for c in cells) / n
-    m2 = sum(c[0] * c[2] + c[0] * (c[1] - mean) ** 2 for c in cells)
-    return n, mean, m2 / n
+    """Merge (rows, count[d], mean[d], var[d]) cells into one (rows, mean, var) with the parallel rule; counts leave nulls out, a feature
+    without a value has mean and variance 0."""
+    k = np.maximum(sum(c[1] for c in cells), 1)
+    mean = sum(c[1] * c[2] for c in cells) / k
+    m2 = sum(c[1] * c[3] + c[1] * (c[2] - mean) ** 2 for c in cells)
+    return sum(c[0] for c in cells), mean, m2 / k
 
 
 class NaiveBayesFit:
     def __init__(self, rows, d: int, var_smoothing: float = 1e-9):
         self.folds = sorted({r["fold"] for r in rows})
         self.classes = sorted({r["cls"] for r in rows})
-        cells = {(r["fold"], r["cls"]): (r["n"], np.array([r[f"m{i}"] for i in range(d)], dtype=float),
-                                          np.array([r[f"v{i}"] for i in range(d)], dtype=float)) for r in rows}
+        column = lambda r, x: np.array([r[f"{x}{i}"] or 0.0 for i in range(d)], dtype=float)
+        cells = {(r["fold"], r["cls"]): (r["n"], column(r, "k"), column(r, "m"), column(r, "v")) for r in rows}
         self.params = {}
         for f in self.folds + [None]:  # None = all folds (full refit)
             keep = {key: v for key, v in cells.items() if key[0] != f}
@@ -62,7 +63,7 @@ class NaiveBayesFit:
                 v_c = v_c + eps
                 mu.append(m_c.tolist())
                 var.append(v_c.tolist())
-                c0.append(math.log(n_c / n_tot) - 0.5 * float(np.sum(np.log(2.0 * math.pi * v_c))))
+                c0.append(math.log(n_c / n_tot))
             self.params[f] = (mu, var, c0)
 
     # Scoring is Arrow-batched numpy inside the tasks (``mapInPandas``): the fitted numbers
@@ -70,7 +71,12 @@ class NaiveBayesFit:
     # (An unrolled column expression of k x K x d terms outgrows the 64 KB generated-method limit.)
     def _probs(self, X, f):
         mu, var, c0 = (np.asarray(a, dtype=float) for a in self.params[f])
-        jll = c0[None, :] - 0.5 * (((X[:, None, :] - mu[None, :, :]) ** 2) / var[None, :, :]).sum(axis=2)
+        # a missing value has no part in the likelihood, nor one of a feature that is constant in all rows
+        known = np.where(np.isnan(X), 0.0, 1.0)
+        scale = np.where(var > 0, var, 1.0)
+        norm = np.where(var > 0, np.log(2.0 * math.pi * scale), 0.0)
+        far = (np.nan_to_num(X)[:, None, :] - mu[None, :, :]) ** 2 / scale[None, :, :] * (var > 0)[None, :, :]
+        jll = c0[None, :] - 0.5 * ((far + norm[None, :, :]) * known[:, None, :]).sum(axis=2)
         e = np.exp(jll - jll.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 

@@ -40,10 +40,6 @@ class LookupEncoder:
         return out
 
 
-def _dims(df: DataFrame, cols: list[str], make) -> dict:
-    return {c: cut_lineage(make(c).select(F.col("value").cast("string").alias("value"), F.col("out"))) for c in cols}
-
-
 def _long(df: DataFrame, cols: list[str], dropna: bool = True) -> DataFrame:
     """All listed columns stacked as (col, value) text rows -- one scan serves every column."""
     pairs = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")) for c in cols])
@@ -149,17 +145,6 @@ def sparse_one_hot(train: DataFrame, dfs: list[DataFrame], cols: list[str], suff
     return [enc.apply(d) for d in dfs], {c: d.count() for c, d in dims.items()}
 
 
-def ml_one_hot(train: DataFrame, cols: list[str]):
-    """E7 as a ``pyspark.ml`` pipeline: StringIndexer(keep, alphabetAsc) + OneHotEncoder(dropLast=True);
-    the dropped slot is the unknown one, so unseen values give an all-zero sparse vector."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
-    idx = StringIndexer(inputCols=cols, outputCols=[c + "_idx" for c in cols], handleInvalid="keep",
-                        stringOrderType="alphabetAsc")
-    ohe = OneHotEncoder(inputCols=[c + "_idx" for c in cols], outputCols=[c + "_ohe" for c in cols], dropLast=True)
-    return Pipeline(stages=[idx, ohe]).fit(train)
-
-
 # ---- crosses -------------------------------------------------------------------------------
 
 def _text(c) -> Column:
@@ -215,11 +200,3 @@ def route_by_cardinality(train: DataFrame, cols: list[str], low_max: int = 6, mi
         k = n.get(c, 0)
         plan[c] = "onehot" if k <= low_max else ("target" if k <= mid_max else "frequency")
     return plan
-
-
-def native_categorical(train: DataFrame, cols: list[str]):
-    """StringIndexer columns carrying nominal metadata, which tree learners honour
-    (set ``maxBins`` >= the largest cardinality)."""
-    from pyspark.ml.feature import StringIndexer
-    return StringIndexer(inputCols=cols, outputCols=[c + "_cat" for c in cols], handleInvalid="keep",
-                         stringOrderType="alphabetAsc").fit(train)

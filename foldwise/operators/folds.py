@@ -102,16 +102,6 @@ def stratified_sample_split(df: DataFrame, id_col: str, label: str, frac: float
     return stratified_holdout(s.drop("_in_sample"), id_col, label, test_frac, f"{seed}s", "split", prefix)
 
 
-def approx_stratified_sample(df: DataFrame, label: str, frac: float, labels: list, seed: int = 7) -> DataFrame:
-    """W8, approximate form: Bernoulli sample per class with ``sampleBy`` (no exact sizes)."""
-    return df.sampleBy(label, {v: frac for v in labels}, seed)
-
-
-def with_folds(train: DataFrame, folds: DataFrame, id_col: str, fold_col: str = "fold") -> DataFrame:
-    """Attach a stored fold table (id, fold) so encoders and models share one split."""
-    return train.join(folds.select(id_col, fold_col), id_col)
-
-
 def union_train_test(train: DataFrame, test: DataFrame) -> DataFrame:
     """Union by column name; columns missing on one side (the label) become null."""
     return train.unionByName(test, allowMissingColumns=True)

@@ -1,9 +1,9 @@
 """Exact k-nearest-neighbour scoring without an all-pairs join.
 
-1. P pivots (P ~ sqrt(n): a literal that grows with the root of the table) are the first reference
-   points in hash order; every reference point joins the cell of its nearest pivot.
+1. P pivots (P ~ sqrt(n): a broadcast that grows with the root of the table) are the first reference
+   points in hash order; distances to them are taken in blocks of bounded size; every reference point joins the cell of its nearest pivot.
    Per cell and fold: point count, and per cell the radius (max distance to the pivot).
-2. For each query (one row per query and excluded fold) a vectorised pandas step
+2. For each query (with the folds it leaves out, one at a time) a vectorised pandas step
    computes its pivot distances and an upper bound U on its k-th neighbour distance:
    the nearest cells holding >= k usable points, U = max(d(q, pivot) + radius) over them
    (triangle inequality).  Candidate cells are those with d(q, pivot) - radius <= U.
@@ -21,11 +21,12 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldwise.functions.arrays import lit_array
-from foldwise.session import cut_lineage, join_dim
+from foldwise.session import cut_lineage, stage
 
 
 def _dist(x: Column, y: Column) -> Column:
@@ -36,21 +37,39 @@ def _round9(c: Column) -> Column:
     return F.floor(c * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)
 
 
+def pivot_distances(X: np.ndarray, pivots: np.ndarray, cells: int = 1 << 20):
+    """(first row, distances [rows, pivots]) block by block: a block has ``cells`` numbers however many pivots there are."""
+    step = max(1, cells // len(pivots))
+    for a in range(0, len(X), step):
+        d2 = np.zeros((len(X[a : a + step]), len(pivots)))
+        for j in range(pivots.shape[1]):
+            d2 += (X[a : a + step, j, None] - pivots[None, :, j]) ** 2
+        yield a, np.sqrt(d2)
+
+
+def _stack(column) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(float)
+
+
 def knn_neighbours(ref: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """ref: (tid, fold, label, x); queries: (part, qid, excl_fold, x).  Returns (part, qid, excl_fold, tid, label, d)
-    for the k nearest reference points with ``fold != excl_fold``; ``part`` tells train from test ids, which may be equal."""
+    """ref: (tid, fold, label, x); queries: (part, qid, excl array<int>, x), ``excl`` the folds that are left out one at a time.  Returns
+    (part, qid, excl_fold, tid, label, d) for the k nearest reference points with ``fold != excl_fold``; ``part`` tells train from
+    test ids, which may be equal.  A query with several left-out folds is compared once: the k nearest of every fold answer all."""
     n = ref.count()
     P = max(1, int(math.sqrt(n)))
-    piv = [r["x"] for r in ref.orderBy(F.md5(F.col("tid").cast("string")), "tid").limit(P).select("x").collect()]
-    P = len(piv)
-    pv = lit_array(piv)
-    dists = F.transform(F.sequence(F.lit(0), F.lit(P - 1)), lambda c: _dist(F.col("x"), pv[c]))
-    ref_c = ref.withColumn("_d", dists).select(
-        "tid", "fold", "label", "x",
-        (F.array_position(F.col("_d"), F.array_min("_d")) - 1).cast("int").alias("cell"),
-        F.array_min("_d").alias("dcell"))
-    ref_c = cut_lineage(ref_c)
-    stats = ref_c.groupBy("cell", "fold").agg(F.count(F.lit(1)).alias("n"), F.max("dcell").alias("r")).collect()
+    pivots = np.array([r["x"] for r in ref.orderBy(F.md5(F.col("tid").cast("string")), "tid").limit(P).select("x").collect()], dtype=float)
+    shared = ref.sparkSession.sparkContext.broadcast(pivots)
+
+    def nearest(batches):
+        for pdf in batches:
+            if len(pdf):
+                parts = [(d.argmin(axis=1), d.min(axis=1)) for _, d in pivot_distances(_stack(pdf["x"]), shared.value)]
+                yield pdf.assign(cell=np.concatenate([c for c, _ in parts]).astype(np.int32), dcell=np.concatenate([d for _, d in parts]))
+
+    label = ref.schema["label"].dataType.simpleString()
+    ref_c = stage(ref.select("tid", "fold", "label", "x").mapInPandas(nearest, f"tid long, fold int, label {label}, x array<double>, cell int, dcell double"))
+    P = len(pivots)
+    stats = ref_c.groupBy("cell", "fold").agg(F.count(F.lit(1)).alias("n"), F.max("dcell").alias("r")).collect()  # cells x folds rows
     folds = sorted({r["fold"] for r in stats})
     cnt = np.zeros((P, len(folds)), dtype=np.int64)
     rad = np.zeros(P)
@@ -58,42 +77,92 @@ def knn_neighbours(ref: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         cnt[r["cell"], folds.index(r["fold"])] = r["n"]
         rad[r["cell"]] = max(rad[r["cell"]], r["r"])
     tot = cnt.sum(axis=1)
-    pivots = np.array(piv, dtype=float)
     fold_pos = {f: i for i, f in enumerate(folds)}
 
     def bounds(batches):
         for pdf in batches:
-            X = np.stack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, pivots.shape[1]))
-            dq = np.sqrt(((X[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2))
+            if not len(pdf):
+                continue
             cands, ub = [], []
-            for i in range(len(pdf)):
-                e = pdf["excl_fold"].iat[i]
-                avail = tot - (cnt[:, fold_pos[e]] if e in fold_pos else 0)
-                order = np.argsort(dq[i], kind="stable")
-                cum = np.cumsum(avail[order])
-                if cum[-1] < k:
-                    u = np.inf
-                else:
-                    m = int(np.searchsorted(cum, k))
-                    u = float(np.max(dq[i, order[: m + 1]] + rad[order[: m + 1]]))
-                    u = u * (1 + 1e-9) + 1e-12
-                ok = (dq[i] - rad <= u) & (avail > 0)
-                cands.append(np.nonzero(ok)[0].astype(np.int32))
-                ub.append(u)
-            yield pd.DataFrame({"part": pdf["part"].to_numpy(), "qid": pdf["qid"].to_numpy(), "excl_fold": pdf["excl_fold"].to_numpy(),
-                                "u": np.array(ub, dtype=float), "cells": cands, "qx": pdf["x"]})
+            for a, dq in pivot_distances(_stack(pdf["x"]), shared.value):
+                for i in range(len(dq)):
+                    order = np.argsort(dq[i], kind="stable")
+                    far = np.maximum.accumulate(dq[i, order] + rad[order])
+                    u = 0.0
+                    for e in pdf["excl"].iat[a + i]:
+                        cum = np.cumsum((tot - (cnt[:, fold_pos[e]] if e in fold_pos else 0))[order])
+                        u = max(u, np.inf if cum[-1] < k else far[np.searchsorted(cum, k)] * (1 + 1e-9) + 1e-12)
+                    cands.append(np.nonzero(dq[i] - rad <= u * (1 + 1e-9) + 1e-12)[0].astype(np.int32))
+                    ub.append(u)
+            yield pd.DataFrame({"part": pdf["part"].to_numpy(), "qid": pdf["qid"].to_numpy(), "excl": pdf["excl"], "u": np.array(ub, dtype=float), "cells": cands, "qx": pdf["x"]})
 
     # the query vector travels with its bound, so the candidate pairs need one equi-join only
-    qb = queries.select("part", "qid", "excl_fold", "x").mapInPandas(
-        bounds, "part string, qid long, excl_fold int, u double, cells array<int>, qx array<double>")
-    qc = qb.select("part", "qid", "excl_fold", "u", "qx", F.explode("cells").alias("cell"))
+    qb = queries.select("part", "qid", "excl", "x").mapInPandas(bounds, "part string, qid long, excl array<int>, u double, cells array<int>, qx array<double>")
+    qc = qb.select("part", "qid", "excl", "u", "qx", F.explode("cells").alias("cell"))
     pairs = (qc.join(ref_c.select("cell", "tid", "fold", "label", "x"), "cell")
-             .filter(F.col("fold") != F.col("excl_fold"))
+             .filter((F.size("excl") > 1) | (F.col("fold") != F.col("excl")[0]))
              .withColumn("d", _dist(F.col("qx"), F.col("x")))
              .filter(F.col("d") <= F.col("u")))
-    w = Window.partitionBy("part", "qid", "excl_fold").orderBy(_round9(F.col("d")), "tid")
-    return (pairs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
-            .select("part", "qid", "excl_fold", "tid", "label", "d"))
+    near = [_round9(F.col("d")), F.col("tid")]
+    each = Window.partitionBy("part", "qid", "fold").orderBy(*near)
+    best = pairs.withColumn("_rn", F.row_number().over(each)).filter(F.col("_rn") <= k).select("part", "qid", "fold", "tid", "label", "d", F.explode("excl").alias("excl_fold")).filter("fold <> excl_fold")
+    whole = Window.partitionBy("part", "qid", "excl_fold").orderBy(*near)
+    return best.withColumn("_rn", F.row_number().over(whole)).filter(F.col("_rn") <= k).select("part", "qid", "excl_fold", "tid", "label", "d")
+
+
+# ---- approximate form ----------------------------------------------------------------------------
+
+def exact_sample(ref: DataFrame, queries: DataFrame, k: int, sample: int = 64) -> DataFrame:
+    """(qid, tid) of the k nearest reference points of ``sample`` queries chosen by hash: a stated query set against all rows."""
+    few = queries.select("qid", "x").orderBy(F.xxhash64("qid"), "qid").limit(sample).collect()
+    ids, q = [r["qid"] for r in few], np.array([r["x"] for r in few], float)
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                tid = pdf["tid"].to_numpy()
+                for a, d in pivot_distances(_stack(pdf["x"]), q):
+                    i, j = np.indices(d.shape)
+                    here = tid[a : a + len(d)]
+                    ok = here[i] != np.array(ids)[j]
+                    keep = ok & (np.argsort(np.argsort(np.where(ok, d, np.inf), axis=0, kind="stable"), axis=0, kind="stable") < k)
+                    yield pd.DataFrame({"qid": np.array(ids)[j[keep]], "tid": here[i[keep]], "d": d[keep]})
+
+    w = Window.partitionBy("qid").orderBy(_round9(F.col("d")), "tid")
+    return ref.select("tid", "x").mapInPandas(run, "qid long, tid long, d double").withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).select("qid", "tid")
+
+
+def lsh_neighbours(ref: DataFrame, queries: DataFrame, k: int, tables: int = 6, bucket: float = 1.0, seed: int = 7) -> tuple[DataFrame, DataFrame]:
+    """Approximate J5 by random projections: a query meets the reference points of its own and both adjoining buckets of each table.
+
+    ref: tid, x; queries: qid, x.  Returns the k nearest candidates (qid, tid, d) that aren't the query itself, and all candidates
+    (qid, tid); no task holds more than its part of a join, whatever the number of rows."""
+    fitted = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket, numHashTables=tables, seed=seed).fit(ref.select(array_to_vector("x").alias("v")))
+    hashed = lambda df, key: fitted.transform(df.select(key, "x", array_to_vector("x").alias("v"))).select(key, "x", F.transform("h", lambda v: vector_to_array(v)[0].cast("long")).alias("h"))
+    r = hashed(ref, "tid").select("tid", F.col("x").alias("rx"), F.posexplode("h").alias("t", "b"))
+    q = hashed(queries, "qid").select("qid", F.col("x").alias("qx"), F.posexplode("h").alias("t", "b")).withColumn("b", F.explode(F.array(F.col("b") - 1, F.col("b"), F.col("b") + 1)))
+    met = q.join(r, ["t", "b"]).filter("qid <> tid").select("qid", "tid", _dist(F.col("qx"), F.col("rx")).alias("d"))
+    met = met.groupBy("qid", "tid").agg(F.min("d").alias("d"))  # a pair that meets in several tables
+    w = Window.partitionBy("qid").orderBy(_round9(F.col("d")), "tid")
+    return met.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).select("qid", "tid", "d"), met.select("qid", "tid")
+
+
+def tune_lsh(ref: DataFrame, queries: DataFrame, k: int, target: float = 0.9, tables: int = 6, sample: int = 64, start: float = 0.25, most: int = 8) -> tuple[float, float, float]:
+    """(bucket length, recall, share of all pairs met): the bucket grows by half until the recall of the k nearest, measured against
+    brute force on a sample of the queries, reaches ``target``.  ``start`` is in standard deviations of a vector's components."""
+    truth = stage(exact_sample(ref, queries, k, sample))
+    few = stage(queries.join(F.broadcast(truth.select("qid").distinct()), "qid", "left_semi"))  # at most ``sample`` rows
+    size = math.sqrt(ref.select(F.explode("x").alias("v")).agg(F.avg(F.col("v") * F.col("v"))).first()[0] or 1.0)
+    n_ref, wanted, asked = ref.count(), truth.count(), few.count()
+    bucket, recall, share = start * size, 0.0, 0.0
+    for _ in range(most):
+        found, met = lsh_neighbours(ref, few, k, tables, bucket)
+        recall = found.join(truth, ["qid", "tid"]).count() / max(wanted, 1)
+        share = met.count() / max(n_ref * asked, 1)
+        if recall >= target:
+            break
+        bucket *= 1.5
+    return bucket, recall, share
 
 
 def knn_vote(nb: DataFrame, n_classes: int, weights: str = "uniform") -> DataFrame:
@@ -115,12 +184,11 @@ def knn_oof(train: DataFrame, test: DataFrame | None, k: int, n_classes: int, we
             model: str = "knn", id_col: str = "id", y: str = "label", x: str = "x"):
     """K1 with M11: OOF probabilities (id, model, fold, class, p) and fold-averaged test (id, model, class, p)."""
     ref = train.select(F.col(id_col).alias("tid"), "fold", F.col(y).cast("long").alias("label"), F.col(x).alias("x"))
-    q = train.select(F.lit("train").alias("part"), F.col(id_col).alias("qid"), F.col("fold").alias("excl_fold"), F.col(x).alias("x"))
+    q = train.select(F.lit("train").alias("part"), F.col(id_col).alias("qid"), F.array("fold").alias("excl"), F.col(x).alias("x"))
     folds = sorted(r[0] for r in train.select("fold").distinct().collect())
     if test is not None:
         q = q.unionByName(test.select(F.lit("test").alias("part"), F.col(id_col).alias("qid"),
-                                      F.explode(F.array(*[F.lit(f) for f in folds])).alias("excl_fold"),
-                                      F.col(x).alias("x")))
+                                      F.array(*[F.lit(f) for f in folds]).alias("excl"), F.col(x).alias("x")))
     votes = cut_lineage(knn_vote(knn_neighbours(ref, q, k), n_classes, weights))
     oof = votes.filter(F.col("part") == "train").select(F.col("qid").alias("id"), F.lit(model).alias("model"),
                                                   F.col("excl_fold").alias("fold"), "class", "p")

@@ -3,8 +3,6 @@ map-side partial aggregation; results are small (per value / per column)."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,14 +42,15 @@ def mean_of_group_means(df: DataFrame, col: str, y: str) -> DataFrame:
     return gm.join(F.broadcast(cm), how="inner")
 
 
-def dense_index(df: DataFrame, col: str, partitions: int = 64) -> DataFrame:
+def dense_index(df: DataFrame, col: str, partitions: int | None = None) -> DataFrame:
     """Sorted distinct values with their 0-based index, (value, idx).
 
     Distinct values are range-partitioned by value (so each partition holds one value
     range), partition sizes give offsets, and the row number is taken per partition only:
     no single task ever holds all distinct values.  The bucketed table is checkpointed so
-    a recomputation cannot move a value to another bucket.
+    a recomputation cannot move a value to another bucket.  ``partitions`` defaults to the session's shuffle partitions.
     """
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = df.select(F.col(col).alias("value")).filter(F.col("value").isNotNull()).distinct()
     b = cut_lineage(d.repartitionByRange(partitions, "value").withColumn("_b", F.spark_partition_id()))
     cnt = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -72,12 +71,6 @@ def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     return long.distinct().groupBy("col").agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
-def approx_distinct_counts(df: DataFrame, cols: list[str], rsd: float = 0.01) -> DataFrame:
-    """A9, approximate form (HyperLogLog++), one pass."""
-    r = df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in cols])
-    return r.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("n_distinct")) for c in cols])))
-
-
 def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """A10: (col, n_null) in one aggregation."""
     r = df.agg(*[F.sum(F.isnull(c).cast("long")).alias(c) for c in cols])
@@ -103,7 +96,3 @@ def column_means(df: DataFrame, cols: list[str]) -> dict:
     """Column means (one aggregation) for the safety fill ``fillna(means)``."""
     r = df.agg(*[F.avg(c).alias(c) for c in cols]).collect()[0]
     return {c: r[c] for c in cols}
-
-
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, dfs)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldwise.session import cut_lineage
+from foldwise.session import cut_lineage, join_dim
 
 
 def cumulative_before(df: DataFrame, keys: list[str], weight: str, group: list[str] | None = None,
@@ -39,7 +39,8 @@ def average_rank(df: DataFrame, value: str, group: list[str] | None = None, out:
     counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
     cb = cumulative_before(counts, [value], "_c", group)
     dim = cb.select(*group, value, (F.col("_before") + (F.col("_c") + 1) / 2.0).alias(out))
-    return df.join(dim, [*group, value])
+    # few distinct scores are broadcast; else a saturated score is one hot key of a join that adaptive execution splits
+    return join_dim(df, cut_lineage(dim), [*group, value], "inner")
 
 
 def rank_normalised(df: DataFrame, value: str, group: list[str] | None = None, out: str = "rank_norm") -> DataFrame:

@@ -47,15 +47,14 @@ def pairwise_products(df: DataFrame, cols: list[str], fmt: str = "{a}_x_{b}") ->
 
 
 def jitter(df: DataFrame, cols: list[str], sd: float = 0.003, seed: int = 0, id_col: str = "id") -> DataFrame:
-    """Gaussian noise on training features, repeatable: the normal draw is made from a
-    hash of (seed, id, column) through the Box-Muller transform, so a recomputed partition
-    gets the same noise (``randn`` depends on partitioning)."""
+    """Gaussian noise on training features, repeatable in any engine: the normal draw is made from 52 bits of
+    ``md5('<seed>:<id>:<column>:<1 or 2>')`` through the Box-Muller transform, so a recomputed partition gets the same noise
+    (``randn`` depends on partitioning)."""
+    bits = lambda c, k: F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string"), F.lit(c), F.lit(str(k)))), 1, 13), 16, 10).cast("double")
     out = {}
     for c in cols:
-        h1 = F.xxhash64(F.lit(seed), F.col(id_col), F.lit(c), F.lit(1))
-        h2 = F.xxhash64(F.lit(seed), F.col(id_col), F.lit(c), F.lit(2))
-        u1 = (F.pmod(h1, F.lit(2 ** 53)) + 1) / F.lit(float(2 ** 53 + 1))
-        u2 = F.pmod(h2, F.lit(2 ** 53)) / F.lit(float(2 ** 53))
+        u1 = (bits(c, 1) + 1) / F.lit(float(2**52 + 1))
+        u2 = bits(c, 2) / F.lit(float(2**52))
         z = F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * 3.141592653589793 * u2)
         out[c] = (F.col(c) + F.lit(sd) * z).alias(c)
     return df.select(*[out.get(c, F.col(c)) for c in df.columns])
@@ -71,11 +70,12 @@ def fit_quantile_normal(train: DataFrame, cols: list[str], n_quantiles: int = 10
     quantile values with the first and last reference level of each (tied quantiles)."""
     import numpy as np
     counts = train.agg(*[F.count(c).alias(c) for c in cols]).collect()[0]
-    out = {}
+    out, found = {}, {}
+    for nq in {min(n_quantiles, counts[c]) for c in cols}:  # one round of passes for all columns with as many quantiles
+        found |= exact_quantiles(train, [c for c in cols if min(n_quantiles, counts[c]) == nq], np.linspace(0.0, 1.0, nq).tolist())
     for c in cols:
-        nq = min(n_quantiles, counts[c])
-        refs = np.linspace(0.0, 1.0, nq).tolist()
-        q = exact_quantiles(train, [c], refs)[c]
+        q = found[c]
+        refs = np.linspace(0.0, 1.0, len(q)).tolist()
         u, rlo, rhi = [], [], []
         for v, r in zip(q, refs):
             if u and v == u[-1]:

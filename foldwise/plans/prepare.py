@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.operators.folds import holdout_and_kfold
-from foldwise.session import cut_lineage
+from foldwise.session import cut_lineage, discard, stage
 from foldwise.sources.tables import orders_base
 
 SEED = 42
@@ -19,7 +19,9 @@ def split_train_test(df: DataFrame, id_col: str, label: str, frac: float = 0.2,
     The split table is cut from its lineage once (checkpoint in the shared folder), so
     train and test do not each recompute the source joins and the rank window.
     """
-    s = cut_lineage(holdout_and_kfold(df, id_col, label, frac, k, seed))
+    source = stage(df)  # the ranking reads it twice, the source tables are read and joined once
+    s = cut_lineage(holdout_and_kfold(source, id_col, label, frac, k, seed))
+    discard(source)
     train = s.filter(F.col("split") == "train").drop("split")
     test = s.filter(F.col("split") == "test").drop("split", "fold")
     return train, test

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.functions.arrays import argmax
 from foldwise.operators.metrics import accuracy, log_loss, macro_f1
 from foldwise.operators.rank import average_rank, rank_runs, rank_normalised
 from foldwise.operators.weights import class_weights
 from foldwise.plans import blend as B
 from foldwise.plans import search as S
+from foldwise.plans import seeds as SD
 from foldwise.plans.registry import r6, register, round6
-from foldwise.plans.zoo import PRIORITY_LABELS, priority_zoo, status_zoo
+from foldwise.plans.zoo import NUM, PRIORITY_LABELS, priority_filled, priority_zoo, status_zoo
 from foldwise.sources import files
 
 BIN_W = {"nb_num": 0.2, "nb_te": 0.3, "nb_all": 0.5}
@@ -118,12 +115,16 @@ def q_m22(spark, sf):
     return class_weights(tr, "y").select(F.col("y").cast("long").alias("class"), "n", r6("weight", "weight"))
 
 
-def _seeded_test(spark, sf):
-    outs = []
-    for s in SEEDS:
-        _, _, _, tst = priority_zoo(spark, sf, fold_seed=s)
-        outs.append(tst.filter(F.col("model") == "nbc_te").withColumn("seed", F.lit(s)))
-    return reduce(DataFrame.unionByName, outs)
+def _seeded(spark, sf, features, encoded, seeds):
+    """Fits of all seeds on the multiclass table in one plan: (sweep, train rows, test rows)."""
+    tr, ts = priority_filled(spark, sf)
+    sweep, rows = SD.fit(tr, features, encoded, 5, seeds)
+    return sweep, rows, ts
+
+
+def _seeded_test(spark, sf, seeds=SEEDS):
+    sweep, _, ts = _seeded(spark, sf, ["li_qty"], "n_name", list(seeds))
+    return SD.test_probabilities(sweep, ts, "nbc_te")
 
 
 @register("k13_seed_average")
@@ -132,14 +133,15 @@ def q_k13(spark, sf):
     return avg.select("id", "class", r6("p", "p"))
 
 
+def sweep_accuracy(spark, sf, seeds=tuple(range(1, 51))):
+    """OOF accuracy by seed; the study sweeps 50 seeds, the registered query 4."""
+    sweep, rows, _ = _seeded(spark, sf, NUM, None, list(seeds))
+    return SD.oof_accuracy(sweep, rows)
+
+
 @register("k12_w4_seed_sweep_ranked")
 def q_k12(spark, sf):
-    rows = []
-    for s in [1, 2, 3, 4]:
-        tr, _, oof, _ = priority_zoo(spark, sf, fold_seed=s)
-        v = B.decide(B.to_vector(oof.filter(F.col("model") == "nbc_num"), 5)).join(tr.select("id", "y"), "id")
-        rows.append(accuracy(v.withColumn("y", F.col("y").cast("int")), "pred", "y").withColumn("seed", F.lit(s)))
-    runs = reduce(DataFrame.unionByName, rows)
+    runs = sweep_accuracy(spark, sf, [1, 2, 3, 4])
     return rank_runs(runs, "accuracy", ["seed"]).select("seed", r6("accuracy", "accuracy"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -193,11 +195,10 @@ def q_p6(spark, sf):
 @register("k14_seed_average_of_blend")
 def q_k14(spark, sf):
     """Per seed a fixed-weight blend of the two multiclass models, then the mean over seeds."""
-    outs = []
-    for s in SEEDS:
-        _, _, _, tst = priority_zoo(spark, sf, fold_seed=s)
-        outs.append(B.fixed_blend(tst, MC_W).withColumn("seed", F.lit(s)))
-    avg = B.mean_over(reduce(DataFrame.unionByName, outs), "seed", ["id", "class"])
+    num, _, ts = _seeded(spark, sf, NUM, None, SEEDS)
+    te = _seeded_test(spark, sf)
+    blend = B.fixed_blend(te.unionByName(SD.test_probabilities(num, ts, "nbc_num")), MC_W, ["seed", "id", "class"])
+    avg = B.mean_over(blend, "seed", ["id", "class"])
     v = B.decide(B.to_vector(avg, 5), PRIORITY_LABELS)
     return v.select("id", "pred", "label")
 

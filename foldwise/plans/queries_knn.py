@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.operators.folds import holdout_and_kfold
-from foldwise.operators.knn import knn_oof
+from foldwise.operators.knn import knn_oof, lsh_neighbours, tune_lsh
 from foldwise.plans.registry import r6, register
 from foldwise.session import cut_lineage
 from foldwise.sources.tables import embeddings_base
@@ -32,3 +32,14 @@ def q_knn(spark, sf):
 def q_knn_w(spark, sf):
     tr, ts = vectors_train_test(spark, sf)
     return _out(*knn_oof(tr, ts, 15, 10, "distance"))
+
+
+@register("j5_lsh_neighbours")
+def q_lsh(spark, sf, k=10, target=0.9):
+    """J5, approximate: the k nearest vectors of every vector from random-projection buckets as wide as the wanted recall asks for; with the
+    recall measured on a sample and the share of all pairs met."""
+    v = cut_lineage(embeddings_base(spark, sf).select("id", "x"))
+    ref, queries = v.select(F.col("id").alias("tid"), "x"), v.select(F.col("id").alias("qid"), "x")
+    bucket, recall, share = tune_lsh(ref, queries, k, target)
+    found, _ = lsh_neighbours(ref, queries, k, bucket=bucket)
+    return found.select("qid", "tid", r6("d", "d"), F.lit(recall).alias("recall"), F.lit(share).alias("pair_share"))

@@ -28,6 +28,7 @@ from foldwise.operators.weights import with_weight_column
 from foldwise.plans import blend as B
 from foldwise.plans import param_search as PS
 from foldwise.plans import stack as K
+from foldwise.plans import superstack as ST
 from foldwise.plans.registry import r6, register
 from foldwise.plans.zoo import BIN_MODELS, NUM, priority_features, status_features, status_zoo
 from foldwise.session import cut_lineage, stage_spread
@@ -391,6 +392,19 @@ def _search(spark, sf, trials: int, max_rounds: int | None):
     return held, ts, PS.search_two_boosters(held, 5, trials, max_rounds)
 
 
+@register("k2_superstack_scores")
+def q_superstack(spark, sf, n_trees=15, rounds=3, max_depth=4):
+    """K2 + K5 + K7: ten bases and three metas on the multiclass table; OOF macro F1 of every model (nested for the metas) and of the fixed
+    blend of the metas.  The arguments cut the study's trees, rounds and levels (the defaults of ``superstack``)."""
+    tr, ts = (rows_of(x) for x in multiclass_inputs(spark, sf))
+    done = ST.superstack(tr, ts, 5, ST.ten_bases(n_trees, rounds, max_depth), ST.three_metas(rounds))
+    blend = ST.blended(done["meta_oof"]).withColumn("model", F.lit("blend"))
+    cols = ["id", "model", "class", "p"]
+    every = done["oof"].select(*cols).unionByName(done["meta_oof"].select(*cols)).unionByName(blend.select(*cols))
+    v = B.decide(B.to_vector(every, 5, ["id", "model"])).join(tr.select("id", "y"), "id")
+    return macro_f1(v, "pred", "y", ["model"]).select("model", r6("macro_f1", "macro_f1"))
+
+
 @register("k18_random_parameter_search")
 def q_k18(spark, sf, trials=6, max_rounds=4):
     """K18 + U3: seeded random parameter sets for two boosters, scored by macro F1 on a stratified hold-out (W7) of the multiclass table,

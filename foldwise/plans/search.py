@@ -14,7 +14,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.functions.arrays import lit_array
 from foldwise.operators.rank import best_by
 
 
@@ -26,7 +25,7 @@ def wide_scores(pred: DataFrame, models: list[str], cls: int = 1, id_col: str =
 
 def score_candidates(scored: DataFrame, models: list[str], y: str, candidates: list[list[float]],
                      threshold: float = 0.5) -> DataFrame:
-    """(wid, accuracy) of ``sum_m w_m p_m >= threshold`` against y (0/1) for every candidate."""
+    """(wid, accuracy) of ``sum_m w_m p_m >= threshold`` against y (0/1) for every candidate; a row without a label or a score is an error."""
     w = np.asarray(candidates, float)
     cols = [F.col(f"p_{m}").cast("double").alias(f"p{i}") for i, m in enumerate(models)]
 
@@ -34,6 +33,8 @@ def score_candidates(scored: DataFrame, models: list[str], y: str, candidates: l
         """Per batch one row per candidate: rows are never multiplied by the candidates outside a small block."""
         total, n = np.zeros(len(w), np.int64), 0
         for b in batches:
+            if any(c.null_count for c in b.columns):
+                raise ValueError("a row lacks its label or the score of a model")
             truth = np.asarray(b.column("_y"))
             p = [np.asarray(b.column(f"p{i}")) for i in range(len(models))]
             for k in range(0, len(truth), 2048):
@@ -45,7 +46,7 @@ def score_candidates(scored: DataFrame, models: list[str], y: str, candidates: l
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(w), dtype=np.int32)), pa.array(total), pa.array(np.full(len(w), n))], ["wid", "hits", "n"])
 
-    rows = scored.select(F.col(y).cast("double").alias("_y"), *cols).dropna()
+    rows = scored.select(F.col(y).cast("double").alias("_y"), *cols)
     return rows.mapInArrow(hits, "wid int, hits long, n long").groupBy("wid").agg((F.sum("hits") / F.sum("n")).alias("accuracy"))
 
 
@@ -83,10 +84,10 @@ def dirichlet_draws(n_models: int, n_draws: int, seed: int = 42) -> list[list[fl
     return [rng.dirichlet(np.ones(n_models)).tolist() for _ in range(n_draws)]
 
 
-def dirichlet_search(scored: DataFrame, models: list[str], y: str, n_draws: int = 500, seed: int = 42) -> DataFrame:
+def dirichlet_search(scored: DataFrame, models: list[str], y: str, n_draws: int = 10_000, seed: int = 42) -> DataFrame:
     """Best of ``n_draws`` random weight vectors (strict improvement = first on ties)."""
     draws = dirichlet_draws(len(models), n_draws, seed)
     s = score_candidates(scored, models, y, draws)
-    best = best_by(s, "accuracy", ["wid"])
-    w = lit_array(draws)
-    return best.select("wid", "accuracy", *[w[F.col("wid")][i].alias(f"w_{m}") for i, m in enumerate(models)])
+    best = best_by(s, "accuracy", ["wid"]).first()  # one row
+    row = (best["wid"], best["accuracy"], *draws[best["wid"]])
+    return scored.sparkSession.createDataFrame([row], "wid int, accuracy double, " + ", ".join(f"w_{m} double" for m in models))

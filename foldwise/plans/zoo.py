@@ -50,21 +50,23 @@ def status_zoo(spark: SparkSession, sf: str):
     return tr, ts, cut_lineage(_union(oofs)), cut_lineage(_union(tsts))
 
 
-def priority_features(spark: SparkSession, sf: str, fold_seed: int | None = None):
-    """Table C with label index y (sorted priorities), median fill and T6 encoding of n_name."""
-    from foldwise.operators.folds import stratified_kfold
+def priority_filled(spark: SparkSession, sf: str):
+    """Table C with label index y (sorted priorities) and median fill."""
     from foldwise.plans.queries_target import multiclass_train_test
     tr, ts = multiclass_train_test(spark, sf)
-    if fold_seed is not None:  # re-draw folds of the train part with another seed (seed sweeps)
-        tr = stratified_kfold(tr.drop("fold"), "id", "y", 5, fold_seed)
     med = fit_median(tr, FILL)
-    tr, ts = apply_fill(tr, med), apply_fill(ts, med)
+    return apply_fill(tr, med), apply_fill(ts, med)
+
+
+def priority_features(spark: SparkSession, sf: str):
+    """Table C with label index y (sorted priorities), median fill and T6 encoding of n_name."""
+    tr, ts = priority_filled(spark, sf)
     te = fit_multiclass_target_encoder(tr, ["n_name"], "y", 5)
     return cut_lineage(te.apply_oof(tr)), cut_lineage(te.apply_test(ts))
 
 
-def priority_zoo(spark: SparkSession, sf: str, fold_seed: int | None = None):
-    tr, ts = priority_features(spark, sf, fold_seed)
+def priority_zoo(spark: SparkSession, sf: str):
+    tr, ts = priority_features(spark, sf)
     oofs, tsts = [], []
     for name, feats in MC_MODELS.items():
         o, t, _ = naive_bayes_oof(tr, ts, feats, "y", model=name)

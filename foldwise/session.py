@@ -9,8 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows above which a dimension table is joined by shuffle instead of broadcast.
-BROADCAST_MAX_ROWS = 2_000_000
+# Bytes above which a dimension table is joined by shuffle instead of broadcast.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "foldwise") -> SparkSession:
@@ -57,19 +57,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist()  # computed once, then written by the checkpoint job
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    """The rows written once to the shared checkpoint folder and read again (survives executor loss; columns stay prunable)."""
+    return stage(df)
 
 
 def stage(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
-    """The rows written as parquet to the shared checkpoint folder and read again; a stage that it ``replaces`` is deleted then."""
+    """The rows written as parquet to the shared checkpoint folder and read again; a stage that it ``replaces`` is deleted then.
+
+    All others are deleted when the application ends."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    delete_on_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stage_path = path
     if replaces is not None:
@@ -83,6 +82,12 @@ def stage_spread(df: DataFrame) -> DataFrame:
     return stage(out.repartition(n), replaces=out) if out.rdd.getNumPartitions() < n else out
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Has the file system delete a folder of intermediate rows when the driver ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def discard(staged: DataFrame) -> None:
     """Deletes the files of a stage whose rows are no longer needed."""
     spark, path = staged.sparkSession, staged.__dict__.get("_stage_path")
@@ -91,15 +96,29 @@ def discard(staged: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def join_dim(big: DataFrame, dim: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_MAX_ROWS,
-             dim_rows: int | None = None) -> DataFrame:
-    """Join a fitted dimension table; broadcast it only when its row count is checked to be small.
+def table_bytes(df: DataFrame, rows: int | None = None) -> int:
+    """Bytes of a fitted table: 16 a number, strings and arrays by their lengths; with known ``rows``, 64 a string and 256 an array."""
+    kinds = dict(df.dtypes)
+    text = [c for c, t in kinds.items() if t == "string"]
+    arrays = [c for c, t in kinds.items() if t.startswith("array")]
+    flat = 16 * (len(kinds) - len(text) - len(arrays))
+    if rows is not None:
+        return rows * (flat + 64 * len(text) + 256 * len(arrays))
+    each = F.lit(flat)
+    for c in text:
+        each = each + 16 + F.coalesce(F.octet_length(c), F.lit(0))
+    for c in arrays:
+        each = each + 16 + 16 * F.greatest(F.size(c), F.lit(0))
+    return int(df.agg(F.sum(each.cast("long"))).first()[0] or 0)
+
+
+def join_dim(big: DataFrame, dim: DataFrame, on, how: str = "left", max_bytes: int = BROADCAST_MAX_BYTES, dim_rows: int | None = None) -> DataFrame:
+    """Join a fitted dimension table; broadcast it only when its bytes are checked to be few.
 
-    ``dim_rows`` lets a caller pass a bound it already knows (e.g. number of folds x classes);
-    otherwise the dimension is counted (it is an aggregate, so the count is cheap).
+    ``dim_rows`` lets a caller pass a bound of its rows that it already knows (e.g. number of folds x classes);
+    otherwise the table is summed (it is an aggregate, so that is cheap).
     Above the bound the join is left to Catalyst / AQE (shuffle join, skew-join splitting).
     """
-    n = dim.count() if dim_rows is None else dim_rows
-    if n <= max_rows:
+    if table_bytes(dim, dim_rows) <= max_bytes:
         dim = F.broadcast(dim)
     return big.join(dim, on=on, how=how)

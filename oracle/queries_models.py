@@ -109,9 +109,15 @@ ab AS (SELECT f, a, b FROM it WHERE step = 30)
 SELECT id, fold, ROUND(1 / (1 + EXP(-(a * m + b))), 6) AS p FROM pr JOIN ab ON f = fold"""
 
 
+def n10() -> str:
+    u = lambda c, k: f"CAST(('0x' || substr(md5('0:' || t.id || ':{c}:{k}'), 1, 13))::BIGINT AS DOUBLE)"
+    cols = ", ".join(f"ROUND({c} + 0.003 * SQRT(-2 * LN(({u(c, 1)} + 1) / 4503599627370497)) * COS(2 * 3.141592653589793 * {u(c, 2)} / 4503599627370496), 6) AS {c}" for c in NUM)
+    return bin_zoo() + f" SELECT t.id, {cols} FROM tr2 t"
+
+
 def recursive(sql):
     return lambda: "WITH RECURSIVE" + sql().removeprefix("WITH")
 
 
-ORACLE = {"m9_sigmoid_calibration": m9_sigmoid, "m6_ridge_classifier_oof": m6, "m7_ridge_alpha_selection": m7, "m7_ridge_loo_alphas": m7_loo, "k5_ridge_meta_oof": k5_ridge}
+ORACLE = {"n10_gaussian_jitter": n10, "m9_sigmoid_calibration": m9_sigmoid, "m6_ridge_classifier_oof": m6, "m7_ridge_alpha_selection": m7, "m7_ridge_loo_alphas": m7_loo, "k5_ridge_meta_oof": k5_ridge}
 ORACLE = {k: recursive(f) for k, f in ORACLE.items()}
