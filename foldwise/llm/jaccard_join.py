@@ -12,6 +12,9 @@ A document is the set of its word shingles.  Equal sets are one class from the s
    levels (64 positions, threshold 0.8), and for the classes met in buckets that went deeper as many more as the level
    reached needs (25 in all for three, 36 for four).  A run that picks no position is passed over.  Closer pairs are missed less, single
    pairs at the threshold whose minima happen to differ more often are missed more.
+   Near copies in thousands share most of their minima, so no split parts them.  Each class of a large bucket of the first level is
+   therefore compared with the leader (least class) of its buckets first; those that may reach the threshold make one star with it.  From then on
+   a bucket whose classes all belong to one star ends: each of its pairs lies in one component of the exact step anyway.
 3. Brute force compares 64 one-byte minima; pairs that may reach the threshold (five standard deviations below it) join their
    classes loosely.  Only a spanning star per bucket leaves the task, never its pairs.
 4. Exact step: in each loose component the sets themselves are compared, in tiles of ``tile`` classes, by counting
@@ -177,7 +180,7 @@ def _loose(buckets: DataFrame, least: int) -> DataFrame:
         for t in _whole_groups(batches, "path"):
             path, r = np.asarray(t["path"]), np.asarray(t["r"])
             s = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(r), -1)
-            a, b, i = [], [], np.arange(len(r))
+            a, b, i, held = [], [], np.arange(len(r)), 0
             for d in range(1, len(r)):
                 i = i[i + d < len(r)]
                 i = i[path[i] == path[i + d]]
@@ -186,6 +189,11 @@ def _loose(buckets: DataFrame, least: int) -> DataFrame:
                 hit = i[(s[i] == s[i + d]).sum(axis=1) >= least]
                 a.append(hit)
                 b.append(hit + d)
+                held += len(hit)
+                if held > 1 << 19:  # the pairs so far as stars: near copies link all their pairs
+                    root = local_roots(len(r), np.concatenate(a), np.concatenate(b))
+                    far = np.flatnonzero(root != np.arange(len(r)))
+                    a, b, held = [far], [root[far]], len(far)
             if a:
                 root = local_roots(len(r), np.concatenate(a), np.concatenate(b))
                 far = root != np.arange(len(r))
@@ -195,30 +203,58 @@ def _loose(buckets: DataFrame, least: int) -> DataFrame:
     return buckets.repartition("path").sortWithinPartitions("path").mapInArrow(run, "u long, v long")
 
 
+def _stars(hot: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
+    """(u, v): classes of large buckets that have ``least`` sketch bytes in common with the least leader of their buckets; hot: r, leader."""
+    named = staged(hot.groupBy("r").agg(F.min("leader").alias("leader")).filter("r <> leader"))
+    leaders = staged(named.select("leader").distinct().join(sketches.select(F.col("r").alias("leader"), F.col("sketch").alias("mark")), "leader"))
+
+    def run(batches):
+        for b in batches:
+            if len(b):
+                s, m = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(len(b), -1) for c in ("sketch", "mark"))
+                ok = pa.array((s == m).sum(axis=1) >= least)
+                yield pa.RecordBatch.from_arrays([b.column("r").filter(ok), b.column("leader").filter(ok)], ["u", "v"])
+
+    # few leaders (one per large bucket at most) to many classes: broadcast if counted to be few, else a join that adaptive execution splits
+    return named.join(sketches, "r").join(broadcast_if(leaders), "leader").select("r", "leader", "sketch", "mark").mapInArrow(run, "u long, v long")
+
+
 def loose_links(classes: DataFrame, threshold: float, positions: int, small: int, max_depth: int, recall: float) -> DataFrame:
     """Edges (u, v) whose components hold every pair of classes that reaches the threshold."""
     least = max(1, math.floor(positions * (threshold - 5 * math.sqrt(threshold * (1 - threshold) / positions))))
     sketch = F.expr("unhex(regexp_replace(hex(minima), '(..)......', '$1'))")
     sketches = classes.select("r", sketch.alias("sketch"))
     edges, deep, reached, done = [], [], min(2, max_depth), 0
+    known = None  # (r, star): classes that one star of loose links holds together already
     while len(runs := runs_for(reached, positions, threshold, recall)) > done:
         # a pair meets below level 2 only if both classes are in deep buckets: the others need no more runs
         some = staged(reduce(DataFrame.unionByName, deep).distinct().join(classes.select("r", "minima"), "r")) if done else classes.select("r", "minima")
         level = _descend(some, positions, threshold, runs[done:])
         done = len(runs)
         for depth in range(1, max_depth + 1):
-            many = level.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
-            shared = staged(level.join(many, "path"))
+            label = F.coalesce("star", "r") if known is not None else F.col("r")
+            level = level.join(broadcast_if(known), "r", "left").withColumn("label", label).drop("star") if known is not None else level.withColumn("label", label)
+            # a bucket of one star has no pair that isn't in one component already
+            many = level.groupBy("path").agg(F.count("*").alias("n"), F.min("r").alias("leader"), F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b").drop("a", "b")
+            shared = staged(level.drop("label").join(many, "path"))
+            large = shared.filter(F.col("n") > small)
+            any_large = bool(large.limit(1).count())
+            if any_large and known is None:
+                known = staged(_stars(large.select("r", "leader"), sketches, least))
+                edges.append(known)
+                known = staged(known.select(F.col("u").alias("r"), F.col("v").alias("star")).unionByName(known.select(F.col("v").alias("r"), F.col("v").alias("star")).distinct()).groupBy("r").agg(F.min("star").alias("star")))
+                mixed = large.join(broadcast_if(known), "r", "left").groupBy("path").agg(F.min(F.coalesce("star", "r")).alias("a"), F.max(F.coalesce("star", "r")).alias("b")).filter("a < b").select("path")
+                large = staged(large.join(mixed, "path", "left_semi"))
+                any_large = bool(large.limit(1).count())
             last = depth == max_depth
-            end = shared if last else shared.filter(F.col("n") <= small)
-            if last:  # too large still: every two tiles of ``small`` classes meet in a bucket of their own
+            end = shared.filter(F.col("n") <= small).select("path", "r")
+            if last and any_large:  # too large still: every two tiles of ``small`` classes meet in a bucket of their own
                 tiles = F.ceil(F.col("n") / small).cast("int")
                 mine = F.pmod(F.xxhash64("r", "path"), tiles)
-                end = end.withColumn("tiles", tiles).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-                end = end.withColumn("path", F.when(F.col("tiles") == 1, F.col("path")).otherwise(F.xxhash64("path", F.least("mine", "other"), F.greatest("mine", "other"))))
-            edges.append(staged(_loose(end.select("path", "r").join(sketches, "r"), least).distinct()))
-            large = shared.filter(F.col("n") > small)
-            if last or not large.limit(1).count():
+                cut = large.withColumn("tiles", tiles).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+                end = end.unionByName(cut.select(F.xxhash64("path", F.least("mine", "other"), F.greatest("mine", "other")).alias("path"), "r"))
+            edges.append(staged(_loose(end.join(sketches, "r"), least).distinct()))
+            if last or not any_large:
                 break
             if depth >= 2:
                 deep.append(large.select("r"))
@@ -246,8 +282,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, shingle:
     return found.join(wanted.select("r"), "r", "left_semi").groupBy("r").agg(F.first("shingles").alias("shingles"))
 
 
-def common(sets: list[np.ndarray]) -> np.ndarray:
-    """Numbers of common elements of all pairs, from the elements that two sets or more hold."""
+def common(sets: list[np.ndarray], left: int | None = None) -> np.ndarray:
+    """Numbers of common elements of all pairs, from the elements that two sets or more hold; with ``left``, of the first sets with the others only."""
     every = np.concatenate(sets)
     row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     o = np.argsort(every, kind="stable")
@@ -257,12 +293,12 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
     shared = np.repeat(n > 1, n)
     column = np.repeat(np.cumsum(n > 1) - 1, n)[shared]
     row = row[shared]
-    out = np.zeros((len(sets), len(sets)))
+    out = np.zeros((len(sets), len(sets)) if left is None else (left, len(sets) - left))
     for c in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
         at = (column >= c) & (column < c + 4096)
         x = np.zeros((len(sets), 4096), np.float32)
         x[row[at], column[at] - c] = 1
-        out += x @ x.T
+        out += x @ x.T if left is None else x[:left] @ x[left:].T
     return out
 
 
@@ -274,24 +310,32 @@ def _exact(rows: DataFrame, threshold: float) -> DataFrame:
             cut = groups(work)
             out = [], [], []
             for a, b in zip(cut[:-1], cut[1:], strict=True):
-                sets = [unpack(x.as_buffer(), np.uint64) for x in t["shingles"][a:b]]
+                at = a + np.argsort(mine[a:b], kind="stable")
+                first = int((mine[at] == mine[at[0]]).sum())
+                sets = [unpack(t["shingles"][k].as_buffer(), np.uint64) for k in at.tolist()]
                 size = np.array([len(x) for x in sets], float)
-                inter = common(sets)
-                link = inter >= threshold * (size[:, None] + size[None, :] - inter) - 1e-9
-                np.fill_diagonal(link, False)
-                if i[a] != j[a]:  # pairs within a tile belong to the tile's own group
-                    link &= mine[a:b][:, None] != mine[a:b][None, :]
-                x, y = np.nonzero(np.triu(link))
-                out[0].append(r[a:b])
-                out[1].append(link @ copies[a:b])
-                out[2].append(r[a:b][local_roots(b - a, x, y)])
+                if i[a] == j[a]:
+                    inter = common(sets)
+                    link = inter >= threshold * (size[:, None] + size[None, :] - inter) - 1e-9
+                    np.fill_diagonal(link, False)
+                    x, y = np.nonzero(np.triu(link))
+                    links = link @ copies[at]
+                else:  # pairs within a tile belong to the tile's own group
+                    inter = common(sets, first)
+                    link = inter >= threshold * (size[:first, None] + size[None, first:] - inter) - 1e-9
+                    x, y = np.nonzero(link)
+                    y = y + first
+                    links = np.concatenate([link @ copies[at[first:]], link.T @ copies[at[:first]]])
+                out[0].append(r[at])
+                out[1].append(links)
+                out[2].append(r[at][local_roots(b - a, x, y)])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in out], ["r", "links", "root"])
 
     return rows.repartition("work").sortWithinPartitions("work").mapInArrow(run, "r long, links long, root long")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = 0.8, shingle: int = 5, positions: int = 64,
-         small: int = 1000, max_depth: int = 4, recall: float = 0.999999, tile: int = 2048) -> DataFrame:
+         small: int = 4096, max_depth: int = 4, recall: float = 0.999999, tile: int = 2048) -> DataFrame:
     """doc_id, class_id (least doc_id that links connect it with), n_links (documents with a Jaccard similarity of ``threshold`` or more,
     equal sets included), key (of the text): one row per row of ``docs``."""
     rows = staged(sampled(docs, id_col, text, shingle, positions))
