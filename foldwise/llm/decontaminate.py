@@ -87,7 +87,8 @@ class Bits:
 
 
 def bit_set(keys: DataFrame, max_bits: int):
-    """Broadcast bit set of the column h: built per task, merged by OR; its size is bounded by max_bits whatever the table's."""
+    """Broadcast bit set of the column h: built per task, merged by OR per block of it in tasks, fetched once; its size is bounded by
+    max_bits whatever the table's."""
     n = keys.count()
     log2 = int(np.clip(math.ceil(math.log2(max(n, 1) * 16)), 13, int(math.log2(max_bits))))
 
@@ -100,10 +101,29 @@ def bit_set(keys: DataFrame, max_bits: int):
             if (d := b.data[i : i + block]).any():
                 yield pa.RecordBatch.from_arrays([pa.array([i // block], pa.int64()), pa.array([d.tobytes()], pa.binary())], ["block", "data"])
 
+    def merge(batches):
+        block, data = None, None
+        for x in batches:
+            out = []
+            for k, d in zip(x.column("block").to_pylist(), x.column("data"), strict=True):
+                d = np.frombuffer(d.as_buffer(), np.uint8)
+                if k == block:
+                    data |= d
+                else:
+                    if block is not None:
+                        out.append((block, data.tobytes()))
+                    block, data = k, d.copy()
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([d for _, d in out], pa.binary())], ["block", "data"])
+        if block is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([data.tobytes()], pa.binary())], ["block", "data"])
+
     bits = Bits(log2)
-    for r in keys.select("h").mapInArrow(part, "block long, data binary").toLocalIterator():
+    n_parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = keys.select("h").mapInArrow(part, "block long, data binary").repartition(n_parts, "block").sortWithinPartitions("block").mapInArrow(merge, "block long, data binary")
+    for r in blocks.collect():
         d = np.frombuffer(r.data, np.uint8)
-        bits.data[r.block * 8192 : r.block * 8192 + len(d)] |= d
+        bits.data[r.block * 8192 : r.block * 8192 + len(d)] = d
     return keys.sparkSession.sparkContext.broadcast(bits)
 
 

@@ -8,6 +8,7 @@ and all word windows costs a few passes over the buffer and no Python loop per w
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-SLICE_BYTES = 2 << 20  # texts are handled in slices of about this size; one text is never cut
+SLICE_BYTES = 1 << 20  # texts are handled in slices of about this size; one text is never cut
 
 
 def byte_set(*inside) -> bytes:
@@ -132,6 +133,26 @@ def slices(col: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Texts]:
         j = min(n, max(j, i + 1))
         yield Texts(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i], null[i:j], i)
         i = j
+    del buf, offs, null, col
+    release()
+
+
+def release() -> None:
+    """Hands freed memory of Arrow's pool and of the C library back to the system: Python workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def _libc():
+    try:
+        lib = ctypes.CDLL("libc.so.6")
+        return lib if hasattr(lib, "malloc_trim") else None
+    except OSError:  # another C library
+        return None
+
+
+_LIBC = _libc()
 
 
 def translate(buf: np.ndarray, table: bytes) -> np.ndarray:

@@ -17,6 +17,7 @@ left out; of several labels of a document any toxic one counts; repeated rows sc
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -26,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import bounded_texts, fold, hash_share
+from foldwise.llm.common import bounded_texts, fold, fresh, hash_share
 
 WORDS = re.compile(rb"[a-z0-9\x80-\xff]+")
 WINDOW = 60  # bytes; a window goes on to the next space
@@ -71,8 +72,12 @@ def toxic_strings(toxic: list[bytes], ordinary: list[bytes], share: float, ratio
     return (b" " + b" ".join(chosen) + b" ")[-limit:] if chosen else b""
 
 
-def ordinary_dictionary(texts: list[bytes], size: int) -> bytes:
-    pieces = [w for t in texts for w in windows(t)][:40_000]
+def ordinary_dictionary(texts: list[bytes], size: int, max_windows: int) -> bytes:
+    """Trained on ``max_windows`` windows of the texts at most, drawn by hash from all of them."""
+    pieces = [w for t in texts for w in windows(t)]
+    if len(pieces) > max_windows:
+        drawn = np.argsort([zlib.crc32(w + str(i).encode()) for i, w in enumerate(pieces)], kind="stable")[:max_windows]
+        pieces = [pieces[i] for i in np.sort(drawn)]
     try:
         return zstandard.train_dictionary(size, pieces).as_bytes()
     except zstandard.ZstdError:  # too few windows to train on: their own text
@@ -124,8 +129,9 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = 4000,
-        share: float = 0.025, ratio: float = 0.05, ordinary_bytes: int = 32768, toxic_bytes: int = 8192) -> Model:
-    """Dictionaries and calibration from a bounded sample of the rows of ``docs`` that have a label."""
+        share: float = 0.025, ratio: float = 0.05, ordinary_bytes: int = 32768, toxic_bytes: int = 8192, max_windows: int = 40_000) -> Model:
+    """Dictionaries and calibration from a bounded sample of the rows of ``docs`` that have a label: about ``max_rows`` of each label, of
+    long texts 64 kB of pieces drawn by hash, and ``max_windows`` ordinary windows drawn by hash."""
     marked = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).alias("_label"))
     # of bounded size: about max_rows ids of each of the two labels, so the texts stay where they are
     few = F.broadcast(hash_share(marked, "_label", "_id", max_rows))
@@ -138,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         return model
 
     cut = {0: len(texts[0]) // 2, 1: max(1, len(texts[1]) * 6 // 10)}
-    model = Model(ordinary_dictionary(texts[0][: cut[0]], ordinary_bytes), toxic_strings(texts[1][: cut[1]], texts[0][: cut[0]], share, ratio, toxic_bytes))
+    model = Model(ordinary_dictionary(texts[0][: cut[0]], ordinary_bytes, max_windows), toxic_strings(texts[1][: cut[1]], texts[0][: cut[0]], share, ratio, toxic_bytes))
     rest = [(t, c) for c in (0, 1) for t in texts[c][cut[c] :]]
     model.calibrate(np.array([model.features(t) for t, _ in rest]), np.array([c for _, c in rest]))
     return model
@@ -147,14 +153,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", name: str = "score") -> DataFrame:
     """The columns ``keep`` and the score: one row per row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    body = fresh([*keep, name], "body")[0]
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            s = [m.score(x.as_buffer().to_pybytes() if x.is_valid else b"") for x in b.column("_text")]
+            s = [m.score(x.as_buffer().to_pybytes() if x.is_valid else b"") for x in b.column(body)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(s, pa.float64())], [*keep, name])
 
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, docs.select(*keep).schema.add(name, "double"))
+    return docs.select(*keep, F.col(text).alias(body)).mapInArrow(run, docs.select(*keep).schema.add(name, "double"))
 
 
 def report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -167,4 +174,5 @@ def report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
     """``docs`` without those scored at ``threshold`` or more; same columns, learnt as in report()."""
     model = fit(docs.filter(fold("doc_id", 5) != 0), labels, **options)
-    return score(docs, model, docs.columns, name="_score").filter(F.col("_score") < threshold).select(*docs.columns)
+    mark = fresh(docs.columns, "score")[0]
+    return score(docs, model, docs.columns, name=mark).filter(F.col(mark) < threshold).select(*docs.columns)
