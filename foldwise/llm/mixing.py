@@ -5,13 +5,12 @@ features are hashed words and hashed (second letter, last letter) pairs, so the
 entries and enters the plan as constant arrays.  A long text would make every posterior 0 or 1, so the evidence of a
 text counts as that of at most ``evidence`` words.
 
-Rates r >= 0 (expected copies of a document) meet sum_i r_i n_i p_ik = b_k, with n_i tokens, p_ik posterior and b_k target tokens, at the
-least sum_i n_i (r_i - 1)^2: r_i = max(0, 1 - p_i . x) with one number x_k per domain, found by Newton steps on the dual problem.  A pass
-over the documents adds up, per domain and pair of domains, the residuals and the Gram matrix of the documents with a rate above 0;
-without a clipped rate one step is exact.  Targets that no rates meet are approached in least squares e' W e (W the inverse of sum_i n_i p_i
-p_i') by a weight of ``RIDGE`` on x, and the residual left is given as a warning; ``fit_dual`` returns it.  The state is x, from which each
-document's rate follows, so nothing per document is kept between passes and a lost executor costs nothing.  ``fit_rates`` is the plain
-projected gradient, which converges slowly once rates are clipped.
+Rates r >= 0 (expected copies of a document) are to meet sum_i r_i n_i p_ik = b_k, with n_i tokens, p_ik posterior and b_k target tokens:
+projected-gradient least squares on the residual e.  A pass over the documents adds up e and a K x K Gram matrix; the step of a document is
+p_i . g with one vector g = W e of K numbers, W the inverse of the Gram matrix of the documents with a rate above 0, and the projection cuts
+rates at 0.  A document's rate is a fold over those vectors from 1, so nothing per document is kept between passes and a lost executor
+costs nothing.  Without a clipped rate one step is exact; with many the plain metric (all documents) takes thousands of steps, this one about
+ten.  Targets that no rates meet leave a residual, which is given as a warning; ``fit_rates`` returns it.
 
 Edge cases: a null or empty text has no tokens, prior posteriors and a rate as any other; a null id is a document; rows equal in id
 and text get equal rates; documents with several labels count as toxic if any says so, else low if any says so; without labelled rows
@@ -29,7 +28,6 @@ from pyspark.sql import functions as F
 from foldwise.llm.common import fresh, hash_share, staged, text_key
 
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 13, 1 << 10
-RIDGE = 1e-8
 TARGETS = {"high": 0.90, "low": 0.08, "toxic": 0.02}
 
 
@@ -97,65 +95,45 @@ def rate_of(steps: list[np.ndarray]) -> Column:
     return F.aggregate(rows, F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - dot(g)))
 
 
-def fit_rates(members: DataFrame, targets: np.ndarray, max_steps: int = 40, tolerance: float = 1e-7) -> tuple[list[np.ndarray], list[float]]:
-    """Gradient steps, and the largest relative residual before each; ``members`` has rows, n and p."""
-    k = len(targets)
-    p = [F.col("p")[i] for i in range(k)]
-    mass = F.col("rows") * F.col("n")
-    first = members.agg(*[F.sum(mass * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)], F.sum(mass).alias("n")).first()
-    total = float(first["n"] or 0)
-    if not total:
-        return [], []
-    gram = np.array([[first[f"g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)], float)
-    weight = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)  # a domain without tokens drops out
-    want, steps, history = targets / targets.sum() * total, [], []
-    for _ in range(max_steps):
-        got = members.select("*", rate_of(steps).alias("r")).agg(*[F.sum(mass * F.col("r") * x).alias(str(i)) for i, x in enumerate(p)]).first()
-        residual = np.array([got[str(i)] for i in range(k)]) - want
-        history.append(float(np.abs(residual).max() / total))
-        if history[-1] < tolerance:
-            break
-        steps.append(weight @ residual)
-    return steps, history
+def fit_rates(members: DataFrame, targets: np.ndarray, max_passes: int = 100, tolerance: float = 1e-6) -> tuple[list[np.ndarray], float]:
+    """Projected-gradient steps, and the largest residual left as a share of all tokens; ``members`` has rows, n and p.
 
-
-def fit_dual(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-6, max_passes: int = 200) -> tuple[np.ndarray, float]:
-    """The x of rates max(0, 1 - p . x), that is ``rate_of([x])``, and the largest residual left as a share of all tokens."""
+    A pass gives the residual e and the Gram matrix of the documents with a rate above 0; its inverse is the metric of the next step
+    (the documents that the projection holds at 0 do not move, so the Gram matrix of all would take too short a step).  A step
+    after which e' W e, W of the first pass, has not fallen is halved."""
     k = len(targets)
     p, mass = [F.col("p")[i] for i in range(k)], F.col("rows") * F.col("n")
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
 
-    def sums(x):
-        """(value without ridge and target, sum of rate x posterior, Gram matrix of rates above 0), each over all tokens."""
-        r = members.select("*", rate_of([x]).alias("r")).withColumn("on", F.when(F.col("r") > 0, mass).otherwise(F.lit(0)))
-        got = r.agg(F.sum(mass).alias("n"), F.sum(mass * F.col("r") * F.col("r")).alias("v"), *[F.sum(mass * F.col("r") * q).alias(f"s{i}") for i, q in enumerate(p)],
-                    *[F.sum(F.col("on") * p[i] * p[j]).alias(f"g{i}_{j}") for i, j in pairs]).first()
+    def sums(steps):
+        """(tokens, share of tokens by domain at the rates, Gram matrix of rates above 0 as a share of tokens)"""
+        r = members.select("*", rate_of(steps).alias("r")).withColumn("on", F.when(F.col("r") > 0, mass).otherwise(F.lit(0)))
+        got = r.agg(F.sum(mass).alias("n"), *[F.sum(mass * F.col("r") * q).alias(f"s{i}") for i, q in enumerate(p)], *[F.sum(F.col("on") * p[i] * p[j]).alias(f"g{i}_{j}") for i, j in pairs]).first()
         n = float(got["n"] or 0)
-        if not n:
-            return None
-        return got["v"] / n / 2, np.array([got[f"s{i}"] for i in range(k)]) / n, np.array([[got[f"g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / n
-
-    x, now = np.zeros(k), sums(np.zeros(k))
-    if now is None:
-        return x, 0.0
-    want, whole = targets / targets.sum(), now[2]
-    inside = whole @ np.linalg.pinv(whole, rcond=1e-9, hermitian=True)  # a domain without tokens drops out
-    value = lambda x, v: v + want @ inside @ x + RIDGE / 2 * x @ whole @ x
+        return n, np.array([got[f"s{i}"] or 0 for i in range(k)]) / max(n, 1), np.array([[got[f"g{min(i, j)}_{max(i, j)}"] or 0 for j in range(k)] for i in range(k)]) / max(n, 1)
+
+    inverse = lambda g: np.linalg.pinv(g, rcond=1e-9, hermitian=True)  # noqa: E731  a domain without tokens drops out
+    steps: list[np.ndarray] = []
+    n, got, gram = sums(steps)
+    if not n:
+        return [], 0.0
+    want, metric = targets / targets.sum(), inverse(gram)
+    best = np.inf
     for _ in range(max_passes):
-        slope = inside @ (now[1] - want) - RIDGE * whole @ x  # minus the gradient
-        if np.abs(slope).max() < tolerance / 10:
-            break
-        step = np.linalg.pinv(now[2] + RIDGE * whole, rcond=1e-14, hermitian=True) @ slope
-        share = 1.0
-        while share > 1e-6:  # half the step until the value falls as it should
-            new = sums(x + share * step)
-            if value(x + share * step, new[0]) <= value(x, now[0]) - 1e-4 * share * (step @ slope) + 1e-15:
-                break
-            share /= 2
-        else:
+        e = got - want
+        value = float(e @ metric @ e)
+        if np.abs(e).max() < tolerance / 10:
             break
-        x, now = x + share * step, new
-    return x, float(np.abs(now[1] - want).max())
+        if value < best * (1 - 1e-9):
+            best, kept = value, e
+            steps.append(inverse(gram) @ e)
+        elif np.abs(steps[-1]).max() > 1e-12:
+            steps[-1] = steps[-1] / 2
+        else:  # no step lowers it any more
+            steps.pop()
+            return steps, float(np.abs(kept).max())
+        _, got, gram = sums(steps)
+    return steps, float(np.abs(got - want).max())
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, evidence: float = 100, tolerance: float = 1e-6, **fit_options) -> tuple[DataFrame, list[str]]:
@@ -165,10 +143,10 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     domains = sorted(targets)
     prior, logp = fit(docs, domain_of(labels), domains, **fit_options)
     members = staged(posteriors(docs, prior, logp, evidence))
-    x, missed = fit_dual(members, np.array([targets[d] for d in domains], float), tolerance)
+    steps, missed = fit_rates(members, np.array([targets[d] for d in domains], float), tolerance=tolerance)
     if missed > tolerance:
         warnings.warn(f"the targets of {', '.join(domains)} are not met: the largest difference is {missed:.3g} of all tokens", stacklevel=2)
-    return members.withColumn("rate", rate_of([x])), domains
+    return members.withColumn("rate", rate_of(steps)), domains
 
 
 def report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -179,10 +157,12 @@ def report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def mixed(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """``docs`` with rate (expected copies) and copies (drawn by a hash of the document), without those of rate 0."""
+    """``docs`` with rate (expected copies) and copies (drawn by a hash of the document), without those of rate 0; if ``docs`` has columns of
+    these names, the new ones get a leading underscore."""
     out, _ = mix(docs, labels, **options)
-    i, k, r = fresh([*docs.columns, "rate", "copies"], "mix_id", "mix_key", "mix_rate")
+    rate, copies = fresh(docs.columns, "rate", "copies")
+    i, k, r = fresh([*docs.columns, rate, copies], "mix_id", "mix_key", "mix_rate")
     rates = out.select(F.col("doc_id").alias(i), F.col("key").alias(k), F.col("rate").alias(r))
     j = docs.join(rates, F.col("doc_id").eqNullSafe(F.col(i)) & (text_key("text") == F.col(k)))
     draw = F.pmod(F.xxhash64(k, F.lit("copies")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    return j.filter(F.col(r) > 0).select(*docs.columns, F.col(r).alias("rate"), F.floor(F.col(r) + draw).alias("copies"))
+    return j.filter(F.col(r) > 0).select(*docs.columns, F.col(r).alias(rate), F.floor(F.col(r) + draw).alias(copies))
