@@ -1,7 +1,7 @@
 """Site-relative line deduplication (DataFrame operations only).
 
 A line of a page is boilerplate of its site if more than ``ratio`` of the site's pages, and at
-least ``min_pages`` of them, contain it.  Per page each distinct line counts once, so the number
+least ``min_pages`` (two: a line of one page alone is repeated nowhere) of them, contain it.  Per page each distinct line counts once, so the number
 of pages with a line is a plain count with map-side partial sums: a site or line that holds a third
 of all rows reaches the reducer as one partial row per task.  A site has fewer than (its mean number of distinct
 lines per page) / ratio boilerplate lines, so they go back to the pages as one short list per site; the
@@ -39,7 +39,7 @@ def boilerplate(pages: DataFrame, site: Column, lines: Column, ratio: float, min
     return hot.groupBy("site", "nosite").agg(F.collect_list(F.struct("h", "c")).alias("drop"))
 
 
-def with_kept_lines(pages: DataFrame, site: Column, lines: Column, ratio: float = 0.1, min_pages: int = 5,
+def with_kept_lines(pages: DataFrame, site: Column, lines: Column, ratio: float = 0.1, min_pages: int = 2,
                     kept: str = "kept_lines", all_lines: str = "all_lines") -> DataFrame:
     """``pages`` with two array columns: all lines, and those that are not boilerplate of their site."""
     s, n, d, a = fresh(pages.columns, "site", "nosite", "drop", all_lines)
@@ -49,14 +49,14 @@ def with_kept_lines(pages: DataFrame, site: Column, lines: Column, ratio: float
     return left.join(hot, [s, n], "left").withColumn(kept, keep).drop(s, n, d)
 
 
-def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
+def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", ratio: float = 0.1, min_pages: int = 2) -> DataFrame:
     """``docs`` with boilerplate lines (ended by a line feed) cut out of ``text``; same rows and columns."""
     k, a = fresh(docs.columns, "kept", "all")
     out = with_kept_lines(docs, F.col(site), F.split(F.col(text), "\n", -1), ratio, min_pages, kept=k, all_lines=a)
     return out.withColumn(text, F.when(F.size(k) == F.size(a), F.col(text)).otherwise(F.array_join(k, "\n"))).select(*docs.columns)
 
 
-def page_report(pages: DataFrame, ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
+def page_report(pages: DataFrame, ratio: float = 0.1, min_pages: int = 2) -> DataFrame:
     """page_id, host, n_lines, n_dropped, kept_sha256 of the lines left in each web page, joined by line feeds."""
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     lines = F.filter(F.transform(F.split(F.col("html"), MARKUP, -1), lambda x: F.trim(x)), lambda x: x != "")
@@ -74,7 +74,7 @@ WITH p AS (
   FROM pages),
 t AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
 f AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM p) GROUP BY host, line),
-hot AS (SELECT f.host, f.line FROM f JOIN t USING (host) WHERE n >= 5 AND n > 0.1 * pages),
+hot AS (SELECT f.host, f.line FROM f JOIN t USING (host) WHERE n >= 2 AND n > 0.1 * pages),
 u AS (SELECT rid, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM p),
 k AS (SELECT u.rid, string_agg(u.line, chr(10) ORDER BY pos) AS kept, count(*) AS n FROM u ANTI JOIN hot USING (host, line) GROUP BY u.rid)
 SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(k.n, 0))::BIGINT AS n_dropped,
