@@ -89,7 +89,8 @@ def scan(docs: DataFrame, max_owners: int = 2, max_repos: int = 10, **columns) -
     n_live and n_example split the reported spans by what ownership says of their values."""
     found = staged(find(docs, **columns))
     own = ownership(found)
-    rows = found.join(own, "h", "left")
+    # documents without a candidate have no value to join by
+    rows = found.filter("k IS NOT NULL").join(own, "h").unionByName(found.filter("k IS NULL").withColumns({"owners": F.lit(None).cast("long"), "repos": F.lit(None).cast("long")}))
     live = (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)
     rows = rows.withColumn("live", live).withColumn("k", F.when((F.col("k") < len(BASE)) | F.col("live"), F.col("k")))
     span = F.when(F.col("k").isNotNull(), F.struct("start", "k", "end"))
