@@ -56,7 +56,7 @@ def q_k11(spark, sf):
     tr, _, oof, _ = status_zoo(spark, sf)
     models = list(BIN_W)
     scored = S.wide_scores(oof, models).join(tr.select("id", "y_bin"), "id")
-    best = S.dirichlet_search(scored, models, "y_bin", 500, 42)
+    best = S.dirichlet_search(scored, models, "y_bin", 10_000, 42)
     return best.select(F.col("wid").cast("long").alias("wid"), r6("accuracy", "accuracy"), *[r6(f"w_{m}", f"w_{m}") for m in models])
 
 

@@ -27,6 +27,7 @@ def score_candidates(scored: DataFrame, models: list[str], y: str, candidates: l
                      threshold: float = 0.5) -> DataFrame:
     """(wid, accuracy) of ``sum_m w_m p_m >= threshold`` against y (0/1) for every candidate; a row without a label or a score is an error."""
     w = np.asarray(candidates, float)
+    block = max(1, (1 << 20) // max(len(w), 1))
     cols = [F.col(f"p_{m}").cast("double").alias(f"p{i}") for i, m in enumerate(models)]
 
     def hits(batches):
@@ -37,11 +38,11 @@ def score_candidates(scored: DataFrame, models: list[str], y: str, candidates: l
                 raise ValueError("a row lacks its label or the score of a model")
             truth = np.asarray(b.column("_y"))
             p = [np.asarray(b.column(f"p{i}")) for i in range(len(models))]
-            for k in range(0, len(truth), 2048):
-                blend = np.zeros((len(truth[k : k + 2048]), len(w)))
+            for k in range(0, len(truth), block):
+                blend = np.zeros((len(truth[k : k + block]), len(w)))
                 for i, x in enumerate(p):  # the order of the sums is that of the models
-                    blend += x[k : k + 2048, None] * w[None, :, i]
-                total += ((blend >= threshold) == (truth[k : k + 2048, None] == 1)).sum(axis=0)
+                    blend += x[k : k + block, None] * w[None, :, i]
+                total += ((blend >= threshold) == (truth[k : k + block, None] == 1)).sum(axis=0)
             n += len(truth)
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(w), dtype=np.int32)), pa.array(total), pa.array(np.full(len(w), n))], ["wid", "hits", "n"])

@@ -121,7 +121,7 @@ UNION ALL SELECT 'refine', i / 100, j / 100, acc FROM b2"""
 
 def k11() -> str:
     rng = np.random.default_rng(42)
-    draws = [rng.dirichlet(np.ones(3)).tolist() for _ in range(500)]
+    draws = [rng.dirichlet(np.ones(3)).tolist() for _ in range(10_000)]
     vals = ", ".join(f"({k}, {w[0]!r}, {w[1]!r}, {w[2]!r})" for k, w in enumerate(draws))
     return bin_zoo() + "," + _scored(list(BIN_W)) + f""",
 wt(wid, w0, w1, w2) AS (VALUES {vals}),

@@ -225,3 +225,40 @@ def test_ridge_equals_a_local_version(data, classes):
     assert len(p) == classes * len(y) and np.allclose(p.groupby("id")["p"].sum(), 1)
     with pytest.raises(ValueError):
         ridge.fit(clean.limit(0), classes, [1.0])
+
+
+# ---- pyspark.ml factories ------------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def vectors(data):
+    from pyspark.ml.functions import array_to_vector
+    df, x, y, fold = data
+    clean = F.transform("x", lambda v: F.when(F.isnan(v) | (F.abs(v) == float("inf")), 0.0).otherwise(v))
+    return df.select("id", array_to_vector(clean).alias("features"), (F.col("y") > 0).cast("double").alias("label"), "fold").cache(), np.nan_to_num(x, nan=0.0), (y > 0).astype(float), fold
+
+
+def test_logistic_is_at_the_optimum(vectors):
+    from foldwise.operators import models as M
+    df, x, y, _ = vectors
+    n = len(y)
+    m = M.logistic(C=0.5, n=n, max_iter=200).setTol(1e-12).fit(df)
+    w, b = m.coefficients.toArray(), m.intercept
+    err = 1 / (1 + np.exp(-(x @ w + b))) - y
+    assert np.abs(x.T @ err / n + w / (0.5 * n)).max() < 1e-5 and abs(err.mean()) < 1e-5
+    # L1: the gradient of a zero weight stays within the penalty, that of another equals it
+    m = M.logistic(C=0.01, n=n, l1_ratio=1.0, max_iter=500).setTol(1e-12).fit(df)
+    w, b = m.coefficients.toArray(), m.intercept
+    g, penalty = x.T @ (1 / (1 + np.exp(-(x @ w + b))) - y) / n, 1 / (0.01 * n)
+    assert (w == 0).any() and (np.abs(g[w == 0]) <= penalty + 1e-5).all() and np.allclose(g[w != 0], -np.sign(w[w != 0]) * penalty, atol=1e-4)
+
+
+@pytest.mark.parametrize("name", ["random_forest", "gbt", "mlp"])
+def test_ml_learners_beat_the_larger_class(vectors, name):
+    from foldwise.operators import models as M
+    from foldwise.plans.stack import oof_predict
+    df, x, y, fold = vectors
+    make = {"random_forest": lambda: M.random_forest(15, 6), "gbt": lambda: M.gbt(6, 3, 0.3), "mlp": lambda: M.mlp([x.shape[1], 6, 2], max_iter=40)}[name]
+    oof, tst = oof_predict(df, df.limit(10).drop("label", "fold"), make, name, test_mode="refit")
+    rows = oof.toPandas().sort_values(["id", "class"])
+    assert len(rows) == 2 * len(y) and np.allclose(rows.groupby("id")["p"].sum(), 1) and tst.count() == 20
+    assert ((rows["p"].to_numpy().reshape(-1, 2)[:, 1] >= 0.5) == y).mean() > max(y.mean(), 1 - y.mean()) + 0.1
