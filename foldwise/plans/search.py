@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.operators.rank import best_by
+from foldwise.session import stage_spread
 
 
 def wide_scores(pred: DataFrame, models: list[str], cls: int = 1, id_col: str = "id") -> DataFrame:
@@ -39,16 +40,18 @@ def score_candidates(scored: DataFrame, models: list[str], y: str, candidates: l
             truth = np.asarray(b.column("_y"))
             p = [np.asarray(b.column(f"p{i}")) for i in range(len(models))]
             for k in range(0, len(truth), block):
-                blend = np.zeros((len(truth[k : k + block]), len(w)))
+                y1 = truth[k : k + block] == 1
+                blend, part = np.zeros((2, len(y1), len(w)))
                 for i, x in enumerate(p):  # the order of the sums is that of the models
-                    blend += x[k : k + block, None] * w[None, :, i]
-                total += ((blend >= threshold) == (truth[k : k + block, None] == 1)).sum(axis=0)
+                    blend += np.multiply(x[k : k + block, None], w[None, :, i], out=part)
+                above = blend >= threshold
+                total += above[y1].sum(axis=0) + (~y1).sum() - above[~y1].sum(axis=0)
             n += len(truth)
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(w), dtype=np.int32)), pa.array(total), pa.array(np.full(len(w), n))], ["wid", "hits", "n"])
 
     rows = scored.select(F.col(y).cast("double").alias("_y"), *cols)
-    return rows.mapInArrow(hits, "wid int, hits long, n long").groupBy("wid").agg((F.sum("hits") / F.sum("n")).alias("accuracy"))
+    return stage_spread(rows).mapInArrow(hits, "wid int, hits long, n long").groupBy("wid").agg((F.sum("hits") / F.sum("n")).alias("accuracy"))
 
 
 def grid_2d(step_den: int = 20, lo=(0, 0), hi=None, total: int | None = None) -> list[tuple[int, int]]:
