@@ -1,36 +1,32 @@
-"""Exact k-nearest-neighbour scoring without an all-pairs join.
-
-1. P pivots (P ~ sqrt(n): a broadcast that grows with the root of the table) are the first reference
-   points in hash order; distances to them are taken in blocks of bounded size; every reference point joins the cell of its nearest pivot.
-   Per cell and fold: point count, and per cell the radius (max distance to the pivot).
-2. For each query (with the folds it leaves out, one at a time) a vectorised pandas step
-   computes its pivot distances and an upper bound U on its k-th neighbour distance:
-   the nearest cells holding >= k usable points, U = max(d(q, pivot) + radius) over them
-   (triangle inequality).  Candidate cells are those with d(q, pivot) - radius <= U.
-3. Query x candidate-cell rows are equi-joined with the reference points of the cell,
-   exact distances computed, rows beyond U dropped, and the k nearest kept per query
-   (``row_number() <= k``; Spark inserts a partial group limit before the shuffle).
-
-Only pairs that can be among the k nearest are ever formed, and the answer equals the
-brute-force one (ties: distance rounded to 1e-9, then reference id).
+"""k-nearest-neighbour scoring in blocks (M11, J5), exact and by random projections.
+
+Both sides are written as blocks of some thousand vectors.  A task holds a block of queries and goes through blocks of reference
+points: all distances of a pair of blocks come from one matrix product, with a proven bound of its rounding error.  Pairs that may be among the
+k nearest found so far get their exact distance, summed dimension by dimension, and only k rows per query (and left-out fold) leave the task.
+So neither pairs nor vectors are shuffled, and memory is that of two blocks and k rows per query, however many rows there are.  The
+work is that of all pairs (exact neighbours of vectors in many dimensions have no shorter way), at some nanoseconds a pair.
+
+The answer equals the brute-force one (ties: distance rounded to 1e-9, then reference id).
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldwise.session import cut_lineage, stage
+from foldwise.session import cut_lineage, discard, stage
 
-
-def _dist(x: Column, y: Column) -> Column:
-    return F.sqrt(F.aggregate(F.zip_with(x, y, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
+QUERIES, POINTS = 2048, 8192  # rows of a block
+HELD = 64 << 20  # bytes of reference blocks that a task goes through
 
 
 def _round9(c: Column) -> Column:
@@ -51,58 +47,212 @@ def _stack(column) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(float)
 
 
+def _vectors(column) -> np.ndarray:
+    """An array column without nulls as a matrix."""
+    if column.null_count or not len(column):
+        if len(column):
+            raise ValueError("a row has no vector")
+        return np.zeros((0, 0))
+    flat = column.flatten()
+    if flat.null_count:
+        raise ValueError("a vector has a component that is null")
+    return flat.to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
+
+
+def _blocks(rows: DataFrame, size: int, parts: int) -> DataFrame:
+    """(block, rows): blocks of up to ``size`` rows as Arrow messages, written once, ``parts`` files."""
+    def pack(batches):
+        held, n, made = [], 0, 0
+        first = TaskContext.get().partitionId() << 32
+
+        def done():
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema) as out:
+                out.write_table(pa.Table.from_batches(held).combine_chunks())
+            return pa.RecordBatch.from_arrays([pa.array([first + made]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "rows"])
+
+        for b in batches:
+            while len(b):
+                part = b.slice(0, size - n)
+                b = b.slice(len(part))
+                held.append(part)
+                n += len(part)
+                if n == size:
+                    yield done()
+                    held, n, made = [], 0, made + 1
+        if n:
+            yield done()
+
+    return stage(rows.repartition(parts).mapInArrow(pack, "block long, rows binary"))
+
+
+def _opened(message) -> pa.RecordBatch:
+    return pa.ipc.open_stream(message.as_buffer()).read_all().combine_chunks().to_batches()[0]
+
+
+def _rank_in(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by the keys, the last one first, and each ordered row's rank among those of equal keys but the first two (rounded distance, id)."""
+    order = np.lexsort(keys)
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.any([np.diff(key[order]) != 0 for key in keys[2:]], axis=0)
+    starts = np.flatnonzero(new)
+    return order, np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
+
+
+class _Nearest:
+    """The k nearest found so far of a block of queries, for each of their groups of reference points."""
+
+    def __init__(self, queries: pa.RecordBatch, k: int, distinct: bool):
+        self.q, self.k, self.distinct = queries, k, distinct
+        self.x = _vectors(queries.column("x"))
+        self.norm = (self.x**2).sum(axis=1)
+        self.reach = np.full(len(self.x), np.inf)  # no pair beyond it is among the k nearest
+        none = np.zeros(0, np.int64)
+        self.i, self.group, self.near, self.tid, self.d, self.at = none, none, none, none, np.zeros(0), none
+
+    def meet(self, r: "_Points", usable, groups, reach) -> None:
+        """Compares with a block of points.  ``usable(i, j)``: pairs that count; ``groups(i, j)``: the group of a pair; ``reach(self)``: the distance, in
+        steps of 1e-9, up to which a point may still be among a query's nearest."""
+        product = self.x @ r.x.T
+        about = self.norm[:, None] + r.norm[None, :] - 2 * product
+        slack = 8 * (self.x.shape[1] + 8) * np.finfo(float).eps * (np.sqrt(self.norm) + math.sqrt(r.norm.max(initial=0))) ** 2
+        far = ((self.reach + 2) * 1e-9) ** 2 * (1 + 1e-9) + slack
+        if np.isinf(far).any():
+            far = np.minimum(far, self._first(about, r, usable) + 2 * slack)
+        i, j = np.nonzero(~(about > far[:, None]))
+        for part in range(0, len(i), 1 << 20):  # equal vectors may all be near
+            self._add(r, i[part : part + (1 << 20)], j[part : part + (1 << 20)], usable, groups)
+        self.reach = reach(self)
+
+    def _first(self, about: np.ndarray, r: "_Points", usable) -> np.ndarray:
+        """A bound of the squared distance that holds the k nearest of every group, from one block."""
+        out = np.full(len(about), np.inf)
+        for rows in range(0, len(about), 256):
+            some = about[rows : rows + 256]
+            i, j = np.indices(some.shape)
+            ok = usable(i.ravel() + rows, j.ravel()).reshape(some.shape)
+            ends = [np.where(ok, some, np.inf)] if r.fold is None or not self.several else [np.where(ok & (r.fold != f)[None, :], some, np.inf) for f in np.unique(r.fold)]
+            ends = [np.sqrt(np.maximum(np.partition(e, self.k - 1, axis=1)[:, self.k - 1], 0)) if e.shape[1] >= self.k else np.full(len(e), np.inf) for e in ends]
+            out[rows : rows + 256] = (np.max(ends, axis=0) + 2e-9) ** 2 * (1 + 1e-9)
+        return out
+
+    several = False
+
+    def _add(self, r: "_Points", i, j, usable, groups) -> None:
+        ok = usable(i, j)
+        i, j = i[ok], j[ok]
+        if not len(i):
+            return
+        total = np.zeros(len(i))
+        for c in range(self.x.shape[1]):  # dimension by dimension, as a sum over the arrays adds up
+            total += (self.x[i, c] - r.x[j, c]) ** 2
+        known = ~np.isnan(total)
+        i, j, d = i[known], j[known], np.sqrt(total[known])
+        at = r.first + j
+        i, group, near, tid, d, at = (np.concatenate(x) for x in ((self.i, i), (self.group, groups(i, j)), (self.near, np.floor(d * 1e9 + 0.5)), (self.tid, r.tid[j]), (self.d, d), (self.at, at)))
+        if self.distinct:  # equal pairs count once, with their least distance
+            order = np.lexsort((d, tid, i))
+            same = np.zeros(len(order), bool)
+            same[1:] = (np.diff(i[order]) == 0) & (np.diff(tid[order]) == 0)
+            keep = order[~same]
+            i, group, near, tid, d, at = (x[keep] for x in (i, group, near, tid, d, at))
+        order, rank = _rank_in(tid, near, group, i)
+        keep = order[rank < self.k]
+        self.i, self.group, self.near, self.tid, self.d, self.at = (x[keep] for x in (i, group, near, tid, d, at))
+
+
+class _Points:
+    """A block of reference points; ``first`` is the number of points that the task has seen before."""
+
+    def __init__(self, rows: pa.RecordBatch, first: int):
+        self.rows, self.first = rows, first
+        self.x = _vectors(rows.column("x"))
+        self.norm = (self.x**2).sum(axis=1)
+        self.tid = np.asarray(rows.column("tid").cast(pa.int64()).fill_null(np.iinfo(np.int64).min))  # nulls first, as the order of Spark has it
+        self.fold = np.asarray(rows.column("fold")) if "fold" in rows.schema.names else None
+
+
+def _searched(ref: DataFrame, queries: DataFrame, k: int, rules, out: str, finish, distinct: bool = False) -> DataFrame:
+    """The rows that ``finish(nearest, all points of the task)`` gives for each block of queries and each task's share of reference blocks.
+
+    ``rules(nearest, points)`` -> (usable, groups, reach) of a pair of blocks."""
+    cores = ref.sparkSession.sparkContext.defaultParallelism
+    n = ref.count()
+    d = ref.select(F.size("x").alias("d")).first()
+    width = 8 * max(1, d["d"] if d else 1) + 64
+    points = _blocks(ref, POINTS, max(1, min(n // POINTS, n * width // HELD)))
+    asked = queries.count()
+    asks = _blocks(queries, QUERIES, max(1, min(-(-asked // QUERIES), max(2 * cores, asked * width // HELD))))
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        block, near, seen, kept = None, None, [], 0
+        for b in batches:
+            for q, message, r in zip(b.column("block").to_pylist(), b.column("rows"), b.column("points"), strict=True):
+                if q != block:
+                    if near is not None:
+                        yield finish(near, seen)
+                    block, near, seen, kept = q, _Nearest(_opened(message), k, distinct), [], 0
+                points = _Points(_opened(r), kept)
+                seen.append(points.rows.drop_columns([c for c in ("x", "h") if c in points.rows.schema.names]))
+                kept += len(points.tid)
+                near.meet(points, *rules(near, points))
+        if near is not None:
+            yield finish(near, seen)
+
+    found = asks.crossJoin(points.select(F.col("rows").alias("points"))).mapInArrow(run, out)
+    result = stage(found)
+    discard(points)
+    discard(asks)
+    return result
+
+
 def knn_neighbours(ref: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """ref: (tid, fold, label, x); queries: (part, qid, excl array<int>, x), ``excl`` the folds that are left out one at a time.  Returns
     (part, qid, excl_fold, tid, label, d) for the k nearest reference points with ``fold != excl_fold``; ``part`` tells train from
     test ids, which may be equal.  A query with several left-out folds is compared once: the k nearest of every fold answer all."""
-    n = ref.count()
-    P = max(1, int(math.sqrt(n)))
-    pivots = np.array([r["x"] for r in ref.orderBy(F.md5(F.col("tid").cast("string")), "tid").limit(P).select("x").collect()], dtype=float)
-    shared = ref.sparkSession.sparkContext.broadcast(pivots)
-
-    def nearest(batches):
-        for pdf in batches:
-            if len(pdf):
-                parts = [(d.argmin(axis=1), d.min(axis=1)) for _, d in pivot_distances(_stack(pdf["x"]), shared.value)]
-                yield pdf.assign(cell=np.concatenate([c for c, _ in parts]).astype(np.int32), dcell=np.concatenate([d for _, d in parts]))
+    ref = ref.select("tid", F.col("fold").cast("int").alias("fold"), "label", "x").filter("fold IS NOT NULL")
+    queries = queries.select("part", "qid", F.col("excl").cast("array<int>").alias("excl"), "x").filter("size(excl) > 0")
+
+    def rules(near: _Nearest, points: _Points):
+        if not hasattr(near, "one"):
+            sizes = np.asarray(near.q.column("excl").value_lengths())
+            flat = np.asarray(near.q.column("excl").flatten())
+            first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            near.one = np.where(sizes == 1, flat[first], np.iinfo(np.int32).min)  # the fold that a query leaves out, if it is one
+            near.excl = [(np.repeat(np.arange(len(sizes)), sizes)[flat == f], f) for f in np.unique(flat)]
+            near.many = sizes > 1
+            near.several = bool(near.many.any())
+
+        def usable(i, j):
+            return near.many[i] | (points.fold[j] != near.one[i])
+
+        def groups(i, j):
+            return np.where(near.many[i], points.fold[j].astype(np.int64), np.iinfo(np.int64).min)
+
+        def reach(near):
+            out = np.full(len(near.x), -1.0)
+            for who, f in near.excl:  # a query reaches as far as one of its left-out folds asks for
+                at = np.flatnonzero(near.group != f)
+                order, rank = _rank_in(near.tid[at], near.near[at], near.i[at])
+                last = at[order[rank == k - 1]]
+                kth = np.full(len(near.x), np.inf)
+                kth[near.i[last]] = near.near[last]
+                out[who] = np.maximum(out[who], kth[who])
+            return out
+
+        return usable, groups, reach
 
     label = ref.schema["label"].dataType.simpleString()
-    ref_c = stage(ref.select("tid", "fold", "label", "x").mapInPandas(nearest, f"tid long, fold int, label {label}, x array<double>, cell int, dcell double"))
-    P = len(pivots)
-    stats = ref_c.groupBy("cell", "fold").agg(F.count(F.lit(1)).alias("n"), F.max("dcell").alias("r")).collect()  # cells x folds rows
-    folds = sorted({r["fold"] for r in stats})
-    cnt = np.zeros((P, len(folds)), dtype=np.int64)
-    rad = np.zeros(P)
-    for r in stats:
-        cnt[r["cell"], folds.index(r["fold"])] = r["n"]
-        rad[r["cell"]] = max(rad[r["cell"]], r["r"])
-    tot = cnt.sum(axis=1)
-    fold_pos = {f: i for i, f in enumerate(folds)}
-
-    def bounds(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            cands, ub = [], []
-            for a, dq in pivot_distances(_stack(pdf["x"]), shared.value):
-                for i in range(len(dq)):
-                    order = np.argsort(dq[i], kind="stable")
-                    far = np.maximum.accumulate(dq[i, order] + rad[order])
-                    u = 0.0
-                    for e in pdf["excl"].iat[a + i]:
-                        cum = np.cumsum((tot - (cnt[:, fold_pos[e]] if e in fold_pos else 0))[order])
-                        u = max(u, np.inf if cum[-1] < k else far[np.searchsorted(cum, k)] * (1 + 1e-9) + 1e-12)
-                    cands.append(np.nonzero(dq[i] - rad <= u * (1 + 1e-9) + 1e-12)[0].astype(np.int32))
-                    ub.append(u)
-            yield pd.DataFrame({"part": pdf["part"].to_numpy(), "qid": pdf["qid"].to_numpy(), "excl": pdf["excl"], "u": np.array(ub, dtype=float), "cells": cands, "qx": pdf["x"]})
-
-    # the query vector travels with its bound, so the candidate pairs need one equi-join only
-    qb = queries.select("part", "qid", "excl", "x").mapInPandas(bounds, "part string, qid long, excl array<int>, u double, cells array<int>, qx array<double>")
-    qc = qb.select("part", "qid", "excl", "u", "qx", F.explode("cells").alias("cell"))
-    pairs = (qc.join(ref_c.select("cell", "tid", "fold", "label", "x"), "cell")
-             .filter((F.size("excl") > 1) | (F.col("fold") != F.col("excl")[0]))
-             .withColumn("d", _dist(F.col("qx"), F.col("x")))
-             .filter(F.col("d") <= F.col("u")))
+    names = ["part", "qid", "excl", "fold", "tid", "label", "d"]
+
+    def finish(near: _Nearest, seen: list) -> pa.RecordBatch:
+        points, i, at = pa.Table.from_batches(seen).combine_chunks(), pa.array(near.i), pa.array(near.at)
+        cols = [near.q.column(c).take(i) for c in names[:3]] + [points.column(c).take(at).combine_chunks() for c in names[3:6]]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(near.d)], names)
+
+    kind = lambda df, c: df.schema[c].dataType.simpleString()
+    pairs = _searched(ref, queries, k, rules, f"part string, qid {kind(queries, 'qid')}, excl array<int>, fold int, tid {kind(ref, 'tid')}, label {label}, d double", finish)
     near = [_round9(F.col("d")), F.col("tid")]
     each = Window.partitionBy("part", "qid", "fold").orderBy(*near)
     best = pairs.withColumn("_rn", F.row_number().over(each)).filter(F.col("_rn") <= k).select("part", "qid", "fold", "tid", "label", "d", F.explode("excl").alias("excl_fold")).filter("fold <> excl_fold")
@@ -135,16 +285,43 @@ def exact_sample(ref: DataFrame, queries: DataFrame, k: int, sample: int = 64) -
 def lsh_neighbours(ref: DataFrame, queries: DataFrame, k: int, tables: int = 6, bucket: float = 1.0, seed: int = 7) -> tuple[DataFrame, DataFrame]:
     """Approximate J5 by random projections: a query meets the reference points of its own and both adjoining buckets of each table.
 
-    ref: tid, x; queries: qid, x.  Returns the k nearest candidates (qid, tid, d) that aren't the query itself, and all candidates
-    (qid, tid); no task holds more than its part of a join, whatever the number of rows."""
+    ref: tid, x; queries: qid, x.  Returns the k nearest candidates (qid, tid, d) that aren't the query itself, compared block by block, and all
+    candidates (qid, tid), which are formed only where they are read (``tune_lsh`` reads those of a few queries)."""
     fitted = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket, numHashTables=tables, seed=seed).fit(ref.select(array_to_vector("x").alias("v")))
-    hashed = lambda df, key: fitted.transform(df.select(key, "x", array_to_vector("x").alias("v"))).select(key, "x", F.transform("h", lambda v: vector_to_array(v)[0].cast("long")).alias("h"))
-    r = hashed(ref, "tid").select("tid", F.col("x").alias("rx"), F.posexplode("h").alias("t", "b"))
-    q = hashed(queries, "qid").select("qid", F.col("x").alias("qx"), F.posexplode("h").alias("t", "b")).withColumn("b", F.explode(F.array(F.col("b") - 1, F.col("b"), F.col("b") + 1)))
-    met = q.join(r, ["t", "b"]).filter("qid <> tid").select("qid", "tid", _dist(F.col("qx"), F.col("rx")).alias("d"))
-    met = met.groupBy("qid", "tid").agg(F.min("d").alias("d"))  # a pair that meets in several tables
+    hashed = lambda df, key: fitted.transform(df.select(key, "x", array_to_vector("x").alias("v"))).select(key, "x", F.transform("h", lambda v: vector_to_array(v)[0]).alias("h")).filter(F.col(key).isNotNull())
+    r, q = hashed(ref, "tid"), hashed(queries, "qid")
+
+    def rules(near: _Nearest, points: _Points):
+        if not hasattr(near, "h"):
+            near.h, near.qid = _vectors(near.q.column("h")), np.asarray(near.q.column("qid").cast(pa.int64()))
+        h = _vectors(points.rows.column("h"))
+
+        def usable(i, j):
+            met = np.zeros(len(i), bool)
+            for t in range(tables):
+                met |= np.abs(near.h[i, t] - h[j, t]) <= 1
+            return met & (near.qid[i] != points.tid[j])
+
+        def reach(near):
+            order, rank = _rank_in(near.tid, near.near, near.i)
+            last = order[rank == k - 1]
+            kth = np.full(len(near.x), np.inf)
+            kth[near.i[last]] = near.near[last]
+            return kth
+
+        return usable, lambda i, j: np.zeros(len(i), np.int64), reach
+
+    def finish(near: _Nearest, seen: list) -> pa.RecordBatch:
+        points = pa.Table.from_batches(seen).combine_chunks()
+        return pa.RecordBatch.from_arrays([near.q.column("qid").take(pa.array(near.i)), points.column("tid").take(pa.array(near.at)).combine_chunks(), pa.array(near.d)], ["qid", "tid", "d"])
+
+    kind = lambda df, c: df.schema[c].dataType.simpleString()
+    found = _searched(r, q, k, rules, f"qid {kind(q, 'qid')}, tid {kind(r, 'tid')}, d double", finish, distinct=True)
+    found = found.groupBy("qid", "tid").agg(F.min("d").alias("d"))  # rows of equal ids
     w = Window.partitionBy("qid").orderBy(_round9(F.col("d")), "tid")
-    return met.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).select("qid", "tid", "d"), met.select("qid", "tid")
+    close = F.exists(F.zip_with("h", "g", lambda a, b: F.abs(a - b) <= 1), lambda x: x)
+    met = r.select("tid", "h").crossJoin(q.select("qid", F.col("h").alias("g"))).filter((F.col("qid") != F.col("tid")) & close).select("qid", "tid").distinct()
+    return found.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).select("qid", "tid", "d"), met
 
 
 def tune_lsh(ref: DataFrame, queries: DataFrame, k: int, target: float = 0.9, tables: int = 6, sample: int = 64, start: float = 0.25, most: int = 8) -> tuple[float, float, float]:
