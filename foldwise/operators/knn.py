@@ -132,6 +132,8 @@ class _Nearest:
             some = about[rows : rows + 256]
             i, j = np.indices(some.shape)
             ok = usable(i.ravel() + rows, j.ravel()).reshape(some.shape)
+            if self.distinct:  # k different ids: one row of each will do
+                ok &= r.lone[None, :]
             ends = [np.where(ok, some, np.inf)] if r.fold is None or not self.several else [np.where(ok & (r.fold != f)[None, :], some, np.inf) for f in np.unique(r.fold)]
             ends = [np.sqrt(np.maximum(np.partition(e, self.k - 1, axis=1)[:, self.k - 1], 0)) if e.shape[1] >= self.k else np.full(len(e), np.inf) for e in ends]
             out[rows : rows + 256] = (np.max(ends, axis=0) + 2e-9) ** 2 * (1 + 1e-9)
@@ -170,6 +172,8 @@ class _Points:
         self.x = _vectors(rows.column("x"))
         self.norm = (self.x**2).sum(axis=1)
         self.tid = np.asarray(rows.column("tid").cast(pa.int64()).fill_null(np.iinfo(np.int64).min))  # nulls first, as the order of Spark has it
+        self.lone = np.zeros(len(self.tid), bool)
+        self.lone[np.unique(self.tid, return_index=True)[1]] = True
         self.fold = np.asarray(rows.column("fold")) if "fold" in rows.schema.names else None
 
 
@@ -255,7 +259,7 @@ def knn_neighbours(ref: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     pairs = _searched(ref, queries, k, rules, f"part string, qid {kind(queries, 'qid')}, excl array<int>, fold int, tid {kind(ref, 'tid')}, label {label}, d double", finish)
     near = [_round9(F.col("d")), F.col("tid")]
     each = Window.partitionBy("part", "qid", "fold").orderBy(*near)
-    best = pairs.withColumn("_rn", F.row_number().over(each)).filter(F.col("_rn") <= k).select("part", "qid", "fold", "tid", "label", "d", F.explode("excl").alias("excl_fold")).filter("fold <> excl_fold")
+    best = pairs.withColumn("_rn", F.row_number().over(each)).filter((F.size("excl") == 1) | (F.col("_rn") <= k)).select("part", "qid", "fold", "tid", "label", "d", F.explode("excl").alias("excl_fold")).filter("fold <> excl_fold")
     whole = Window.partitionBy("part", "qid", "excl_fold").orderBy(*near)
     return best.withColumn("_rn", F.row_number().over(whole)).filter(F.col("_rn") <= k).select("part", "qid", "excl_fold", "tid", "label", "d")
 

@@ -57,6 +57,15 @@ def test_lsh_candidates_are_compared_in_blocks(spark, monkeypatch):
             assert {r["tid"] for r in rows if r["qid"] == i} == {t for _, t in mine[:6]}
 
 
+def test_lsh_finds_k_ids_beside_rows_that_come_twice(spark):
+    x = np.random.default_rng(8).normal(size=(60, 3))
+    v = spark.createDataFrame([(i, [float(t) for t in x[i]]) for i in range(60) for _ in range(1 + (i % 2))], "id long, x array<double>").repartition(1)
+    found, _ = knn.lsh_neighbours(v.select(F.col("id").alias("tid"), "x"), v.select(F.col("id").alias("qid"), "x"), 4, bucket=50.0)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    assert {(r["qid"], r["tid"]) for r in found.collect()} == {(i, int(j)) for i in range(60) for j in np.argsort(d[i])[:4]}
+
+
 # ---- feature maps of the SVM ---------------------------------------------------------------------------
 
 def test_feature_maps_are_applied_in_the_tasks(spark):
@@ -103,3 +112,104 @@ def test_mapped_features_are_never_written(spark, monkeypatch):
     oof, _ = stack.platt_svm_oof(rows, None, "svc", expand=stack.poly3)
     assert oof.count() == 480
     assert widths and set(widths) == {3}
+
+
+# ---- trees and boosters --------------------------------------------------------------------------------
+
+def batches_of(x, y, fold, size, **more):
+    import pyarrow as pa
+    for a in range(0, len(x), size):
+        cols = {"x": pa.array(x[a : a + size].tolist(), pa.list_(pa.float64())), "y": pa.array(y[a : a + size]), "fold": pa.array(fold[a : a + size])}
+        yield pa.RecordBatch.from_pydict(cols | {k: v[a : a + size] for k, v in more.items()})
+
+
+def test_a_task_sends_one_row_per_node(spark):
+    from foldwise.operators import extra_trees
+
+    rng = np.random.default_rng(2)
+    x, y, fold = rng.normal(size=(400, 3)), rng.integers(0, 2, 400).astype(np.int32), rng.integers(0, 2, 400).astype(np.int32)
+    tree = extra_trees.Tree(np.array([200, 200]))
+    nodes = tree.split(np.zeros(1, int), np.array([0]), np.array([0.1]), np.array([[100, 100]]))
+    place = np.full(3, -1, np.int32)
+    place[nodes] = [0, 1]
+    feats = np.array([[1, 2], [2, -1]])
+    plan = {(0, 0): (*tree.arrays(), place, feats, nodes, 2)}
+    run = extra_trees._spans(type("Shared", (), {"value": plan}), [None], 2)
+    many = [b for b in run(batches_of(x, y, fold, 10))]
+    rows = {n: (lo, hi) for b in many for n, lo, hi in zip(*(b.column(c).to_pylist() for c in ("node", "lo0", "hi0")), strict=True)}
+    assert sum(len(b) for b in many) == 2 and set(rows) == {1, 2}
+    left = x[:, 0] <= 0.1
+    assert rows == {1: (x[left, 1].min(), x[left, 1].max()), 2: (x[~left, 2].min(), x[~left, 2].max())}
+
+
+def test_a_task_adds_up_its_histograms(spark, monkeypatch):
+    from foldwise.operators import boost
+
+    made = []
+    real = boost.Histograms.packs
+    monkeypatch.setattr(boost.Histograms, "packs", lambda self: made.append(len(self.nodes)) or real(self))
+    rng = np.random.default_rng(7)
+    bins, node = rng.integers(0, 5, size=(90, 2)).astype(np.uint8), rng.integers(0, 4, 90)
+    g, h = rng.integers(-9, 9, 90).astype(float), rng.integers(1, 9, 90).astype(float)
+    sums = boost.Histograms([3, 1], 4, 2, 5)
+    for a in range(0, 90, 7):
+        sums.add(node[a : a + 7], bins[a : a + 7], g[a : a + 7], h[a : a + 7])
+    got = {n: np.frombuffer(s, np.int64).reshape(2, 5, 3) for n, s in sums.packs()}
+    assert set(got) == {1, 3} and made == [2]
+    for n, s in got.items():
+        for j in range(2):
+            for v in range(5):
+                r = (node == n) & (bins[:, j] == v)
+                assert s[j, v].tolist() == [g[r].sum(), h[r].sum(), r.sum()]
+
+
+# ---- passes of scalers, seeds and searches -------------------------------------------------------------
+
+def test_yeo_johnson_takes_one_pass_for_all_columns(spark, monkeypatch):
+    from foldwise.operators import scale
+
+    rng = np.random.default_rng(11)
+    x = np.stack([np.exp(rng.normal(size=400)), -np.exp(rng.normal(size=400)), rng.normal(size=400)], axis=1)
+    df = spark.createDataFrame([tuple(float(v) for v in r) for r in x] + [(None, None, None)], "a double, b double, c double").repartition(3)
+    passes, real = [], scale._yj_grid_best
+    monkeypatch.setattr(scale, "_yj_grid_best", lambda train, grids: passes.append(set(grids)) or real(train, grids))
+    fit = scale.fit_yeo_johnson(df, ["a", "b", "c"])
+    assert passes[0] == passes[-1] == {"a", "b", "c"} and len(passes) <= 4
+    for j, c in enumerate("abc"):
+        def value(lam, v=x[:, j]):
+            up = v >= 0
+            y = np.where(up, ((np.abs(v) + 1) ** lam - 1) / lam if lam else np.log1p(np.abs(v)), -((np.abs(v) + 1) ** (2 - lam) - 1) / (2 - lam) if lam != 2 else -np.log1p(np.abs(v)))
+            return -200 * np.log(y.var()) + (lam - 1) * (np.sign(v) * np.log1p(np.abs(v))).sum()
+        assert value(fit[c][0]) >= max(value(round(fit[c][0] + s, 6)) for s in (-0.01, 0.01)) - 1e-9
+
+
+def test_wide_scores_take_one_exchange(spark):
+    from foldwise.plans import search
+
+    pred = spark.createDataFrame([(i, m, c, i + 0.1 * c) for i in range(20) for m in ("a", "b") if (i, m) != (3, "b") for c in (0, 1)], "id long, model string, class int, p double")
+    wide = search.wide_scores(pred, ["a", "b"])
+    assert plan_of(wide).split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+    assert {r["id"]: (r["p_a"], r["p_b"]) for r in wide.collect()} == {i: (i + 0.1, None if i == 3 else i + 0.1) for i in range(20)}
+
+
+def test_fits_of_several_models_share_their_folds(spark):
+    from foldwise.plans import seeds
+
+    rng = np.random.default_rng(1)
+    train = spark.createDataFrame([(i, int(rng.integers(0, 2)), float(rng.normal()), None if i % 9 == 0 else "uvw"[i % 3]) for i in range(150)], "id long, y int, n double, v string")
+    folds = seeds.seeded_folds(train.select("id", "y"), "id", "y", 5, [1, 2]).cache()
+    shared, _ = seeds.fit(train, ["n"], "v", 2, [1, 2], folds=folds)
+    own, _ = seeds.fit(train, ["n"], "v", 2, [1, 2])
+    a, b = (seeds.test_probabilities(s, train, "m").orderBy("seed", "id", "class").toPandas() for s in (shared, own))
+    assert len(a) == 600 and np.allclose(a["p"], b["p"], atol=1e-12)
+
+
+def test_naive_bayes_scores_leave_the_tasks_as_one_row(spark):
+    from foldwise.operators.bayes import naive_bayes_oof
+
+    df = spark.createDataFrame([(None if i == 5 else i, i % 2, i % 3, float(i % 7)) for i in range(60)], "id long, fold int, y long, x double")
+    oof, tst, _ = naive_bayes_oof(df, df, ["x"])
+    assert "MapInArrow" in plan_of(oof) and oof.columns == ["id", "model", "fold", "class", "p"] and tst.columns == ["id", "model", "class", "p"]
+    rows = oof.collect()
+    assert len(rows) == 180 and sum(r["id"] is None for r in rows) == 3
+    assert all(abs(s - 1) < 1e-12 for s in oof.groupBy("id").agg(F.sum("p").alias("s")).toPandas()["s"])
