@@ -47,13 +47,16 @@ class Sweep:
     tables: list[dict]  # by seed: (fold, value) -> class shares outside the fold; (None, value) -> their mean over folds
     fits: list[NaiveBayesFit]
 
-    def inputs(self, x: np.ndarray, values, s: int, folds) -> np.ndarray:
-        """Features of rows for a seed: class shares of the value (by each row's fold, or the mean over folds) before the numbers."""
+    def inputs(self, x: np.ndarray, values: pa.DictionaryArray, s: int, folds: np.ndarray | None) -> np.ndarray:
+        """Features of rows for a seed: class shares of the value (by each row's fold, or the mean over folds: None) before the numbers."""
         if self.encoded is None:
             return x
         even = np.full(self.classes, 1.0 / self.classes)
-        t = self.tables[s]
-        return np.concatenate([np.array([t.get((f, v), even) for f, v in zip(folds, values, strict=True)]).reshape(len(x), self.classes), x], axis=1)
+        t, known = self.tables[s], [*values.dictionary.to_pylist(), None]
+        code = values.indices.fill_null(len(known) - 1).to_numpy(zero_copy_only=False)
+        every, fold = (np.array([None]), np.zeros(len(x), int)) if folds is None else np.unique(folds, return_inverse=True)
+        shares = np.array([[t.get((f, v), even) for v in known] for f in every.tolist()]).reshape(len(every), len(known), self.classes)
+        return np.concatenate([shares[fold, code], x], axis=1)
 
 
 def _arrow(df: DataFrame, features: list[str], encoded: str | None, *more: str) -> DataFrame:
@@ -61,12 +64,13 @@ def _arrow(df: DataFrame, features: list[str], encoded: str | None, *more: str)
     return df.select("id", F.array(*[F.col(c).cast("double") for c in features]).alias("x"), value.alias("v"), *more)
 
 
-def fit(train: DataFrame, features: list[str], encoded: str | None, classes: int, seeds: list[int], k: int = 5, var_smoothing: float = 1e-9) -> tuple[Sweep, DataFrame]:
-    """train: id, y (0 .. classes - 1), features without nulls, the encoded column.  Returns the fits and the staged rows with their folds.
+def fit(train: DataFrame, features: list[str], encoded: str | None, classes: int, seeds: list[int], k: int = 5, var_smoothing: float = 1e-9, folds: DataFrame | None = None) -> tuple[Sweep, DataFrame]:
+    """train: id, y (0 .. classes - 1), features without nulls, the encoded column.  Returns the fits and the staged rows with their folds;
+    several fits of the same rows and seeds may share the ``folds`` of ``seeded_folds``.
 
     The encoder's counts by (seed, value, fold) must fit the broadcast bound; a column with more values raises (fit it seed by seed)."""
     rows = _arrow(train, features, encoded, F.col("y").cast("int").alias("y"))
-    rows = stage(rows.join(seeded_folds(train.select("id", "y"), "id", "y", k, seeds), "id"))
+    rows = stage(rows.join(seeded_folds(train.select("id", "y"), "id", "y", k, seeds) if folds is None else folds, "id"))
     tables: list[dict] = [{} for _ in seeds]
     if encoded:
         counts = rows.filter("v IS NOT NULL").select("v", "y", F.posexplode("folds").alias("s", "f")).groupBy("s", "v", "f") \
@@ -92,10 +96,10 @@ def fit(train: DataFrame, features: list[str], encoded: str | None, classes: int
     shared = rows.sparkSession.sparkContext.broadcast(sweep)
 
     def sums(b):
-        m, x, y, v = shared.value, matrix(b), np.asarray(b.column("y")), b.column("v").to_pylist()
+        m, x, y, v = shared.value, matrix(b), np.asarray(b.column("y")), b.column("v").dictionary_encode()
         folds = b.column("folds").flatten().to_numpy().reshape(len(x), -1)
         for s in range(len(seeds)):
-            z = m.inputs(x, v, s, folds[:, s].tolist()) - shift
+            z = m.inputs(x, v, s, folds[:, s]) - shift
             cell = folds[:, s] * classes + y
             out = [np.bincount(cell, minlength=k * classes)]
             for part in (z, z * z):
@@ -123,11 +127,11 @@ def oof_accuracy(sweep: Sweep, rows: DataFrame) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(sweep)
 
     def hits(b):
-        m, x, y, v = shared.value, matrix(b), np.asarray(b.column("y")), b.column("v").to_pylist()
+        m, x, y, v = shared.value, matrix(b), np.asarray(b.column("y")), b.column("v").dictionary_encode()
         folds = b.column("folds").flatten().to_numpy().reshape(len(x), -1)
         out = np.zeros((len(m.seeds), 2))
         for s, nb in enumerate(m.fits):
-            z = m.inputs(x, v, s, folds[:, s].tolist())
+            z = m.inputs(x, v, s, folds[:, s])
             for f in np.unique(folds[:, s]):
                 at = folds[:, s] == f
                 pick = np.array(nb.classes)[nb._probs(z[at], int(f)).argmax(axis=1)]
@@ -144,11 +148,11 @@ def test_probabilities(sweep: Sweep, test: DataFrame, model: str) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            m, x, v, ids = shared.value, matrix(b), b.column("v").to_pylist(), np.asarray(b.column("id"))
+            m, x, v, ids = shared.value, matrix(b), b.column("v").dictionary_encode(), np.asarray(b.column("id"))
             for s, nb in enumerate(m.fits):
                 if not len(x):
                     continue
-                z = m.inputs(x, v, s, [None] * len(x))
+                z = m.inputs(x, v, s, None)
                 p = sum(nb._probs(z, f) for f in nb.folds) / len(nb.folds)
                 n, c = p.shape
                 cols = [np.full(n * c, m.seeds[s], np.int32), np.repeat(ids, c), np.full(n * c, model), np.tile(np.array(nb.classes, np.int32), n), p.ravel()]
