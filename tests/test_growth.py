@@ -204,12 +204,14 @@ def test_fits_of_several_models_share_their_folds(spark):
     assert len(a) == 600 and np.allclose(a["p"], b["p"], atol=1e-12)
 
 
-def test_naive_bayes_scores_leave_the_tasks_as_one_row(spark):
-    from foldwise.operators.bayes import naive_bayes_oof
-
-    df = spark.createDataFrame([(None if i == 5 else i, i % 2, i % 3, float(i % 7)) for i in range(60)], "id long, fold int, y long, x double")
-    oof, tst, _ = naive_bayes_oof(df, df, ["x"])
-    assert "MapInArrow" in plan_of(oof) and oof.columns == ["id", "model", "fold", "class", "p"] and tst.columns == ["id", "model", "class", "p"]
-    rows = oof.collect()
-    assert len(rows) == 180 and sum(r["id"] is None for r in rows) == 3
-    assert all(abs(s - 1) < 1e-12 for s in oof.groupBy("id").agg(F.sum("p").alias("s")).toPandas()["s"])
+def test_weight_hits_are_counted_in_small_blocks(spark):
+    from foldwise.plans import search
+
+    rng = np.random.default_rng(5)
+    p, y = rng.random((700, 2)), rng.integers(0, 2, 700)
+    rows = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(p, y, strict=True)], "p_a double, p_b double, y double").coalesce(1)
+    for n in (3, 3000):
+        w = rng.random((n, 2))
+        got = {r["wid"]: r["accuracy"] for r in search.score_candidates(rows, ["a", "b"], "y", w.tolist()).collect()}
+        want = (((0 + p[:, :1] * w[:, 0]) + p[:, 1:] * w[:, 1] >= 0.5) == (y == 1)[:, None]).mean(axis=0)
+        assert len(got) == n and all(abs(got[i] - want[i]) < 1e-12 for i in range(n))
