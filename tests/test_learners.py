@@ -262,3 +262,36 @@ def test_ml_learners_beat_the_larger_class(vectors, name):
     rows = oof.toPandas().sort_values(["id", "class"])
     assert len(rows) == 2 * len(y) and np.allclose(rows.groupby("id")["p"].sum(), 1) and tst.count() == 20
     assert ((rows["p"].to_numpy().reshape(-1, 2)[:, 1] >= 0.5) == y).mean() > max(y.mean(), 1 - y.mean()) + 0.1
+
+
+# ---- logistic regression -------------------------------------------------------------------------
+
+@pytest.mark.parametrize(("classes", "l1_ratio"), [(2, 0.0), (2, 1.0), (3, 0.0), (3, 0.5)])
+def test_logistic_fits_of_all_subsets_are_at_the_optimum(spark, data, classes, l1_ratio):
+    from foldwise.operators import logistic
+    df, x, y, fold = data
+    clean = F.transform("x", lambda v: F.when(F.isnan(v) | (F.abs(v) == float("inf")), 0.0).otherwise(v))
+    rows = df.select("id", clean.alias("x"), F.least("y", F.lit(classes - 1)).alias("y"), "fold").cache()
+    x, y, reg = np.nan_to_num(x, nan=0.0), np.minimum(y, classes - 1), 0.01
+    many = {(f, c): logistic.Problem(c * reg, {"fold": f}, l1_ratio) for f in range(3) for c in (1, 0.1)} | {"all": logistic.Problem(reg, l1_ratio=l1_ratio)}
+    m = logistic.fit(rows, classes, many)
+    assert m.passes < 20
+    for name, problem in many.items():
+        ok = fold != problem.without.get("fold", -1)
+        w = m.weights[name]
+        err = m.probabilities(x[ok], name) - np.eye(classes)[y[ok]]
+        err = err[:, 1:] if classes == 2 else err
+        g = err.T @ x[ok] / ok.sum() + problem.reg * (1 - l1_ratio) * w[:, :-1]
+        assert np.abs(err.mean(axis=0)).max() < 1e-8
+        l1, at = problem.reg * l1_ratio, w[:, :-1]
+        assert np.abs(np.where(at != 0, g + l1 * np.sign(at), 0)).max() < 1e-8 and (np.abs(g[at == 0]) <= l1 + 1e-8).all()
+    if l1_ratio == 1.0:
+        assert (m.weights["all"][:, :-1] == 0).any()
+    folds = [0, 1, 2]
+    null_id = rows.withColumn("id", F.when(F.col("id") != 3, F.col("id")))
+    oof, tst = logistic.oof(null_id, null_id.select("id", "x"), folds, classes, reg, "lr", l1_ratio)
+    assert oof.count() == tst.count() == classes * len(y) and oof.filter("id IS NULL").count() == classes
+    with pytest.raises(Exception, match="labels must be"):
+        logistic.fit(rows.withColumn("y", F.when(F.col("id") != 7, F.col("y"))), classes, many)
+    one = logistic.fit(rows.filter("y = 0"), classes, {"one": logistic.Problem(reg)})
+    assert np.allclose(one.probabilities(x[:3], "one"), [[1.0] + [0.0] * (classes - 1)] * 3)
