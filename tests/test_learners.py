@@ -295,3 +295,54 @@ def test_logistic_fits_of_all_subsets_are_at_the_optimum(spark, data, classes, l
         logistic.fit(rows.withColumn("y", F.when(F.col("id") != 7, F.col("y"))), classes, many)
     one = logistic.fit(rows.filter("y = 0"), classes, {"one": logistic.Problem(reg)})
     assert np.allclose(one.probabilities(x[:3], "one"), [[1.0] + [0.0] * (classes - 1)] * 3)
+
+
+# ---- random forest -------------------------------------------------------------------------------
+
+def test_forest_counts_and_splits_of_the_first_level(spark, data):
+    from foldwise.operators import random_forest as RF
+    df, x, y, fold = data
+    rows = df.withColumn("h", F.xxhash64("id", "x")).cache()
+    h = np.array([r[0] for r in rows.orderBy("id").select("h").collect()], np.int64).view(np.uint64)
+    s = RF.Settings(6, 4, weights=[1.0, 2.0, 0.5])
+    forest = RF.fit(rows, [0, 1, 2], 3, s)
+    some = RF.fit(rows.repartition(5), [0, 1, 2], 3, s, group_bytes=40_000)  # many passes a level, other partitions: the same trees
+    bins = RF.binned(x, forest.edges, s.max_bins)
+    w = np.array(s.weights)
+    for m, f in enumerate([0, 1, 2]):
+        ok = fold != f
+        for t, (tree, other) in enumerate(zip(forest.trees[f], some.trees[f], strict=True)):
+            assert (tree.left == other.left).all() and (tree.right == other.right).all() and (tree.counts == other.counts).all()
+            n = RF.copies(h, s.seed, m, t)[ok].astype(float)
+            assert abs(n.mean() - 1) < 0.12 and 0.3 < (n == 0).mean() < 0.44
+            leaf = tree.nodes(np.ascontiguousarray(bins[ok]).reshape(-1), np.arange(ok.sum()) * x.shape[1], 4)
+            inner = np.flatnonzero((tree.left != np.arange(len(tree.left))))
+            a, pred, is_leaf = tree.left[inner], (tree.counts * w).argmax(axis=1), tree.left == np.arange(len(tree.left))
+            assert not (is_leaf[a] & is_leaf[a + 1] & (pred[a] == pred[a + 1])).any()
+            for node in np.unique(leaf):
+                assert (np.bincount(y[ok][leaf == node], weights=n[leaf == node], minlength=3) == tree.counts[node]).all()
+            # the root's cut is the best of its candidates
+            gini = lambda c: ((c * w) ** 2).sum() / max((c * w).sum(), 1e-300)
+            count = lambda keep: np.bincount(y[ok][keep], weights=n[keep], minlength=3)
+            feats = np.argsort(RF.draw(s.seed, m, t, np.zeros(1), 7, 1)[0], kind="stable")[:3]
+            best = max(gini(count(bins[ok][:, j] <= c)) + gini(count(bins[ok][:, j] > c)) for j in feats for c in range(s.max_bins))
+            a, b = tree.counts[1], tree.counts[2]
+            assert gini(a) + gini(b) == pytest.approx(best)
+    null_id = rows.withColumn("id", F.when(F.col("id") != 3, F.col("id")))
+    oof, tst = RF.oof(null_id, null_id.select("id", "x"), [0, 1, 2], 3, "rf", RF.Settings(12, 6))
+    p = oof.join(rows.select("id", "y"), "id").toPandas().pivot_table(index=["id", "y"], columns="class", values="p")
+    assert tst.count() == 3 * len(y) and np.allclose(p.sum(axis=1), 1)
+    assert (p.to_numpy().argmax(axis=1) == p.index.get_level_values("y")).mean() > 0.7
+
+
+def test_forest_splits_nominal_features_by_sets(spark):
+    from foldwise.operators import random_forest as RF
+    rng = np.random.default_rng(3)
+    c = rng.integers(0, 9, 3000)
+    y = np.isin(c, [1, 4, 6]).astype(int)
+    df = spark.createDataFrame([(i, [float(c[i])], int(y[i]), i % 2) for i in range(3000)], "id long, x array<double>, y int, fold int")
+    forest = RF.fit(df, [0, 1], 2, RF.Settings(3, 1, nominal={0: 10}))
+    assert all(len(t.left) == 3 for ts in forest.trees.values() for t in ts)
+    assert (forest.probabilities(c[:, None].astype(float), 0).argmax(axis=1) == y).all()
+    with pytest.raises(ValueError):
+        RF.fit(df.withColumn("y", F.when(F.col("id") != 7, F.col("y"))), [0, 1], 2)
