@@ -291,6 +291,8 @@ def test_logistic_fits_of_all_subsets_are_at_the_optimum(spark, data, classes, l
     null_id = rows.withColumn("id", F.when(F.col("id") != 3, F.col("id")))
     oof, tst = logistic.oof(null_id, null_id.select("id", "x"), folds, classes, reg, "lr", l1_ratio)
     assert oof.count() == tst.count() == classes * len(y) and oof.filter("id IS NULL").count() == classes
+    twice = rows.select("id", "x").limit(10)
+    assert logistic.oof(rows, twice.unionByName(twice), folds, classes, reg, "lr", l1_ratio)[1].count() == 10 * classes  # one row per id
     with pytest.raises(Exception, match="labels must be"):
         logistic.fit(rows.withColumn("y", F.when(F.col("id") != 7, F.col("y"))), classes, many)
     one = logistic.fit(rows.filter("y = 0"), classes, {"one": logistic.Problem(reg)})
