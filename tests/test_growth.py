@@ -215,3 +215,41 @@ def test_weight_hits_are_counted_in_small_blocks(spark):
         got = {r["wid"]: r["accuracy"] for r in search.score_candidates(rows, ["a", "b"], "y", w.tolist()).collect()}
         want = (((0 + p[:, :1] * w[:, 0]) + p[:, 1:] * w[:, 1] >= 0.5) == (y == 1)[:, None]).mean(axis=0)
         assert len(got) == n and all(abs(got[i] - want[i]) < 1e-12 for i in range(n))
+
+
+def test_perceptrons_of_all_folds_share_their_passes(spark, monkeypatch):
+    """All fits are summed in one pass, from the start of pyspark.ml's network and to its loss; ids may be null or repeat."""
+    from pyspark.ml.functions import array_to_vector
+
+    from foldwise.operators import models, perceptron
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 3))
+    y, fold = ((x[:, 0] * x[:, 1] + 0.3 * x[:, 2]) > 0).astype(int), rng.integers(0, 3, 900)
+    data = [(None if i < 3 else i // 2, [float(v) for v in x[i]], int(y[i]), int(fold[i])) for i in range(900)]
+    rows = spark.createDataFrame(data, "id long, x array<double>, y int, fold int").repartition(3).cache()
+    calls, sums = [], perceptron.packed_sums
+    monkeypatch.setattr(perceptron, "packed_sums", lambda *a: calls.append(a[2]) or sums(*a))
+    layers = [3, 5, 2]
+    m = perceptron.fit(rows, layers, {f: {"fold": f} for f in range(3)}, max_steps=8)
+    assert len(calls) == m.passes < 24 and calls[0] == 3
+    start = perceptron.starting_weights(spark, layers, 42)
+    # the gradient by differences
+    out, parts = np.zeros(2 + len(start)), perceptron.opened(start, layers)
+    perceptron.add_gradient(out, x, y, parts, layers)
+
+    def loss(w, ok):
+        p = perceptron.softmax(perceptron.activations(x[ok], perceptron.opened(w, layers))[-1])
+        return -np.log(p[np.arange(ok.sum()), y[ok]]).mean()
+
+    every = np.ones(900, bool)
+    for i in range(0, len(start), 4):
+        step = np.eye(len(start))[i] * 1e-6
+        assert abs(out[2 + i] / 900 - (loss(start + step, every) - loss(start - step, every)) / 2e-6) < 1e-6
+    for f in (1,):
+        ok = fold != f
+        ml = models.mlp(layers, max_iter=8).setBlockSize(1).fit(rows.filter(F.col("fold") != f).select(array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label")))
+        assert loss(m.weights[f], ok) < loss(start, ok) and abs(loss(m.weights[f], ok) - loss(ml.weights.toArray(), ok)) < 2e-3
+    oof, tst = perceptron.oof(rows, rows.limit(6).drop("y", "fold"), [0, 1, 2], layers, "mlp", 2)
+    assert oof.count() == 1800 and tst.count() == 2 * rows.limit(6).select("id").distinct().count()
+    with pytest.raises(Exception, match="labels"):
+        perceptron.fit(rows.withColumn("y", F.lit(None).cast("int")), layers, {0: {"fold": 0}}, 2)
