@@ -253,3 +253,40 @@ def test_perceptrons_of_all_folds_share_their_passes(spark, monkeypatch):
     assert oof.count() == 1800 and tst.count() == 2 * rows.limit(6).select("id").distinct().count()
     with pytest.raises(Exception, match="labels"):
         perceptron.fit(rows.withColumn("y", F.lit(None).cast("int")), layers, {0: {"fold": 0}}, 2)
+
+
+def test_friedman_boosting_grows_the_trees_of_gbt_classifier(spark, monkeypatch):
+    """All folds and classes in one growth, a pass a level, and the predictions of pyspark.ml's fits of each fold (few values: the same cuts)."""
+    from pyspark.ml.functions import array_to_vector
+
+    from foldwise.operators import boost, models
+    from foldwise.plans import stack
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 9, size=(1200, 3))
+    y, fold = np.digitize(x[:, 0] + x[:, 1] * (x[:, 2] > 3) + rng.normal(scale=2, size=1200), [5, 9]), rng.integers(0, 2, 1200)
+    data = [(i, [float(v) for v in x[i]], int(y[i]), int(fold[i]), bool(i % 5 == 0)) for i in range(1200)]
+    rows = spark.createDataFrame(data, "id long, x array<double>, y int, fold int, is_val boolean").repartition(3).cache()
+    passes, sums = [], boost._sums
+    monkeypatch.setattr(boost, "_sums", lambda *a, **k: passes.append(1) or sums(*a, **k))
+
+    def compared(rows, make, classes, preset, kind, **more):
+        passes.clear()
+        oof, tst = stack.friedman_oof(rows, rows.limit(20), classes, preset, **more)
+        found = {(r["id"], r["class"]): r["p"] for r in oof.collect()}
+        ml = rows.withColumn("w", F.when(F.col("y") == 1, 1.7).otherwise(0.6))
+        ml = ml.select("id", array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label"), "fold", "is_val", "w").cache()
+        want = stack.oof_predict(ml, ml.limit(20), make, "m", kind=kind, k_classes=classes)[0].collect()
+        assert len(want) == len(found) == 1200 * classes and tst.count() == 20 * classes
+        assert max(abs(r["p"] - found[r["id"], r["class"]]) for r in want) < 1e-5
+
+    binary = rows.withColumn("y", F.least("y", F.lit(1))).cache()
+    compared(binary, lambda: models.gbt(5, 3, 0.1, weight=True), 2, boost.friedman("m", 5, 3, 0.1), "probability", weights=[0.6, 1.7])
+    assert len(passes) <= 5 * 3 + 1
+    compared(rows, lambda: models.one_vs_rest(models.gbt(3, 2, 0.3)), 3, boost.friedman("m", 3, 2, 0.3), "margin_softmax")
+    assert len(passes) <= 3 * 2 + 1
+    early = boost.friedman("m", 12, 3, 0.5, tolerance=0.05)
+    compared(binary, lambda: models.gbt(12, 3, 0.5, validation_col="is_val", validation_tol=0.05), 2, early, "probability", validation="is_val")
+    assert len(passes) < 12 * 3  # stopped
+    # one class alone: a leaf of the labels' mean, then of the residuals
+    b = boost.fit(rows.withColumn("y", F.lit(1)), [None], 2, [boost.friedman("m", 2, 2, 0.1)])
+    assert np.allclose(b.raw(np.zeros((1, 3)), (0, None)), 1 + 0.1 * 4 / (1 + np.exp(2)))
