@@ -251,6 +251,8 @@ def test_perceptrons_of_all_folds_share_their_passes(spark, monkeypatch):
         assert loss(m.weights[f], ok) < loss(start, ok) and abs(loss(m.weights[f], ok) - loss(ml.weights.toArray(), ok)) < 2e-3
     oof, tst = perceptron.oof(rows, rows.limit(6).drop("y", "fold"), [0, 1, 2], layers, "mlp", 2)
     assert oof.count() == 1800 and tst.count() == 2 * rows.limit(6).select("id").distinct().count()
+    with pytest.raises(Exception, match="impute"):
+        perceptron.fit(rows.withColumn("x", F.array(F.lit(float("nan")), F.lit(0.0), F.lit(0.0))), layers, {0: {"fold": 0}}, 2)
     with pytest.raises(Exception, match="labels"):
         perceptron.fit(rows.withColumn("y", F.lit(None).cast("int")), layers, {0: {"fold": 0}}, 2)
 
@@ -287,6 +289,9 @@ def test_friedman_boosting_grows_the_trees_of_gbt_classifier(spark, monkeypatch)
     early = boost.friedman("m", 12, 3, 0.5, tolerance=0.05)
     compared(binary, lambda: models.gbt(12, 3, 0.5, validation_col="is_val", validation_tol=0.05), 2, early, "probability", validation="is_val")
     assert len(passes) < 12 * 3  # stopped
+    for bad, message in ((rows.withColumn("y", F.lit(None).cast("int")), "labels"), (rows.withColumn("x", F.array(*[F.lit(float("nan"))] * 3)), "impute")):
+        with pytest.raises(Exception, match=message):
+            boost.fit(bad, [None], 3, [early], edges=[np.zeros(1)] * 3)
     # one class alone: a leaf of the labels' mean, then of the residuals
     b = boost.fit(rows.withColumn("y", F.lit(1)), [None], 2, [boost.friedman("m", 2, 2, 0.1)])
     assert np.allclose(b.raw(np.zeros((1, 3)), (0, None)), 1 + 0.1 * 4 / (1 + np.exp(2)))
